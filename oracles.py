@@ -46,3 +46,337 @@ spans AS (
   FROM served WHERE nth = 1 AND l_orderkey % 3 = 0 AND s_nationkey % 4 = 0
 )
 """
+
+# Distinct spans ranked by arrival, the candidate pairs of both kinds, and the accepted ones.
+PAIRS = SPANS + """,
+distinct_spans AS (
+  SELECT * FROM (
+    SELECT *, start_us // 1000 AS time_ms,
+           row_number() OVER (PARTITION BY trace_id, span_id, parent_span_id, service_name ORDER BY arrival_seq) AS copy
+    FROM spans
+  ) WHERE copy = 1
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY trace_id, span_id ORDER BY arrival_seq) AS rk FROM distinct_spans
+),
+matched AS (
+  SELECT c.span_id AS c_key, c.arrival_seq AS c_seq, s.span_id AS s_key, s.arrival_seq AS s_seq, TRUE AS shared
+  FROM ranked c JOIN ranked s ON c.trace_id = s.trace_id AND c.span_id = s.span_id
+  WHERE c.span_type = 'CLIENT' AND s.span_type = 'SERVER' AND c.rk <= 2 AND s.rk <= 2
+  UNION ALL
+  SELECT p.span_id, p.arrival_seq, k.span_id, k.arrival_seq, FALSE
+  FROM ranked k JOIN ranked p ON k.trace_id = p.trace_id AND k.parent_span_id = p.span_id
+  WHERE p.rk = 1 AND (k.arrival_seq < p.arrival_seq OR k.rk = 1)
+    AND p.span_type IN ('CLIENT', 'OTHER') AND k.span_type IN ('SERVER', 'OTHER')
+  UNION ALL
+  SELECT k.span_id, k.arrival_seq, p.span_id, p.arrival_seq, FALSE
+  FROM ranked k JOIN ranked p ON k.trace_id = p.trace_id AND k.parent_span_id = p.span_id
+  WHERE p.rk = 1 AND (k.arrival_seq < p.arrival_seq OR k.rk = 1)
+    AND p.span_type = 'SERVER' AND k.span_type = 'CLIENT'
+),
+pairs AS (
+  SELECT c.trace_id, c.span_id AS client_span_id, c.service_name AS client_service,
+         c.operation_name AS client_operation, c.time_ms AS client_time_ms, c.duration_us AS client_duration_us,
+         c.tag_error AS client_error, c.tag_provider AS client_provider, c.tag_tier AS client_tier,
+         s.span_id AS server_span_id, s.service_name AS server_service,
+         s.time_ms AS server_time_ms, s.duration_us AS server_duration_us,
+         s.tag_error AS server_error, s.tag_provider AS server_provider, s.tag_tier AS server_tier,
+         shared, greatest(c_seq, s_seq) AS emit_seq
+  FROM matched
+  JOIN ranked c ON c.span_id = c_key AND c.arrival_seq = c_seq
+  JOIN ranked s ON s.span_id = s_key AND s.arrival_seq = s_seq
+),
+complete AS (SELECT * FROM pairs WHERE client_service <> server_service),
+registry AS (
+  SELECT server_service AS service_name, min(emit_seq) AS first_shared_seq FROM complete WHERE shared GROUP BY ALL
+),
+accepted AS (
+  SELECT complete.* FROM complete LEFT JOIN registry ON server_service = service_name
+  WHERE shared OR first_shared_seq IS NULL OR emit_seq < first_shared_seq
+)
+"""
+
+EDGES = PAIRS + """,
+edges AS (
+  SELECT client_span_id AS pair_key, client_service AS source, server_service AS destination,
+         client_operation AS operation, client_time_ms AS source_timestamp,
+         client_error, client_provider, client_tier, server_error, server_provider, server_tier, emit_seq,
+         client_time_ms - client_time_ms % 300000 AS window_start
+  FROM accepted
+)
+"""
+
+WINDOWED = EDGES + """,
+windowed AS (
+  SELECT window_start, window_start + 300000 AS window_end, source, destination, operation,
+         count(*) AS count, max(source_timestamp) AS last_seen,
+         CAST(count(*) FILTER (client_error = 'true') AS BIGINT) AS error_count,
+         arg_max(client_provider, emit_seq) AS source_provider, arg_max(client_tier, emit_seq) AS source_tier,
+         arg_max(server_provider, emit_seq) AS destination_provider, arg_max(server_tier, emit_seq) AS destination_tier
+  FROM edges GROUP BY window_start, source, destination, operation
+),
+last_tags AS (
+  SELECT window_start, source, destination, operation, 'source' AS side, 'infrastructure_provider' AS key, source_provider AS value FROM windowed
+  UNION ALL SELECT window_start, source, destination, operation, 'source', 'tier', source_tier FROM windowed
+  UNION ALL SELECT window_start, source, destination, operation, 'destination', 'infrastructure_provider', destination_provider FROM windowed
+  UNION ALL SELECT window_start, source, destination, operation, 'destination', 'tier', destination_tier FROM windowed
+)
+"""
+
+NOW_MS = 1_704_067_200_000 + 86_250_000
+FROM_MS = (NOW_MS - 86_400_000) // 300_000 * 300_000
+
+
+def _tags(provider: str, tier: str, error: str | None = None) -> str:
+    parts = [f"'error=' || {error}"] if error else []
+    parts += [f"'infrastructure_provider=' || {provider}", f"'tier=' || {tier}"]
+    return f"concat_ws(';', {', '.join(parts)})"
+
+
+def _both_tags(source: str = "source", destination: str = "destination") -> str:
+    return (
+        f"{_tags(f'{source}_provider', f'{source}_tier')} AS source_tags, "
+        f"{_tags(f'{destination}_provider', f'{destination}_tier')} AS destination_tags"
+    )
+
+
+def _union(column: str) -> str:
+    """Sorted union of the comma-separated values of a group."""
+    parts = f"flatten(list(string_split({column}, ',')) FILTER ({column} IS NOT NULL))"
+    return f"array_to_string(list_sort(list_distinct({parts})), ',')"
+
+
+def _merged(name: str, keys: str, lower: int, upper: int, now: int) -> str:
+    """A CTE merging windows by the given keys."""
+    return f"""
+{name} AS (
+  SELECT {keys}, CAST(sum(count) AS BIGINT) AS count, max(last_seen) AS last_seen, CAST(sum(error_count) AS BIGINT) AS error_count,
+         min(window_start) AS effective_from, max(least(window_end, {now})) AS effective_to,
+         {_union('source_provider')} AS source_provider, {_union('source_tier')} AS source_tier,
+         {_union('destination_provider')} AS destination_provider, {_union('destination_tier')} AS destination_tier
+  FROM windowed WHERE window_start BETWEEN {lower} AND {upper} GROUP BY {keys}
+)"""
+
+
+_ALL = (0, 1 << 50, 1 << 50)
+GRAPH = WINDOWED + "," + _merged("graph", "source, destination", FROM_MS, NOW_MS, NOW_MS)
+_GRAPH_COLUMNS = "source, destination, count, last_seen, error_count, effective_from, effective_to"
+
+NODES = GRAPH + """,
+numbered AS (SELECT *, row_number() OVER (ORDER BY source, destination) AS edge_id FROM graph),
+ends AS (
+  SELECT source AS name, source_provider AS provider, source_tier AS tier, edge_id AS position FROM numbered
+  UNION ALL SELECT destination, destination_provider, destination_tier, edge_id + 1000000000 FROM numbered
+),
+nodes AS (
+  SELECT row_number() OVER (ORDER BY min(position)) AS id, name, provider, tier FROM ends GROUP BY name, provider, tier
+)
+"""
+_FACT = """
+  SELECT edge_id AS id, s.id AS "sourceId", d.id AS "destinationId", count AS "statsCount", last_seen AS "statsLastSeen",
+         error_count AS "statsErrorCount", effective_from AS "effectiveFrom", effective_to AS "effectiveTo"
+  FROM numbered e
+  JOIN nodes s ON s.name = source AND s.provider IS NOT DISTINCT FROM source_provider AND s.tier IS NOT DISTINCT FROM source_tier
+  JOIN nodes d ON d.name = destination AND d.provider IS NOT DISTINCT FROM destination_provider
+              AND d.tier IS NOT DISTINCT FROM destination_tier
+"""
+
+HOUR = 3_600_000
+BASE_MS = 1_704_067_200_000
+
+
+def _at_hour(name: str, hour: int, span: int = 24 * HOUR) -> str:
+    now = BASE_MS + hour * HOUR
+    return _merged(name, "source, destination", (now - span) // 300_000 * 300_000, now, now)
+
+
+def _hour_name(hour: int) -> str:
+    return f"2024-01-01T{hour:02d}:00:00.000Z"
+
+
+_VERTICES = "source, source_provider, source_tier, destination, destination_provider, destination_tier"
+_PAIR = "trace_id, client_span_id, client_service, server_span_id, server_service, emit_seq"
+
+_MARKED = """
+WITH marked AS (
+  SELECT o_orderkey, o_orderkey % 16 AS mask, o_orderstatus, 1704067200000000 + (o_orderkey % 86400) * 1000000 AS moment
+  FROM orders
+)
+"""
+
+_EDGE_ROWS = f"""
+  SELECT pair_key, source, destination, operation, source_timestamp,
+         {_tags('client_provider', 'client_tier', 'client_error')} AS source_tags,
+         {_tags('server_provider', 'server_tier', 'server_error')} AS destination_tags, emit_seq
+  FROM edges
+"""
+_POINTS = """
+  SELECT client_span_id AS pair_key, 'latency' AS metric, 'gauge' AS type, 'ms' AS unit,
+         (client_duration_us - server_duration_us) // 1000 AS value, client_time_ms // 1000 AS epoch_seconds,
+         'mtype=gauge;operationName=' || client_operation || ';serviceName=' || client_service || ';unit=ms' AS tags
+  FROM accepted
+"""
+_WINDOW_ROWS = f"""
+  SELECT window_start, window_end, source, destination, operation, count, last_seen, error_count, {_both_tags()} FROM windowed
+"""
+
+ORACLES: dict[str, str] = {
+    "accumulable_filter": """
+        SELECT * FROM (
+          SELECT event_id, CASE WHEN event_id % 7 IN (0, 1) THEN '' ELSE CAST(event_id AS VARCHAR) END AS span_id,
+                 CASE WHEN event_id % 11 <> 0 THEN event_type END AS service_name, 'op' AS operation_name,
+                 CASE event_id % 17 WHEN 0 THEN 0 WHEN 1 THEN -5 ELSE event_id + 1 END AS start_us
+          FROM events WHERE event_id % 13 <> 0
+        ) WHERE span_id <> '' AND service_name <> '' AND start_us > 0
+    """,
+    "span_type": _MARKED + """
+        SELECT o_orderkey, CAST(mask AS INTEGER) AS bits,
+               CASE WHEN mask = 3 THEN 'CLIENT' WHEN mask = 12 THEN 'SERVER' WHEN o_orderstatus = 'F' THEN 'CLIENT'
+                    WHEN o_orderstatus = 'O' THEN 'SERVER' ELSE 'OTHER' END AS span_type
+        FROM marked
+    """,
+    "event_timestamp": _MARKED + """
+        SELECT o_orderkey, CASE WHEN mask & 1 > 0 THEN moment END AS at_cs, CASE WHEN mask & 2 > 0 THEN moment + 40 END AS at_cr,
+               CASE WHEN mask & 4 > 0 THEN moment + 30 END AS at_ss, CASE WHEN mask & 8 > 0 THEN moment + 10 END AS at_sr
+        FROM marked
+    """,
+    "light_span": f"""WITH {SPANS}
+        SELECT trace_id, span_id, parent_span_id, start_us // 1000 AS time_ms, service_name, operation_name, duration_us,
+               span_type, {_tags('tag_provider', 'tag_tier', 'tag_error')} AS tags, arrival_seq
+        FROM spans
+    """,
+    "collect_tags": f"""WITH {SPANS}
+        SELECT trace_id, span_id, service_name,
+               concat_ws(';', 'error=' || tag_error,
+                 CASE WHEN span_type = 'CLIENT' THEN 'http.url=/order/' || trace_id END, 'tier=' || tag_tier) AS tags
+        FROM spans
+    """,
+    "is_later_than": f"""WITH {SPANS}
+        SELECT trace_id, span_id, service_name, start_us // 1000 + duration_us // 1000 AS end_ms,
+               CAST(duration_us // 1000 - arrival_seq % 300 > 0 AS INTEGER) AS later
+        FROM spans
+    """,
+    "dedupe_spans": """
+        SELECT trace_id, span_id, parent_span_id, service_name, arrival_seq, duration_us FROM (
+          SELECT CAST(l_orderkey AS VARCHAR) AS trace_id, 'L' || l_orderkey || '-' || l_linenumber AS span_id,
+                 'O' || l_orderkey AS parent_span_id, lower(n_name) AS service_name, l_partkey AS arrival_seq,
+                 CAST(l_quantity AS BIGINT) * 1000 AS duration_us,
+                 row_number() OVER (PARTITION BY l_orderkey, l_linenumber, n_name ORDER BY l_partkey, l_quantity) AS copy
+          FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
+        ) WHERE copy = 1
+    """,
+    "default_role": f"""WITH {SPANS}
+        SELECT trace_id, span_id, service_name, CASE span_type WHEN 'OTHER' THEN 'CLIENT' ELSE span_type END AS as_parent,
+               CASE span_type WHEN 'OTHER' THEN 'SERVER' ELSE span_type END AS as_child
+        FROM spans
+    """,
+    "align_from": """
+        SELECT event_id, epoch_ms(ts) // 300000 * 300000 AS from_300s, epoch_ms(ts) // 1800000 * 1800000 AS from_1800s FROM events
+    """,
+    "snapshot_name": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS name FROM events",
+    "shared_span_pairs": f"WITH {PAIRS} SELECT {_PAIR} FROM pairs WHERE shared",
+    "parent_child_pairs": f"WITH {PAIRS} SELECT {_PAIR} FROM pairs WHERE NOT shared",
+    "complete_filter": f"""WITH {PAIRS.replace('''SELECT *, start_us // 1000''', '''SELECT * REPLACE ('svc-' || length(service_name) AS service_name), start_us // 1000''').replace("span_id, parent_span_id, service_name ORDER", "span_id, parent_span_id, length(service_name) ORDER")}
+        SELECT {_PAIR}, CAST(shared AS INTEGER) AS shared FROM complete
+    """,
+    "merge_style_filter": f"WITH {PAIRS} SELECT {_PAIR}, CAST(shared AS INTEGER) AS shared FROM accepted",
+    "merge_style_filter_final": f"""WITH {PAIRS}
+        SELECT {_PAIR}, CAST(shared AS INTEGER) AS shared FROM complete
+        WHERE shared OR server_service NOT IN (SELECT service_name FROM registry)
+    """,
+    "shared_registry": f"WITH {PAIRS} SELECT service_name, 1 AS use_shared_span, first_shared_seq FROM registry",
+    "pair_window": f"""WITH {PAIRS}
+        SELECT {_PAIR} FROM complete
+        WHERE abs(client_time_ms + client_duration_us // 1000 - server_time_ms - server_duration_us // 1000) <= 150
+    """,
+    "graph_edges": f"WITH {EDGES} {_EDGE_ROWS}",
+    "latency_points": f"WITH {PAIRS} {_POINTS}",
+    "edge_constraints": """
+        SELECT l_returnflag AS operation,
+               CASE WHEN l_orderkey % 9 <> 0 AND l_orderkey % 10 <> 0 AND l_linenumber <> 7 AND l_returnflag <> ''
+                    THEN 'valid' ELSE 'quarantined' END AS verdict, count(*) AS edges
+        FROM lineitem GROUP BY ALL
+    """,
+    "edge_stats": f"WITH {WINDOWED} {_WINDOW_ROWS}",
+    "edge_tags_last": f"WITH {WINDOWED} SELECT window_start, source, destination, operation, side, key, value FROM last_tags WHERE value IS NOT NULL",
+    "service_graph_merge": f"""WITH {WINDOWED}, {_merged('merged', 'source, destination', *_ALL)}
+        SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM merged
+    """,
+    "operation_graph_merge": f"""WITH {WINDOWED}, {_merged('merged', 'source, destination, operation', *_ALL)}
+        SELECT operation, {_GRAPH_COLUMNS}, {_both_tags()} FROM merged
+    """,
+    "tag_union": f"""WITH {WINDOWED}
+        SELECT source, destination, side, key, string_agg(part, ',' ORDER BY part) AS value FROM (
+          SELECT DISTINCT source, destination, side, key, unnest(string_split(value, ',')) AS part FROM last_tags
+          WHERE value IS NOT NULL
+        ) GROUP BY source, destination, side, key
+    """,
+    "operation_graph": f"""WITH {WINDOWED}
+        SELECT source, destination, operation, count, last_seen, error_count, {_both_tags()},
+               window_start AS effective_from, least(window_end, {NOW_MS}) AS effective_to
+        FROM windowed WHERE window_start BETWEEN {FROM_MS} AND {NOW_MS}
+    """,
+    "service_graph": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
+    "service_graph_range": f"""WITH {WINDOWED}, {_merged(
+            'merged', 'source, destination', BASE_MS + 1_200_000, BASE_MS + 9_000_000, BASE_MS + 9_100_000)}
+        SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM merged
+    """,
+    "graph_views": f"""WITH {WINDOWED}
+        SELECT source, destination, CAST(sum(count) AS BIGINT) AS calls, count(DISTINCT operation) AS operations,
+               count(DISTINCT window_start) AS windows
+        FROM windowed WHERE window_start BETWEEN {FROM_MS} AND {NOW_MS} GROUP BY source, destination
+    """,
+    "edge_count_metric": f"""WITH {GRAPH}
+        SELECT 'servicegraph' AS graph, count(*) AS edges FROM graph
+        UNION ALL SELECT 'operationgraph', count(*) FROM windowed WHERE window_start BETWEEN {FROM_MS} AND {NOW_MS}
+    """,
+    "node_dimension": f"WITH {NODES} SELECT id, name, NULLIF(provider, '') AS provider, NULLIF(tier, '') AS tier FROM nodes",
+    "edge_fact": f"WITH {NODES} {_FACT}",
+    "snapshot_edge_join": f"""WITH {NODES}
+        SELECT edge_id, {_VERTICES}, count, last_seen, error_count, effective_from, effective_to FROM numbered
+    """,
+    "snapshot_as_of": """
+        WITH moments AS (SELECT epoch_ms(ts) AS ms, event_type FROM events)
+        SELECT instant_ms, snapshot_ms FROM (SELECT DISTINCT ms AS instant_ms FROM moments)
+        ASOF LEFT JOIN (SELECT DISTINCT ms AS snapshot_ms FROM moments WHERE event_type = 'error') ON instant_ms >= snapshot_ms
+    """,
+    "snapshot_write": f"WITH {WINDOWED}, {_at_hour('h1', 1)}, {_at_hour('h2', 2)}, {_at_hour('h4', 4)}" + "".join(
+        f""" {'UNION ALL' if hour > 1 else ''}
+        SELECT '{_hour_name(hour)}' AS snapshot_ts, 'edges' AS part, count(*) AS rows FROM h{hour}
+        UNION ALL SELECT '{_hour_name(hour)}', 'nodes', count(*) FROM (
+          SELECT source, source_provider, source_tier FROM h{hour}
+          UNION SELECT destination, destination_provider, destination_tier FROM h{hour})
+        """ for hour in (1, 2, 4)
+    ),
+    "snapshot_read": f"""WITH {WINDOWED}, {_at_hour('h2', 2)}
+        SELECT {_VERTICES}, count, last_seen, error_count, effective_from, effective_to FROM h2
+    """,
+    "snapshot_purge": f"""WITH {WINDOWED}, {_at_hour('h4', 4)}
+        SELECT '{_hour_name(4)}' AS snapshot_ts, count(*) AS edges, CAST(4 AS BIGINT) AS purged FROM h4
+    """,
+    "snapshot_job": f"""WITH {WINDOWED}, {_at_hour('h2', 2, HOUR)}
+        SELECT '{_hour_name(2)}' AS name, CAST(0 AS BIGINT) AS purged, source, destination, count, error_count FROM h2
+    """,
+    "snapshot_history": f"""WITH {WINDOWED}, {_at_hour('h1', 1)}, {_at_hour('h4', 4)}
+        SELECT {', '.join(f'coalesce(o.{c}, n.{c}) AS {c}' for c in _VERTICES.split(', '))},
+               CASE WHEN o.source IS NULL THEN 'added' WHEN n.source IS NULL THEN 'removed'
+                    WHEN o.count <> n.count OR o.error_count <> n.error_count OR o.last_seen <> n.last_seen THEN 'changed'
+                    ELSE 'same' END AS change,
+               coalesce(n.count, 0) - coalesce(o.count, 0) AS count_delta,
+               coalesce(n.error_count, 0) - coalesce(o.error_count, 0) AS error_count_delta
+        FROM h1 o FULL JOIN h4 n ON {' AND '.join(f'o.{c} IS NOT DISTINCT FROM n.{c}' for c in _VERTICES.split(', '))}
+    """,
+    "snapshot_csv": f"WITH {NODES} {_FACT}",
+    "graph_json_round_trip": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
+    "span_source": f"WITH {SPANS} SELECT service_name, count(*) AS spans FROM spans GROUP BY service_name",
+    "span_pairs_stream": f"WITH {EDGES} {_EDGE_ROWS}",
+    "fanout": f"WITH {PAIRS} SELECT 'edges' AS part, count(*) AS rows FROM accepted UNION ALL SELECT 'latency', count(*) FROM accepted",
+    "metric_sink": f"WITH {PAIRS} {_POINTS}",
+    "registry_sink": f"WITH {PAIRS} SELECT service_name, 1 AS use_shared_span, first_shared_seq FROM registry",
+    "tumbling_window": f"WITH {WINDOWED} {_WINDOW_ROWS}",
+    "late_edges": f"""WITH {WINDOWED}
+        SELECT window_start, CAST(sum(count) AS BIGINT) * CASE
+                 WHEN window_start + 300000 > (SELECT max(source_timestamp) FROM edges) - 3600000 THEN 2 ELSE 1 END AS calls
+        FROM windowed GROUP BY window_start
+    """,
+}

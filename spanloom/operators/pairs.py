@@ -45,33 +45,34 @@ PAIR_SIDE = {
 }
 
 
-def rank_holders(
+def leading_holders(
     spans: DataFrame,
     scope: Sequence[str] = TRACE_SCOPE,
     arrival: Sequence[str] = ARRIVAL,
     holder_open: Column | None = None,
 ) -> DataFrame:
-    """Add ``holder_rank``: 1 and 2 for the first two distinct holders of a span id, 3 for the rest.
+    """The first two distinct holders of each span id, with their ``rank``.
 
-    ``holder_open`` limits who counts as a holder.
-
-    The two leaders are found on the narrow identity columns with a per-task
-    limit ahead of the shuffle, then flagged back by the full identity. That key
-    is unique, so even one id held by a third of all spans stays spread out, and
-    it is the key ``dedupe_spans`` already partitioned by.
+    The limit is applied per task ahead of the shuffle, so an id held by a third
+    of all spans sends two rows per task. ``holder_open`` limits who counts.
     """
     by_id = Window.partitionBy(*scope, "span_id").orderBy(*arrival, *_TIES)
     holders = spans if holder_open is None else spans.filter(holder_open)
-    leaders = (
-        holders.select(*scope, *IDENTITY, *arrival, "time_ms")
-        .withColumn("_rank", F.row_number().over(by_id))
-        .filter(F.col("_rank") <= 2)
-        .select(*scope, *IDENTITY, "_rank")
-    )
+    narrow = list(dict.fromkeys([*scope, *IDENTITY, *arrival, "arrival_seq", "time_ms", "span_type"]))
+    return holders.select(*narrow).withColumn("rank", F.row_number().over(by_id)).filter(F.col("rank") <= 2)
+
+
+def rank_holders(spans: DataFrame, leaders: DataFrame, scope: Sequence[str] = TRACE_SCOPE) -> DataFrame:
+    """Add ``holder_rank``: 1 and 2 for the leading holders of a span id, 3 for the rest.
+
+    The join is on the full identity: that key is unique, so a frequent span id
+    stays spread out, and it is the key ``dedupe_spans`` already partitioned by.
+    """
+    identity = [*scope, *IDENTITY]
     return (
-        spans.join(leaders, [*scope, *IDENTITY], "left")
-        .withColumn("holder_rank", F.coalesce("_rank", F.lit(3)))
-        .drop("_rank")
+        spans.join(leaders.select(*identity, "rank"), identity, "left")
+        .withColumn("holder_rank", F.coalesce("rank", F.lit(3)))
+        .drop("rank")
     )
 
 
@@ -88,7 +89,8 @@ def span_pairs(
     ``shared`` and ``dual`` choose the lookups to run. ``emit_seq`` is the
     arrival of the later half, the moment the match becomes known.
     """
-    ranked = rank_holders(dedupe_spans(spans, scope, arrival), scope, arrival)
+    distinct = dedupe_spans(spans, scope, arrival)
+    ranked = rank_holders(distinct, leading_holders(distinct, scope, arrival), scope)
     return match_ranked(ranked, scope, arrival=arrival, shared=shared, dual=dual)
 
 
@@ -99,11 +101,12 @@ def match_ranked(
     arrival: Sequence[str] = ARRIVAL,
     shared: bool = True,
     dual: bool = True,
+    complete: bool = False,
     child_open: Column | None = None,
     holder_open: Column | None = None,
     extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Run the lookups over spans that carry ``holder_rank``.
+    """Run the lookups over spans that carry ``holder_rank``; ``complete`` keeps complete pairs only.
 
     A stream narrows them: ``holder_open`` says which spans can still be found
     by id, ``child_open`` which still wait for a parent; ``extra`` columns come
@@ -136,45 +139,54 @@ def match_ranked(
         .drop("lookup")
     )
     right = ranked.filter(is_first).select(*scope, *[F.col(c).alias(f"right_{c}") for c in carried])
-    return _assign_roles(left.join(right, [*scope, "right_span_id"]), scope, arrival, extra)
+    matched = left.join(right, [*scope, "right_span_id"])
+    if complete:
+        ends = F.col("left_service_name"), F.col("right_service_name")
+        matched = matched.filter((ends[0] != ends[1]) & (ends[0] != "") & (ends[1] != ""))
+    return _assign_roles(matched, scope, arrival, extra)
 
 
-def _position(side: str, arrival: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"{side}_{c}") for c in [*arrival, *_TIES]])
+def _arrived_before(arrival: Sequence[str]) -> Column:
+    """The left span came ahead of the right one."""
+    *front, last = [*arrival, *_TIES]
+    before = F.col(f"left_{last}") < F.col(f"right_{last}")
+    for name in reversed(front):
+        left, right = F.col(f"left_{name}"), F.col(f"right_{name}")
+        before = (left < right) | ((left == right) & before)
+    return before
 
 
 def _assign_roles(matched: DataFrame, scope: Sequence[str], arrival: Sequence[str], extra: Sequence[str]) -> DataFrame:
     left, right = (lambda c: F.col(f"left_{c}")), (lambda c: F.col(f"right_{c}"))
-    left_came_first = _position("left", arrival) < _position("right", arrival)
+    same_id = F.col("same_id")
+    left_came_first = _arrived_before(arrival)
     left_names_right = left("parent_span_id") == right("span_id")
     right_names_left = right("parent_span_id") == left("span_id")
 
     # Who calls whom when a role is unknown: the parent calls the child. When each
     # names the other, the one that waited for the other counts as the parent.
-    same_id = F.col("same_id")
-    left_calls = F.when(same_id, ~left_names_right & right_names_left).otherwise(left_came_first & right_names_left)
+    left_calls = right_names_left & ((same_id & ~left_names_right) | (~same_id & left_came_first))
     right_calls = left_names_right & ~left_calls
 
-    def role(side: str, calls: Column, called: Column) -> Column:
+    def plays(side: str, role: str, by_link: Column) -> Column:
         kind = F.col(f"{side}_span_type")
-        return F.when(calls, fs.default_role(kind, fs.CLIENT)).when(called, fs.default_role(kind, fs.SERVER)).otherwise(kind)
+        return (kind == role) | ((kind == fs.OTHER) & by_link)
 
-    left_role, right_role = role("left", left_calls, right_calls), role("right", right_calls, left_calls)
-    left_is_client = (left_role == fs.CLIENT) & (right_role == fs.SERVER)
-    right_is_client = (left_role == fs.SERVER) & (right_role == fs.CLIENT)
+    left_is_client = plays("left", fs.CLIENT, left_calls) & plays("right", fs.SERVER, left_calls)
+    right_is_client = plays("right", fs.CLIENT, right_calls) & plays("left", fs.SERVER, right_calls)
     kept = matched.filter(
-        (same_id | left_came_first | F.col("left_first")) & (left_is_client | right_is_client)
-    )
+        (same_id | F.col("left_first") | left_came_first) & (right_is_client | left_is_client)
+    ).withColumn("_left_is_client", left_is_client)
 
     def pick(name: str, client: bool) -> Column:
-        on_left = left_is_client if client else right_is_client
-        return F.when(on_left, left(name)).otherwise(right(name))
+        on_left, on_right = (left(name), right(name)) if client else (right(name), left(name))
+        return F.when(F.col("_left_is_client"), on_left).otherwise(on_right)
 
     return kept.select(
         *scope,
         *[pick(c, True).alias(f"client_{name}") for name, c in PAIR_SIDE.items()],
         *[pick(c, False).alias(f"server_{name}") for name, c in PAIR_SIDE.items()],
-        (same_id & ~left_calls & ~right_calls).alias("shared"),
+        (same_id & ~left_names_right & ~right_names_left).alias("shared"),
         F.when(left_came_first, right("arrival_seq")).otherwise(left("arrival_seq")).alias("emit_seq"),
         *[F.col(f"{side}_{c}") for c in extra for side in ("left", "right")],
     )
@@ -213,6 +225,34 @@ def shared_registry(pairs: DataFrame) -> DataFrame:
     )
 
 
+def registry_of_holders(leaders: DataFrame, scope: Sequence[str] = TRACE_SCOPE) -> DataFrame:
+    """The registry straight from ``leading_holders``.
+
+    A shared pair is the two leaders of one span id, so the registry needs no
+    join and reuses the shuffle that ranked them.
+    """
+    def of(rank: int, name: str) -> Column:
+        return F.max(F.when(F.col("rank") == rank, F.col(name)))
+
+    two = leaders.groupBy(*scope, "span_id").agg(
+        of(1, "span_type").alias("type_1"), of(2, "span_type").alias("type_2"),
+        of(1, "service_name").alias("service_1"), of(2, "service_name").alias("service_2"),
+        of(2, "arrival_seq").alias("emit_seq"),
+        F.max(F.col("parent_span_id") == F.col("span_id")).alias("names_itself"),
+    )
+    first_serves = (F.col("type_1") == fs.SERVER) & (F.col("type_2") == fs.CLIENT)
+    second_serves = (F.col("type_1") == fs.CLIENT) & (F.col("type_2") == fs.SERVER)
+    pairs = complete_filter(
+        two.filter(~F.col("names_itself") & (first_serves | second_serves)).select(
+            F.when(first_serves, F.col("service_1")).otherwise(F.col("service_2")).alias("server_service"),
+            F.when(first_serves, F.col("service_2")).otherwise(F.col("service_1")).alias("client_service"),
+            F.lit(True).alias("shared"),
+            "emit_seq",
+        )
+    )
+    return shared_registry(pairs)
+
+
 def merge_style_filter(pairs: DataFrame, mode: str = "as_of", registry: DataFrame | None = None) -> DataFrame:
     """Refuse a non-shared pair whose server is known to use shared span ids.
 
@@ -237,4 +277,7 @@ def accepted_pairs(
     spans: DataFrame, scope: Sequence[str] = TRACE_SCOPE, *, mode: str = "as_of", registry: DataFrame | None = None,
 ) -> DataFrame:
     """Light spans to the pairs that become edges: match, complete, merge-style check."""
-    return merge_style_filter(complete_filter(span_pairs(spans, scope)), mode, registry)
+    distinct = dedupe_spans(spans, scope)
+    leaders = leading_holders(distinct, scope)
+    pairs = match_ranked(rank_holders(distinct, leaders, scope), scope, complete=True)
+    return merge_style_filter(pairs, mode, registry_of_holders(leaders, scope) if registry is None else registry)

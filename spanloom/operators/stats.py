@@ -31,7 +31,7 @@ _ENTRY = "array<struct<side:string,key:string,value:string>>"
 def _tag_entries(tags: Column) -> Column:
     """A tag map as a sorted array without the error tag, fit for grouping."""
     entries = F.filter(F.map_entries(tags), lambda e: e["key"] != fs.ERROR_TAG)
-    return F.coalesce(F.array_sort(entries), F.array().cast(_NO_TAGS))
+    return F.coalesce(F.sort_array(entries), F.array().cast(_NO_TAGS))
 
 
 def _labelled(entries: Column, side: str) -> Column:
@@ -51,7 +51,7 @@ def _fold(reduced: DataFrame, keys: Sequence[str], statistics: Sequence[str]) ->
     """Back to one row per key: statistics and one tag map per side."""
     def folded(side: str) -> Column:
         tag = F.when(F.col("side") == side, F.struct("key", "value"))
-        return F.map_from_entries(F.array_sort(F.collect_list(tag))).alias(f"{side}_tags")
+        return F.map_from_entries(F.sort_array(F.collect_list(tag))).alias(f"{side}_tags")
 
     return reduced.groupBy(*keys).agg(
         *[F.max(F.when(F.col("side") == "", F.col(c))).alias(c) for c in statistics],
@@ -146,7 +146,7 @@ def _merge_tags(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.max("effective_to").alias("effective_to"),
     ]
     distinct = parts.groupBy(*keys, "side", "key", "value").agg(*totals)
-    union = F.array_join(F.array_sort(F.collect_list("value")), ",").alias("value")
+    union = F.array_join(F.sort_array(F.collect_list("value")), ",").alias("value")
     return distinct.groupBy(*keys, "side", "key").agg(*totals, union)
 
 

@@ -28,30 +28,34 @@ def _renamed(schema: T.StructType, provider_column: str) -> T.StructType:
     ])
 
 
-def read_csv_table(
-    spark: SparkSession, path: str, schema: T.StructType, partitioned: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Typed CSV rows, and the lines that do not fit the schema."""
-    extra = [T.StructField(_BAD, T.StringType())]
-    if partitioned:
-        extra.append(T.StructField("snapshot_ts", T.StringType()))
+def _stamped(schema: T.StructType, *extra: str) -> T.StructType:
+    return T.StructType([*schema.fields, *[T.StructField(name, T.StringType()) for name in extra]])
+
+
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Typed CSV rows; lines that do not fit the schema are left out."""
+    # Without pruning every field of a line is checked, whatever columns are asked for.
+    return spark.read.schema(schema).options(**_CSV, mode="DROPMALFORMED", columnPruning="false").csv(path)
+
+
+def rejected_csv_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines ``read_csv_table`` leaves out."""
     rows = (
-        spark.read.schema(T.StructType([*schema.fields, *extra]))
-        .options(**_CSV, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
-        .csv(path)
+        spark.read.schema(_stamped(schema, _BAD))
+        .options(**_CSV, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, columnPruning="false").csv(path)
     )
-    return rows.filter(F.col(_BAD).isNull()).drop(_BAD), rows.filter(F.col(_BAD).isNotNull()).select(_BAD)
+    return rows.filter(F.col(_BAD).isNotNull()).select(F.col(schema.fieldNames()[0]), F.col(_BAD).alias("line"))
 
 
 def read_nodes_csv(spark: SparkSession, path: str, provider_column: str = ops.PROVIDER_TAG) -> DataFrame:
     """A node file by itself: ``id, name, <provider>, tier``."""
-    rows, _ = read_csv_table(spark, path, _renamed(NODE, provider_column))
+    rows = read_csv_table(spark, path, _renamed(NODE, provider_column))
     return rows.withColumnRenamed(provider_column, "provider")
 
 
 def read_edges_csv(spark: SparkSession, path: str) -> DataFrame:
     """An edge file by itself."""
-    return read_csv_table(spark, path, EDGE_FACT)[0]
+    return read_csv_table(spark, path, EDGE_FACT)
 
 
 class SnapshotStore:
@@ -111,12 +115,12 @@ class SnapshotStore:
         return max((name for name in self.names() if name <= wanted), default=None)
 
     def _table(self, table: str, schema: T.StructType) -> DataFrame:
-        stamped = T.StructType([*schema.fields, T.StructField("snapshot_ts", T.StringType())])
+        stamped = _stamped(schema, "snapshot_ts")
         path = self._path(table)
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], stamped)
         if self.format == "csv":
-            return read_csv_table(self.spark, path, schema, partitioned=True)[0]
+            return read_csv_table(self.spark, path, stamped)
         return self.spark.read.schema(stamped).parquet(path)
 
     def nodes(self) -> DataFrame:
@@ -129,8 +133,9 @@ class SnapshotStore:
 
     def rejected_lines(self) -> DataFrame:
         """Lines of CSV tables that could not be read."""
-        nodes = read_csv_table(self.spark, self._path("nodes"), _renamed(NODE, self.provider_tag), partitioned=True)[1]
-        return nodes.unionByName(read_csv_table(self.spark, self._path("edges"), EDGE_FACT, partitioned=True)[1])
+        tables = (("nodes", _renamed(NODE, self.provider_tag)), ("edges", EDGE_FACT))
+        nodes, edges = (rejected_csv_lines(self.spark, self._path(name), _stamped(schema, "snapshot_ts")) for name, schema in tables)
+        return nodes.unionByName(edges)
 
     def snapshot(self, name: str) -> DataFrame:
         """The graph of one snapshot; only its partitions are read."""

@@ -51,13 +51,13 @@ def admit(light: DataFrame, carried: DataFrame, batch_id: int, scope: Sequence[s
 
 def batch_pairs(present: DataFrame, batch_id: int, scope: Sequence[str] = TRACE_SCOPE) -> DataFrame:
     """Complete pairs whose later half arrived in this batch."""
-    ranked = pair_ops.rank_holders(present, scope, ARRIVAL, F.col("held"))
+    leaders = pair_ops.leading_holders(present, scope, ARRIVAL, F.col("held"))
     matched = pair_ops.match_ranked(
-        ranked, scope, arrival=ARRIVAL,
+        pair_ops.rank_holders(present, leaders, scope), scope, arrival=ARRIVAL, complete=True,
         child_open=F.col("waiting"), holder_open=F.col("held"), extra=["arrival_batch"],
     )
     is_new = F.greatest("left_arrival_batch", "right_arrival_batch") == batch_id
-    return pair_ops.complete_filter(matched.filter(is_new)).drop("left_arrival_batch", "right_arrival_batch")
+    return matched.filter(is_new).drop("left_arrival_batch", "right_arrival_batch")
 
 
 def evict(present: DataFrame, cutoff_ms: int, scope: Sequence[str] = TRACE_SCOPE) -> DataFrame:

@@ -42,11 +42,12 @@ def windowed_edges(
 
     running = (
         edges.withColumn("event_time", F.timestamp_millis(timestamp))
+        .withColumn("_seen", F.when(timestamp == 0, now).otherwise(timestamp))
         .withWatermark("event_time", retention)
         .groupBy(F.window("event_time", f"{window_sec} seconds"), *EDGE_KEY)
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.max(F.when(timestamp == 0, now).otherwise(timestamp)).alias("last_seen"),
+            F.max("_seen").alias("last_seen"),
             F.sum(failed.cast("long")).alias("error_count"),
             *latest.values(),
         )

@@ -77,7 +77,7 @@ def _served_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_suppkey").alias("suppkey"),
         F.max("l_quantity").cast("long").alias("quantity"),
-        F.max("l_returnflag").alias("flag"),
+        F.char(F.max(F.ascii("l_returnflag"))).alias("flag"),  # one letter; numbers aggregate by hash
     )
     return lines.join(table(spark, sf_dir, "supplier"), F.col("suppkey") == F.col("s_suppkey")).join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
@@ -95,56 +95,55 @@ def _server_tags(extra: Column) -> Column:
 
 
 def _line_spans(served: DataFrame) -> DataFrame:
+    """A child span per line, and a span sharing the order's id for some first lines."""
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
-    start = F.lit(BASE_US) + (key % 86400) * 1_000_000 + line * 1000
+    order_start = F.lit(BASE_US) + (key % 86400) * 1_000_000
     duration = F.col("quantity") * 1000
-    is_server = line % 2 == 0
-    by_log = line % 4 == 0
+    in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    shares = (F.col("nth") == 1) & (key % 3 == 0) & (F.col("s_nationkey") % 4 == 0)
+    order_id = F.concat(F.lit("O"), key)
+
+    is_server, by_log = line % 2 == 0, line % 4 == 0
+    child_start, shared_start = order_start + line * 1000, order_start + 500
     # A lone "sr" is no role; neither is any event of an unknown name.
-    logs = F.when(by_log, F.array(_event(start, "sr"), _event(start + duration, "ss"))).otherwise(
-        F.array(_event(start, "sr"), _event(start, "enqueued"))
+    child_logs = F.when(by_log, F.array(_event(child_start, "sr"), _event(child_start + duration, "ss"))).otherwise(
+        F.array(_event(child_start, "sr"), _event(child_start, "enqueued"))
     )
-    return served.select(
-        key.cast("string").alias("trace_id"),
+    child = F.struct(
         F.concat(F.lit("L"), key, F.lit("-"), line).alias("span_id"),
-        F.concat(F.lit("O"), key).alias("parent_span_id"),
-        F.lower("n_name").alias("service_name"),
-        F.concat(F.lit("op-"), F.col("flag")).alias("operation_name"),
-        start.alias("start_us"),
-        duration.alias("duration_us"),
-        logs.alias("logs"),
+        order_id.alias("parent_span_id"),
+        child_start.alias("start_us"),
+        child_logs.alias("logs"),
         _server_tags(_only(is_server & ~by_log, _tag("span.kind", "SERVER"))).alias("tags"),
         (key * 16 + line).alias("arrival_seq"),
     )
-
-
-def _shared_spans(served: DataFrame) -> DataFrame:
-    key = F.col("l_orderkey")
-    first_line = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
-    rows = (
-        served.filter(key % 3 == 0)
-        .withColumn("nth", F.row_number().over(first_line))
-        .filter((F.col("nth") == 1) & (F.col("s_nationkey") % 4 == 0))
+    shared = F.struct(
+        order_id.alias("span_id"),
+        F.lit("").alias("parent_span_id"),
+        shared_start.alias("start_us"),
+        F.array(_event(shared_start, "SR"), _event(shared_start + duration, "ss")).alias("logs"),
+        _server_tags(F.lit(None).cast(SPAN["tags"].dataType.elementType)).alias("tags"),
+        (key * 16 + 8).alias("arrival_seq"),
     )
-    start = F.lit(BASE_US) + (key % 86400) * 1_000_000 + 500
-    duration = F.col("quantity") * 1000
-    return rows.select(
+    told = served.withColumn("nth", F.row_number().over(in_order)).withColumn(
+        "span", F.explode(F.array_compact(F.array(child, _only(shares, shared))))
+    )
+    return told.select(
         key.cast("string").alias("trace_id"),
-        F.concat(F.lit("O"), key).alias("span_id"),
-        F.lit("").alias("parent_span_id"),
+        "span.span_id",
+        "span.parent_span_id",
         F.lower("n_name").alias("service_name"),
         F.concat(F.lit("op-"), F.col("flag")).alias("operation_name"),
-        start.alias("start_us"),
+        "span.start_us",
         duration.alias("duration_us"),
-        F.array(_event(start, "SR"), _event(start + duration, "ss")).alias("logs"),
-        _server_tags(F.lit(None).cast(SPAN["tags"].dataType.elementType)).alias("tags"),
-        (key * 16 + 8).alias("arrival_seq"),
+        "span.logs",
+        "span.tags",
+        "span.arrival_seq",
     )
 
 
 def raw_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    served = _served_lines(spark, sf_dir)
-    return _order_spans(spark, sf_dir).unionByName(_line_spans(served)).unionByName(_shared_spans(served))
+    return _order_spans(spark, sf_dir).unionByName(_line_spans(_served_lines(spark, sf_dir)))
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
