@@ -271,7 +271,7 @@ ORACLES: dict[str, str] = {
         FROM spans
     """,
     "align_from": """
-        SELECT event_id, epoch_ms(ts) // 300000 * 300000 AS from_300s, epoch_ms(ts) // 1800000 * 1800000 AS from_1800s FROM events
+        SELECT event_id, epoch_us(ts) // 300000000 * 300000 AS from_300s, epoch_us(ts) // 1800000000 * 1800000 AS from_1800s FROM events
     """,
     "snapshot_name": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS name FROM events",
     "shared_span_pairs": f"WITH {PAIRS} SELECT {_PAIR} FROM pairs WHERE shared",
@@ -336,7 +336,7 @@ ORACLES: dict[str, str] = {
         SELECT edge_id, {_VERTICES}, count, last_seen, error_count, effective_from, effective_to FROM numbered
     """,
     "snapshot_as_of": """
-        WITH moments AS (SELECT epoch_ms(ts) AS ms, event_type FROM events)
+        WITH moments AS (SELECT epoch_us(ts) // 1000 AS ms, event_type FROM events)
         SELECT instant_ms, snapshot_ms FROM (SELECT DISTINCT ms AS instant_ms FROM moments)
         ASOF LEFT JOIN (SELECT DISTINCT ms AS snapshot_ms FROM moments WHERE event_type = 'error') ON instant_ms >= snapshot_ms
     """,

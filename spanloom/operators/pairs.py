@@ -141,8 +141,9 @@ def match_ranked(
     right = ranked.filter(is_first).select(*scope, *[F.col(c).alias(f"right_{c}") for c in carried])
     matched = left.join(right, [*scope, "right_span_id"])
     if complete:
+        # One condition over both sides: a filter on either alone would sink below the shared shuffle.
         ends = F.col("left_service_name"), F.col("right_service_name")
-        matched = matched.filter((ends[0] != ends[1]) & (ends[0] != "") & (ends[1] != ""))
+        matched = matched.filter((ends[0] != ends[1]) & (F.least(*ends) != ""))
     return _assign_roles(matched, scope, arrival, extra)
 
 

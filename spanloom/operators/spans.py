@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from spanloom.functions import spans as fs
 
@@ -27,16 +27,12 @@ def light_spans(spans: DataFrame, tag_keys: Sequence[str] = ()) -> DataFrame:
     """
     arrival = F.col("arrival_seq") if "arrival_seq" in spans.columns else F.col("start_us")
     trace = F.col("trace_id") if "trace_id" in spans.columns else F.lit("")
-
-    def never_null(name: Column | str) -> Column:
-        return F.coalesce(name, F.lit(""))
-
     return accumulable_filter(spans).select(
-        never_null(trace).alias("trace_id"),
-        never_null("span_id").alias("span_id"),
-        never_null("parent_span_id").alias("parent_span_id"),
+        trace.alias("trace_id"),
+        "span_id",
+        F.coalesce("parent_span_id", F.lit("")).alias("parent_span_id"),
         fs.integer_div(F.col("start_us"), 1000).alias("time_ms"),
-        never_null("service_name").alias("service_name"),
+        "service_name",
         "operation_name",
         "duration_us",
         fs.span_type(F.col("logs"), F.col("tags")).alias("span_type"),
@@ -58,7 +54,9 @@ def dedupe_spans(
     identity = [*scope, *IDENTITY]
     rest = [c for c in spans.columns if c not in identity]
     order = F.struct(*arrival, *[c for c in ("time_ms", "duration_us", "operation_name", "span_type") if c in rest])
-    first = spans.groupBy(*identity).agg(F.min_by(F.struct(*rest), order).alias("_first"))
+    # Keys that cannot be null keep the optimizer from adding a different filter for each use.
+    keyed = spans.withColumns({c: F.coalesce(c, F.lit("")) for c in identity})
+    first = keyed.groupBy(*identity).agg(F.min_by(F.struct(*rest), order).alias("_first"))
     return first.select(*[F.col(c) if c in identity else F.col("_first")[c].alias(c) for c in spans.columns])
 
 
