@@ -41,33 +41,36 @@ def _is_event(field: Column) -> Column:
 
 def event_bits(logs: Column) -> Column:
     """The bits of all role events in a span's logs, or-ed together."""
-    no_fields = F.array().cast("array<struct<key:string,v_str:string>>")
-    fields = F.flatten(F.transform(logs, lambda log: F.coalesce(log["fields"], no_fields)))
-
-    def bit(field: Column) -> Column:
-        name = F.lower(field["v_str"])
+    def bit(event: Column) -> Column:
         found = F.lit(0)
-        for event, value in EVENT_BITS.items():
-            found = F.when(name == event, F.lit(value)).otherwise(found)
+        for name, value in EVENT_BITS.items():
+            found = F.when(event == name, value).otherwise(found)
         return found
 
-    return F.coalesce(
-        F.aggregate(F.filter(fields, _is_event), F.lit(0), lambda acc, f: acc.bitwiseOR(bit(f))),
-        F.lit(0),
-    )
+    fields = F.flatten(F.array_compact(logs["fields"]))
+    events = F.transform(F.filter(fields, _is_event), lambda f: F.lower(f["v_str"]))
+    bits = F.aggregate(events, F.lit(0), lambda known, event: known.bitwiseOR(bit(event)))
+    return F.when(F.size(logs) > 0, bits).otherwise(0)
+
+
+def _first_value(tags: Column, key: str) -> Column:
+    return F.get(tags["v_str"], (F.array_position(tags["key"], key) - 1).cast("int"))
+
+
+def _last_value(tags: Column, key: str) -> Column:
+    keys, values = F.reverse(tags["key"]), F.reverse(tags["v_str"])
+    return F.get(values, (F.array_position(keys, key) - 1).cast("int"))
 
 
 def span_type(logs: Column, tags: Column) -> Column:
     """Role of a span: exactly the client or the server events, else the first ``span.kind`` tag."""
-    bits = event_bits(logs)
-    kind = F.lower(F.get(F.filter(tags, lambda t: t["key"] == "span.kind"), F.lit(0))["v_str"])
-    return (
-        F.when(bits == CLIENT_BITS, CLIENT)
-        .when(bits == SERVER_BITS, SERVER)
-        .when(kind == "client", CLIENT)
-        .when(kind == "server", SERVER)
-        .otherwise(OTHER)
-    )
+    by_bits = {CLIENT_BITS: CLIENT, SERVER_BITS: SERVER}
+    all_bits = sum(EVENT_BITS.values())
+    # Looked up rather than compared, so that the logs are walked once.
+    told_by_events = F.get(F.array(*[F.lit(by_bits.get(b)).cast("string") for b in range(all_bits + 1)]), event_bits(logs))
+    kind = F.lower(_first_value(tags, "span.kind"))
+    told_by_tag = F.when(kind == "client", CLIENT).when(kind == "server", SERVER)
+    return F.coalesce(told_by_events, told_by_tag, F.lit(OTHER))
 
 
 def event_timestamp(logs: Column, event: str) -> Column:
@@ -86,12 +89,9 @@ def collect_tags(tags: Column, keys: Sequence[str] = ()) -> Column:
 
     The error tag is always collected because edge statistics count it.
     """
-    def last(key: str) -> Column:
-        return F.try_element_at(F.filter(tags, lambda t: t["key"] == key), F.lit(-1))["v_str"]
-
     entries: list[Column] = []
     for key in dict.fromkeys([*keys, ERROR_TAG]):
-        entries += [F.lit(key), last(key)]
+        entries += [F.lit(key), _last_value(tags, key)]
     return F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
 
 

@@ -17,8 +17,8 @@ a span among the distinct holders of its id:
 * a span of rank 1 looks for its parent whether that came before or after it;
 * a span of higher rank is only found by a parent that arrives after it.
 
-Ranks beyond the first are decided by arrival (then start time, service and
-parent id), ids compare case-sensitively, one pair is emitted per match, and
+Holders of one id that arrived together rank by start time, service and parent
+id, ids compare case-sensitively, one pair is emitted per match, and
 matches stay inside ``scope``: pass ``()`` where traces carry no trace id.
 """
 
@@ -34,6 +34,8 @@ from spanloom.operators.spans import IDENTITY, TRACE_SCOPE, dedupe_spans
 ARRIVAL = ("arrival_seq",)
 _TIES = ("time_ms", "service_name", "parent_span_id", "span_id")
 
+_SALTS = 32
+
 PAIR_SIDE = {
     "span_id": "span_id",
     "parent_span_id": "parent_span_id",
@@ -148,8 +150,8 @@ def match_ranked(
 
 
 def _arrived_before(arrival: Sequence[str]) -> Column:
-    """The left span came ahead of the right one."""
-    *front, last = [*arrival, *_TIES]
+    """The left span arrived ahead of the right one."""
+    *front, last = arrival
     before = F.col(f"left_{last}") < F.col(f"right_{last}")
     for name in reversed(front):
         left, right = F.col(f"left_{name}"), F.col(f"right_{name}")
@@ -258,20 +260,25 @@ def merge_style_filter(pairs: DataFrame, mode: str = "as_of", registry: DataFram
     """Refuse a non-shared pair whose server is known to use shared span ids.
 
     ``as_of`` refuses from the moment the service was registered, ``final`` for
-    all time. Shared pairs always pass. The registry has a row per service; no
-    hint is given, so Spark broadcasts it when its size at run time allows and
-    otherwise joins by service with skew splitting.
+    all time. Shared pairs always pass. A few services take most calls, so the
+    join key is salted: where the registry turns out too large to broadcast, a
+    busy service is spread over ``_SALTS`` tasks, and later aggregations are not
+    tempted to reuse a partitioning by service.
     """
     if mode not in ("as_of", "final"):
         raise ValueError(f"mode must be 'as_of' or 'final', not {mode!r}")
     known = shared_registry(pairs) if registry is None else registry
     known = known.filter("use_shared_span").select(
-        F.col("service_name").alias("server_service"), F.col("first_shared_seq").alias("_since")
+        F.col("service_name").alias("server_service"),
+        F.col("first_shared_seq").alias("_since"),
+        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"),
     )
+    salt = F.pmod(F.xxhash64("client_span_id", "server_span_id", "emit_seq"), F.lit(_SALTS)).cast("int")
     refused = F.col("_since").isNotNull()
     if mode == "as_of":
         refused = refused & (F.col("emit_seq") >= F.col("_since"))
-    return pairs.join(known, "server_service", "left").filter(F.col("shared") | ~refused).drop("_since").select(*pairs.columns)
+    joined = pairs.withColumn("_salt", salt).join(known, ["server_service", "_salt"], "left")
+    return joined.filter(F.col("shared") | ~refused).select(*pairs.columns)
 
 
 def accepted_pairs(

@@ -29,9 +29,11 @@ _ENTRY = "array<struct<side:string,key:string,value:string>>"
 
 
 def _tag_entries(tags: Column) -> Column:
-    """A tag map as a sorted array without the error tag, fit for grouping."""
-    entries = F.filter(F.map_entries(tags), lambda e: e["key"] != fs.ERROR_TAG)
-    return F.coalesce(F.sort_array(entries), F.array().cast(_NO_TAGS))
+    """A tag map as an array, fit for grouping.
+
+    Equal maps in another order would only be collapsed less, so no sorting here.
+    """
+    return F.coalesce(F.map_entries(tags), F.array().cast(_NO_TAGS))
 
 
 def _labelled(entries: Column, side: str) -> Column:
@@ -39,12 +41,11 @@ def _labelled(entries: Column, side: str) -> Column:
 
 
 def _unfold(rows: DataFrame, by_side: dict[str, Column]) -> DataFrame:
-    """One row per tag plus one, with an empty side, for the statistics."""
+    """One row per tag but the error tag, plus one, with an empty side, for the statistics."""
     statistics = F.array(F.struct(F.lit("").alias("side"), F.lit("").alias("key"), F.lit(None).cast("string").alias("value")))
     tags = [_labelled(entries, side) for side, entries in by_side.items()]
-    return rows.withColumn("_tag", F.explode(F.concat(statistics, *tags).cast(_ENTRY))).select(
-        "*", "_tag.side", "_tag.key", "_tag.value"
-    ).drop("_tag")
+    unfolded = rows.withColumn("_tag", F.explode(F.concat(statistics, *tags).cast(_ENTRY)))
+    return unfolded.select("*", "_tag.side", "_tag.key", "_tag.value").drop("_tag").filter(F.col("key") != fs.ERROR_TAG)
 
 
 def _fold(reduced: DataFrame, keys: Sequence[str], statistics: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ events and partly by the ``span.kind`` tag.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from spanloom.operators.spans import light_spans
 from spanloom.schemas import SPAN
@@ -19,8 +20,15 @@ NOW_MS = BASE_MS + 86_250_000
 TAG_KEYS = ("infrastructure_provider", "tier")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is looked up once, not by a job per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _tag(key: str, value: Column | str) -> Column:
