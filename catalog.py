@@ -415,15 +415,29 @@ def snapshot_history(spark, sf_dir):
 
 
 @query
-def snapshot_csv(spark, sf_dir):
-    """Write and read the CSV tables, ids included."""
+def snapshot_csv_write(spark, sf_dir):
+    """The node table of a CSV snapshot, read as a plain file."""
+    store = snap_io.SnapshotStore(spark, scratch_path(spark, "snapshots"))
+    nodes_path, _ = store.write(_service_graph(spark, sf_dir), tb.NOW_MS)
+    return snap_io.read_nodes_csv(spark, nodes_path.replace(":", "%3A"))
+
+
+@query
+def snapshot_csv_read(spark, sf_dir):
+    """The typed edge table of a CSV snapshot."""
     store = snap_io.SnapshotStore(spark, scratch_path(spark, "snapshots"))
     store.write(_service_graph(spark, sf_dir), tb.NOW_MS)
     return store.edges().drop("snapshot_ts")
 
 
 @query
-def graph_json_round_trip(spark, sf_dir):
+def graph_json_write(spark, sf_dir):
+    """One JSON object per edge."""
+    return graph_json.graph_json(_service_graph(spark, sf_dir))
+
+
+@query
+def graph_json_read(spark, sf_dir):
     """The graph written as JSON and read again."""
     path = scratch_path(spark, "graph-json")
     graph_json.write_graph_json(_service_graph(spark, sf_dir), path)
@@ -472,6 +486,31 @@ def span_pairs_stream(spark, sf_dir):
     return flat_tags(_table(spark, _span_job(spark, sf_dir), "edges", schemas.EDGE))
 
 
+@query
+def late_spans(spark, sf_dir):
+    """All order lines arrive a batch after the orders, far behind stream time, and still match."""
+    job = pairing.SpanJob(scratch_path(spark, "job"), interval_ms=10 * times.DAY_MS, tag_keys=tb.TAG_KEYS)
+    raw = tb.raw_spans(spark, sf_dir)
+    is_order = F.col("arrival_seq") % 16 == 0
+    job.process(raw.filter(is_order), 0)
+    job.process(raw.filter(~is_order), 1)
+    return flat_tags(_table(spark, job, "edges", schemas.EDGE))
+
+
+@query
+def state_eviction(spark, sf_dir):
+    """What is remembered of all spans at a cutoff; some parents never came."""
+    orphaned = (F.col("parent_span_id") != "") & (F.col("arrival_seq") % 2 == 1)
+    light = tb.spans(spark, sf_dir).withColumn(
+        "parent_span_id", F.when(orphaned, F.concat(F.lit("X"), F.col("trace_id"))).otherwise(F.col("parent_span_id"))
+    )
+    present = pairing.admit(light, spark.createDataFrame([], pairing.CARRIED), 0)
+    kept = pairing.evict(present, tb.BASE_MS + 500_000)
+    return kept.select(
+        "trace_id", "span_id", "service_name", F.col("held").cast("int").alias("held"), F.col("waiting").cast("int").alias("waiting")
+    )
+
+
 @query
 def fanout(spark, sf_dir):
     """Row counts of the three tables the span job feeds."""
@@ -498,13 +537,55 @@ def registry_sink(spark, sf_dir):
 
 
 @query
-def tumbling_window(spark, sf_dir):
+def registry_source(spark, sf_dir):
+    """Pairs checked against the registry table the span job wrote."""
+    job = _span_job(spark, sf_dir)
+    known = tables.read_batch_before(spark, job.table("registry"), 1 << 40, schemas.REGISTRY)
+    accepted = pair_ops.accepted_pairs(tb.spans(spark, sf_dir), mode="final", registry=known)
+    return accepted.select(*_PAIR, F.col("shared").cast("int").alias("shared"))
+
+
+def _stored_edges(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "edges")
+    tables.write_batch(_edges(spark, sf_dir), path, 0)
+    return path
+
+
+@query
+def edge_sink(spark, sf_dir):
+    """Edges read back from their table."""
+    return flat_tags(tables.read_table(spark, _stored_edges(spark, sf_dir), schemas.EDGE))
+
+
+@query
+def edge_source(spark, sf_dir):
+    """Edges per hour of event time, counted from the stream over their table."""
+    counted = scratch_path(spark, "counted")
+    hours = tables.stream_table(spark, _stored_edges(spark, sf_dir), schemas.EDGE).groupBy(
+        times.window_start(F.col("source_timestamp"), HOUR_MS).alias("hour_ms")
+    ).agg(F.count(F.lit(1)).alias("edges"))
+    _ran(hours.writeStream.outputMode("update").foreachBatch(lambda rows, batch_id: tables.write_batch(rows, counted, batch_id))
+         .option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start())
+    return spark.read.parquet(counted).groupBy("hour_ms").agg(F.max("edges").alias("edges"))
+
+
+def _streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges through their table, the stream over it and the windowed aggregation; the current state at the end."""
-    edges_path, table = scratch_path(spark, "edges"), scratch_path(spark, "windowed")
-    tables.write_batch(_edges(spark, sf_dir), edges_path, 0)
-    stream = tables.stream_table(spark, edges_path, schemas.EDGE)
+    table = scratch_path(spark, "windowed")
+    stream = tables.stream_table(spark, _stored_edges(spark, sf_dir), schemas.EDGE)
     _ran(windows.start_windowed_edges(stream, table, scratch_path(spark, "checkpoint"), tb.TAG_KEYS, availableNow=True))
-    return flat_tags(windows.latest_windowed_edges(spark, table).drop("window_date"))
+    return windows.latest_windowed_edges(spark, table)
+
+
+@query
+def tumbling_window(spark, sf_dir):
+    return flat_tags(_streamed_windows(spark, sf_dir).drop("window_date"))
+
+
+@query
+def latest_state_view(spark, sf_dir):
+    """The service graph over the table the stream keeps."""
+    return flat_tags(graph.service_graph(_streamed_windows(spark, sf_dir), tb.WINDOW_MS, tb.NOW_MS))
 
 
 @query

@@ -194,6 +194,10 @@ def _hour_name(hour: int) -> str:
     return f"2024-01-01T{hour:02d}:00:00.000Z"
 
 
+def _json_tags(side: str) -> str:
+    return f"""concat_ws(',', '"infrastructure_provider":"' || {side}_provider || '"', '"tier":"' || {side}_tier || '"')"""
+
+
 _VERTICES = "source, source_provider, source_tier, destination, destination_provider, destination_tier"
 _PAIR = "trace_id, client_span_id, client_service, server_span_id, server_service, emit_seq"
 
@@ -366,10 +370,44 @@ ORACLES: dict[str, str] = {
                coalesce(n.error_count, 0) - coalesce(o.error_count, 0) AS error_count_delta
         FROM h1 o FULL JOIN h4 n ON {' AND '.join(f'o.{c} IS NOT DISTINCT FROM n.{c}' for c in _VERTICES.split(', '))}
     """,
-    "snapshot_csv": f"WITH {NODES} {_FACT}",
-    "graph_json_round_trip": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
+    "snapshot_csv_write": f"WITH {NODES} SELECT id, name, NULLIF(provider, '') AS provider, NULLIF(tier, '') AS tier FROM nodes",
+    "snapshot_csv_read": f"WITH {NODES} {_FACT}",
+    "graph_json_write": f"""WITH {GRAPH}
+        SELECT '{{"source":{{"name":"' || source || '","tags":{{' || {_json_tags('source')} || '}}}},"destination":{{"name":"'
+            || destination || '","tags":{{' || {_json_tags('destination')} || '}}}},"stats":{{"count":' || count || ',"lastSeen":'
+            || last_seen || ',"errorCount":' || error_count || '}},"effectiveFrom":' || effective_from || ',"effectiveTo":'
+            || effective_to || '}}' AS json
+        FROM graph
+    """,
+    "graph_json_read": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
     "span_source": f"WITH {SPANS} SELECT service_name, count(*) AS spans FROM spans GROUP BY service_name",
     "span_pairs_stream": f"WITH {EDGES} {_EDGE_ROWS}",
+    "late_spans": f"WITH {EDGES} {_EDGE_ROWS}",
+    "state_eviction": f"""WITH {SPANS},
+        ended AS (
+          SELECT *, start_us // 1000 + duration_us // 1000 AS end_ms,
+                 CASE WHEN parent_span_id <> '' AND arrival_seq % 2 = 1 THEN 'X' || trace_id ELSE parent_span_id END AS parent
+          FROM spans
+        ),
+        filed AS (
+          SELECT *, max(end_ms) OVER (PARTITION BY trace_id, span_id) AS id_end,
+                 max(end_ms) OVER (PARTITION BY trace_id, parent) AS parent_end
+          FROM ended
+        ),
+        kept AS (
+          SELECT trace_id, span_id, service_name, CAST(id_end > {BASE_MS + 500_000} AS INTEGER) AS held,
+                 CAST(parent LIKE 'X%' AND parent_end > {BASE_MS + 500_000} AS INTEGER) AS waiting
+          FROM filed
+        )
+        SELECT * FROM kept WHERE held = 1 OR waiting = 1
+    """,
+    "registry_source": f"""WITH {PAIRS}
+        SELECT {_PAIR}, CAST(shared AS INTEGER) AS shared FROM complete
+        WHERE shared OR server_service NOT IN (SELECT service_name FROM registry)
+    """,
+    "edge_sink": f"WITH {EDGES} {_EDGE_ROWS}",
+    "edge_source": f"WITH {EDGES} SELECT source_timestamp // 3600000 * 3600000 AS hour_ms, count(*) AS edges FROM edges GROUP BY ALL",
+    "latest_state_view": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
     "fanout": f"WITH {PAIRS} SELECT 'edges' AS part, count(*) AS rows FROM accepted UNION ALL SELECT 'latency', count(*) FROM accepted",
     "metric_sink": f"WITH {PAIRS} {_POINTS}",
     "registry_sink": f"WITH {PAIRS} SELECT service_name, 1 AS use_shared_span, first_shared_seq FROM registry",

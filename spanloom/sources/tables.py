@@ -1,8 +1,9 @@
 """Tables a stream writes batch by batch.
 
 Each micro-batch owns the folder ``batch_id=N``. Its content depends only on the
-batch and the state before it, so a repeated batch finds its folder complete and
-leaves it alone; an incomplete one is replaced.
+batch and the state before it, so a repeated batch that finds its folder marked
+complete leaves it alone, for readers may have seen it; any other is replaced.
+Batch N starts after N-1 is done, so earlier folders are always whole.
 """
 
 from __future__ import annotations
@@ -26,14 +27,13 @@ def write_batch(rows: DataFrame, table: str, batch_id: int, partition_by: Sequen
     writer.parquet(path)
 
 
-def committed_batches(spark: SparkSession, table: str) -> list[int]:
-    ids = [int(value) for value in files.partition_values(spark, table, BATCH)]
-    return sorted(i for i in ids if files.exists(spark, f"{table}/{BATCH}={i}/_SUCCESS"))
+def batches(spark: SparkSession, table: str) -> list[int]:
+    return sorted(int(value) for value in files.partition_values(spark, table, BATCH))
 
 
 def read_batch_before(spark: SparkSession, table: str, batch_id: int, schema: T.StructType) -> DataFrame:
     """The state the latest earlier batch left, empty ahead of the first."""
-    earlier = [i for i in committed_batches(spark, table) if i < batch_id]
+    earlier = [i for i in batches(spark, table) if i < batch_id]
     if not earlier:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{table}/{BATCH}={earlier[-1]}")
@@ -41,7 +41,7 @@ def read_batch_before(spark: SparkSession, table: str, batch_id: int, schema: T.
 
 def drop_batches_before(spark: SparkSession, table: str, batch_id: int) -> None:
     """Forget state no retry can ask for."""
-    for i in committed_batches(spark, table):
+    for i in batches(spark, table):
         if i < batch_id:
             files.drop_partition(spark, table, BATCH, str(i))
 

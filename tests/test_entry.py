@@ -5,7 +5,7 @@ from check_oracles import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 # A cross-section; tools/check_oracles.py runs them all.
-CHOSEN = ["span_type", "collect_tags", "dedupe_spans", "merge_style_filter", "edge_stats", "service_graph", "snapshot_csv", "tumbling_window"]
+CHOSEN = ["span_type", "collect_tags", "dedupe_spans", "merge_style_filter", "edge_stats", "service_graph", "snapshot_csv_read", "graph_json_write", "tumbling_window"]
 
 
 @pytest.fixture(scope="module")
