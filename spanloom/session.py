@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes; past that, smaller pieces run faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A retried snapshot write replaces its own partition and no other.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -41,8 +41,11 @@ def _event(at: Column, value: str, key: str = "event") -> Column:
     return F.struct(at.alias("timestamp"), fields.alias("fields"))
 
 
-def _only(condition: Column, tag: Column) -> Column:
-    return F.when(condition, tag)
+def _some(*tags: Column | tuple[Column, Column]) -> Column:
+    """An array of tags, those given with a condition only where it holds."""
+    none = F.array().cast(SPAN["tags"].dataType)
+    parts = [F.when(t[0], F.array(t[1])).otherwise(none) if isinstance(t, tuple) else F.array(t) for t in tags]
+    return F.concat(*parts)
 
 
 def _logs(condition: Column, *events: Column) -> Column:
@@ -58,15 +61,15 @@ def _order_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     duration = F.lit(200_000) + (key % 1000) * 100
     by_log = key % 2 == 0
     provider = F.when(key % 5 == 0, "dc").when(key % 5 == 1, "aws,dc").otherwise("aws")
-    tags = F.array_compact(F.array(
-        _only(~by_log, _tag("span.kind", "Client")),
-        _only(F.col("o_orderstatus") == "F", _tag("error", "true")),
-        _only(F.col("o_orderstatus") == "O", _tag("error", "false")),
+    tags = _some(
+        (~by_log, _tag("span.kind", "Client")),
+        (F.col("o_orderstatus") == "F", _tag("error", "true")),
+        (F.col("o_orderstatus") == "O", _tag("error", "false")),
         _tag("infrastructure_provider", "unset"),
         _tag("infrastructure_provider", provider),
         _tag("tier", (F.col("c_nationkey") % 3 + 1).cast("string")),
         _tag("http.url", F.concat(F.lit("/order/"), key.cast("string"))),
-    ))
+    )
     return rows.select(
         key.cast("string").alias("trace_id"),
         F.concat(F.lit("O"), key).alias("span_id"),
@@ -92,14 +95,14 @@ def _served_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _server_tags(extra: Column) -> Column:
+def _server_tags(*extra: tuple[Column, Column]) -> Column:
     nation = F.col("s_nationkey") % 3
-    return F.array_compact(F.array(
-        extra,
-        _only(F.col("flag") == "R", _tag("error", "true")),
-        _only(nation == 0, _tag("infrastructure_provider", "aws")),
-        _only(nation == 1, _tag("infrastructure_provider", "dc")),
-    ))
+    return _some(
+        *extra,
+        (F.col("flag") == "R", _tag("error", "true")),
+        (nation == 0, _tag("infrastructure_provider", "aws")),
+        (nation == 1, _tag("infrastructure_provider", "dc")),
+    )
 
 
 def _line_spans(served: DataFrame) -> DataFrame:
@@ -122,7 +125,7 @@ def _line_spans(served: DataFrame) -> DataFrame:
         order_id.alias("parent_span_id"),
         child_start.alias("start_us"),
         child_logs.alias("logs"),
-        _server_tags(_only(is_server & ~by_log, _tag("span.kind", "SERVER"))).alias("tags"),
+        _server_tags((is_server & ~by_log, _tag("span.kind", "SERVER"))).alias("tags"),
         (key * 16 + line).alias("arrival_seq"),
     )
     shared = F.struct(
@@ -130,11 +133,11 @@ def _line_spans(served: DataFrame) -> DataFrame:
         F.lit("").alias("parent_span_id"),
         shared_start.alias("start_us"),
         F.array(_event(shared_start, "SR"), _event(shared_start + duration, "ss")).alias("logs"),
-        _server_tags(F.lit(None).cast(SPAN["tags"].dataType.elementType)).alias("tags"),
+        _server_tags().alias("tags"),
         (key * 16 + 8).alias("arrival_seq"),
     )
     told = served.withColumn("nth", F.row_number().over(in_order)).withColumn(
-        "span", F.explode(F.array_compact(F.array(child, _only(shares, shared))))
+        "span", F.explode(F.when(shares, F.array(child, shared)).otherwise(F.array(child)))
     )
     return told.select(
         key.cast("string").alias("trace_id"),
