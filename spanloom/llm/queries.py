@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import chat, decontaminate, urls
+from spanloom.llm import chat, decontaminate, html, quality, urls, vectors
 from spanloom.llm.shared import read
 
 #: The URL rules of the query: host, path, verdict.
@@ -27,6 +27,19 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns))
 
 
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = read(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id")))
+    scored = quality.score(documents, quality.train(documents, learned))
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(read(spark, sf_dir, "pages"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
@@ -36,8 +49,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op3_quality_crf": op3_quality_crf,
+    "op5_html_text": op5_html_text,
     "op7_url_filter": op7_url_filter,
     "op9_decontaminate": op9_decontaminate,
+    "op10_embedding_links": op10_embedding_links,
 }
