@@ -16,6 +16,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +24,12 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 PIECE_AT_MOST = 64  # longer pieces are encoded but not remembered
 
 
 class PerfectHash:
-    """A minimal perfect hash: n keys to 0..n-1, by a displacement for each bucket of about four keys.
+    """A minimal perfect hash: n keys to 0..n-1, by a displacement for each bucket of about two keys.
 
     Buckets are placed largest first. A bucket of several keys gets the first displacement that sends all of them to free
     slots; buckets of one key are told their slot outright (as -1 - slot).
@@ -36,7 +37,7 @@ class PerfectHash:
 
     def __init__(self, keys: list[bytes]) -> None:
         n = self.size = len(keys)
-        self.buckets = max(1, n // 4)
+        self.buckets = max(1, n // 2)
         self.displacements = np.zeros(self.buckets, dtype=np.int64)
         self.order = np.zeros(n, dtype=np.int64)
         members: list[list[int]] = [[] for _ in range(self.buckets)]
@@ -117,80 +118,99 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self._pattern = regex.compile(vocabulary.pattern)
+        # Pieces since the last turn and those of the turn before: what is still in use survives a turn.
         self._pieces: dict[str, tuple[int, ...]] = {}
+        self._before: dict[str, tuple[int, ...]] = {}
+        self._tokens: dict[str, tuple[int, ...]] = {}
+        self._ranks: dict[bytes, int | None] = {}
+        self._bytes = [bytes([i]) for i in range(256)]
         # Between a character and a blank or line feed after it every token ends, so texts are cut there first.
         self._piece = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-        self._other_space = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​﻿]")
+        self._other_space = re.compile("[^\\S \n]|[\x00\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]")
+
+    def _rank(self, token: bytes) -> int | None:
+        """``id_of``, remembered."""
+        found = self._ranks.get(token, -1)
+        if found == -1:
+            found = self.vocabulary.id_of(token)
+            if len(self._ranks) >= REMEMBERED:
+                self._ranks.clear()
+            if len(token) <= PIECE_AT_MOST:
+                self._ranks[token] = found
+        return found
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary: lowest rank first, leftmost of equals."""
-        id_of, n = self.vocabulary.id_of, len(token)
-        part = [token[i : i + 1] for i in range(n)]
+        rank, n = self._rank, len(token)
+        part = [self._bytes[b] for b in token]
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        ranks: dict[bytes, int | None] = {}
-
-        def rank(pair: bytes) -> int | None:
-            if pair not in ranks:
-                ranks[pair] = id_of(pair)
-            return ranks[pair]
-
         heap = []
         for i in range(n - 1):
-            found = rank(part[i] + part[i + 1])
+            found = rank(token[i : i + 2])
             if found is not None:
                 heap.append((found, i, 2))
         heapq.heapify(heap)
         while heap:
             _, i, size = heapq.heappop(heap)
             j = after[i]
-            if not part[i] or j >= n or len(part[i]) + len(part[j]) != size:
+            if j >= n or not part[i] or len(part[i]) + len(part[j]) != size:
                 continue  # one of the two has changed since
-            part[i] += part[j]
+            both = part[i] = part[i] + part[j]
             part[j] = b""
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                found = rank(part[i] + part[k])
+                found = rank(both + part[k])
                 if found is not None:
-                    heapq.heappush(heap, (found, i, len(part[i]) + len(part[k])))
+                    heapq.heappush(heap, (found, i, size + len(part[k])))
             h = before[i]
             if h >= 0:
-                found = rank(part[h] + part[i])
+                found = rank(part[h] + both)
                 if found is not None:
-                    heapq.heappush(heap, (found, h, len(part[h]) + len(part[i])))
-        found = []
-        i = 0
-        while i < n:
-            found.append(id_of(part[i]))
-            i = after[i]
-        return found
+                    heapq.heappush(heap, (found, h, len(part[h]) + size))
+        return [rank(p) for p in part if p]
 
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
-        found: list[int] = []
+        known, found = self._tokens, []
         for match in self._pattern.findall(piece):
-            token = match.encode()
-            whole = self.vocabulary.id_of(token)
-            if whole is None:
-                found += self.merge(token)
-            else:
-                found.append(whole)
+            ids = known.get(match)
+            if ids is None:
+                token = match.encode()
+                whole = self.vocabulary.id_of(token)
+                ids = tuple(self.merge(token)) if whole is None else (whole,)
+                if len(match) <= PIECE_AT_MOST:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[match] = ids
+            found += ids
         return tuple(found)
 
     def encode(self, text: str) -> list[int]:
         if self._other_space.search(text):
             return list(self._encode_piece(text))
-        known, found = self._pieces, []
-        for piece in self._piece.findall(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self._encode_piece(piece)
-                if len(piece) <= PIECE_AT_MOST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[piece] = ids
-            found += ids
-        return found
+        if "  " in text or "\n " in text or text[-1:] == " " or text[:1] == " ":
+            pieces = self._piece.findall(text)
+        else:  # every blank has a character on both sides; a blank goes with what follows, and is left out of all keys but the first
+            pieces = text.split(" ")
+            pieces[0] = "\0" + pieces[0]
+            return self._look_up(pieces, lambda p: self._encode_piece(p[1:] if p[0] == "\0" else " " + p))
+        return self._look_up(["\0" + p for p in pieces], lambda p: self._encode_piece(p[1:]))
+
+    def _look_up(self, pieces: list[str], encode: Callable[[str], tuple[int, ...]]) -> list[int]:
+        """The ids of pieces in a row; a piece that begins with a zero character stands for the rest of it."""
+        if len(self._pieces) > REMEMBERED:
+            self._before, self._pieces = self._pieces, {}
+        known = self._pieces
+        found = list(map(known.get, pieces))
+        if None in found:
+            strange: dict[str, tuple[int, ...]] = {}
+            for i, ids in enumerate(found):
+                if ids is None:
+                    piece = pieces[i]
+                    ids = known.get(piece) or strange.get(piece) or self._before.get(piece) or encode(piece)
+                    (known if len(piece) <= PIECE_AT_MOST else strange)[piece] = found[i] = ids
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.llm import crf
-from spanloom.llm.shared import ByteHashes
+from spanloom.llm.shared import ByteHashes, text_batches
 
 SAMPLE = 4000
-BATCH_BYTES = 4 << 20
+BATCH = 4 << 20  # characters described at a time
 
 _KINDS = {
     "lower": b"abcdefghijklmnopqrstuvwxyz", "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "space": b" \t\r",
@@ -94,19 +94,6 @@ def describe(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.column_stack([lone, own, before, after, alone]), size + 1, lengths
 
 
-def _batches(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Consecutive texts of about BATCH_BYTES together; a longer one stands alone."""
-    part, size = [], 0
-    for text in texts:
-        if part and size + len(text or "") > BATCH_BYTES:
-            yield part
-            part, size = [], 0
-        part.append(text)
-        size += len(text or "")
-    if part:
-        yield part
-
-
 class Model:
     """A fitted field with the scale of its features."""
 
@@ -116,7 +103,7 @@ class Model:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Quality of each text, 0 to 1."""
         found = []
-        for part in _batches(texts):
+        for part in text_batches(texts, BATCH):
             features, size, lengths = describe(part)
             good, _, _ = crf.forward_backward(((features - self.centre) / self.spread) @ self.weights, lengths, self.step)
             text = np.repeat(np.arange(len(lengths)), lengths)

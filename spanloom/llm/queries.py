@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import chat, decontaminate, html, quality, urls, vectors
+from spanloom.llm import bpe, chat, decontaminate, html, quality, tokens, urls, vectors
 from spanloom.llm.shared import read
+from spanloom.session import scratch_path
 
 #: The URL rules of the query: host, path, verdict.
 RULES = [
@@ -36,6 +38,14 @@ def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    tokens.write_tokens(read(spark, sf_dir, "documents"), path, definition, end_id=2)
+    return tokens.read_tokens(spark, path)
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(read(spark, sf_dir, "pages"))
 
@@ -45,6 +55,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(read(spark, sf_dir, "documents"), vocabulary)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -56,8 +71,10 @@ def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_quality_crf": op3_quality_crf,
+    "op4_token_files": op4_token_files,
     "op5_html_text": op5_html_text,
     "op7_url_filter": op7_url_filter,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_links": op10_embedding_links,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -94,6 +94,19 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     return nodes.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def text_batches(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+    """Consecutive texts of about ``size`` characters together; a longer one stands alone."""
+    part, held = [], 0
+    for text in texts:
+        if part and held + len(text or "") > size:
+            yield part
+            part, held = [], 0
+        part.append(text)
+        held += len(text or "")
+    if part:
+        yield part
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the SplitMix64 finaliser)."""
     with np.errstate(over="ignore"):
