@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, IntegerType
 
 REMEMBERED = 500_000
 PIECE_AT_MOST = 64  # longer pieces are encoded but not remembered
@@ -232,7 +233,7 @@ def with_encoder(spark: SparkSession, vocabulary: Vocabulary) -> Callable[[], En
 def encode_documents(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every row; a text at a time, no shuffle."""
     encoder = with_encoder(documents.sparkSession, vocabulary)
-    schema = documents.select("doc_id").schema.add("ids", "array<int>")
+    schema = documents.select("doc_id").schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

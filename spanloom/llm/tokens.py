@@ -23,6 +23,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, LongType
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
@@ -152,7 +153,7 @@ def write_tokens(documents: DataFrame, path: str, definition: str, end_id: int)
     """
     encoder = _encoder(documents.sparkSession, definition)
     schema = documents.select(F.lit(0).cast("long").alias("segment"), F.array("doc_id").alias("doc_ids")).schema
-    schema = schema.add("counts", "array<bigint>").add("n_ids", "bigint").add("payload", "binary")
+    schema = schema.add("counts", ArrayType(LongType())).add("n_ids", "long").add("payload", "binary")
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +199,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     offsets = sizes.select("part", "segment", (F.sum("n_ids").over(inside) - F.col("n_ids")).alias("offset"))
     places = offsets.join(before, "part").select("part", "segment", (F.col("base") + F.col("offset")).alias("first"))
     schema = stored.select("part", "segment", F.get("doc_ids", F.lit(0)).alias("doc_id")).schema
-    schema = schema.add("inner", "bigint").add("n_tokens", "bigint").add("ids_crc32", "bigint")
+    schema = schema.add("inner", "long").add("n_tokens", "long").add("ids_crc32", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
