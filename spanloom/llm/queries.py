@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import bpe, chat, decontaminate, html, quality, tokens, urls, vectors
+from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, tokens, urls, vectors
 from spanloom.llm.shared import read
 from spanloom.session import scratch_path
 
@@ -29,6 +29,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns))
 
 
+def op2_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = minhash.near_copies(read(spark, sf_dir, "documents"))
+    return classes.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+
+
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     learned = read(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id")))
@@ -70,6 +75,7 @@ def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_minhash_classes": op2_minhash_classes,
     "op3_quality_crf": op3_quality_crf,
     "op4_token_files": op4_token_files,
     "op5_html_text": op5_html_text,
