@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, tokens, urls, vectors
+from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repeats, tokens, urls, vectors
 from spanloom.llm.shared import read
 from spanloom.session import scratch_path
 
@@ -55,6 +55,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(read(spark, sf_dir, "pages"))
 
 
+def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(read(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_crf": op3_quality_crf,
     "op4_token_files": op4_token_files,
     "op5_html_text": op5_html_text,
+    "op6_suffix_repeats": op6_suffix_repeats,
     "op7_url_filter": op7_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
