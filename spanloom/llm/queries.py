@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+
 from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repeats, tokens, urls, vectors
 from spanloom.llm.shared import read
 from spanloom.session import scratch_path
@@ -88,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_links": op10_embedding_links,
+    "pipeline": corpus_pipeline.run,
 }
