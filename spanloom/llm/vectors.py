@@ -27,18 +27,25 @@ from spanloom.llm.shared import block_pairs, components, stored
 
 NEAREST = 8
 SHARED = 3
+APART = 0.9  # pivots are less alike than this
 PIVOTS_AT_MOST = 4096
 BLOCK = 512
 
 
 def _pivots(vectors: DataFrame, total: int, at_most: int) -> dict[int, np.ndarray]:
-    """For every dimension (as many vectors as the sample holds), a matrix of unit pivots: the vectors with the smallest hashes."""
+    """For every dimension, a matrix of unit pivots: of twice as many vectors as wanted, those with the smallest hashes, the first that lie apart.
+
+    Pivots side by side would tell vectors near them apart by nothing but noise, as in a large group of near copies.
+    """
     n = int(min(at_most, max(16, 4 * math.isqrt(max(total, 1)))))
-    rows = vectors.orderBy(F.xxhash64("key", F.lit("pivot")), "vec_id").limit(n).select("vector").collect()
+    rows = vectors.orderBy(F.xxhash64("key", F.lit("pivot")), "vec_id").limit(2 * n).select("vector").collect()
     found: dict[int, list[np.ndarray]] = {}
     for (vector,) in rows:
         v = np.asarray(vector, dtype=np.float64)
-        found.setdefault(len(v), []).append(v / np.linalg.norm(v))
+        v /= np.linalg.norm(v)
+        chosen = found.setdefault(len(v), [])
+        if len(chosen) < n and (not chosen or (np.array(chosen) @ v).max() < APART):
+            chosen.append(v)
     return {size: np.array(rows) for size, rows in found.items()}
 
 
