@@ -39,7 +39,7 @@ def shingles(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, n
     total = np.zeros(len(code), dtype=U64)
     with np.errstate(over="ignore"):
         for j in range(words):
-            k = len(code) - j
+            k = max(0, len(code) - j)
             inside = left[:k] > j
             total[:k] += np.where(inside, mix(code[j:] + _GOLDEN * U64(j + 1)), U64(0))
     return mix(total[first]), text[first]
