@@ -46,7 +46,7 @@ _CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|content
 # Weights of the block classifier (log odds of content).
 _BIAS, _IN_ARTICLE, _IN_FRAME, _IN_HEADER, _NAMED_CONTENT = -1.6, 5.0, -9.0, -6.0, 1.5
 _PROSE_TAG, _LINKED, _PER_DOUBLING, _WORDS_UP_TO = 0.8, -4.0, 0.5, 64
-# Capacity between blocks next to each other, and between blocks next to each other below one parent; halved by each step in the tree.
+# Capacity between blocks next to each other, and between blocks next to each other below one parent; halved by each step in the tree beyond siblings.
 _NEXT, _SIBLING = 0.8, 0.6
 
 
@@ -145,15 +145,15 @@ def log_odds(text: str, element: _Element, linked: float) -> float:
 
 
 def _distance(a: _Element, b: _Element) -> int:
-    """Steps between two elements in the tree."""
-    steps = 0
+    """Steps between two elements in the tree, beyond those between siblings."""
+    steps = -2
     while a is not b:
         if a.depth >= b.depth:
             a = a.parent
         else:
             b = b.parent
         steps += 1
-    return steps
+    return max(0, steps)
 
 
 def main_text(page: str | None) -> str:
