@@ -46,7 +46,7 @@ _CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|content
 # Weights of the block classifier (log odds of content).
 _BIAS, _IN_ARTICLE, _IN_FRAME, _IN_HEADER, _NAMED_CONTENT = -1.6, 5.0, -9.0, -6.0, 1.5
 _PROSE_TAG, _LINKED, _PER_DOUBLING, _WORDS_UP_TO = 0.8, -4.0, 0.5, 64
-# Capacity between blocks next to each other, and between blocks next to each other below one parent; halved by each step in the tree beyond siblings.
+# Capacity between blocks next to each other, and between blocks next to each other below one parent; lessened by their distance.
 _NEXT, _SIBLING = 0.8, 0.6
 
 
@@ -144,16 +144,16 @@ def log_odds(text: str, element: _Element, linked: float) -> float:
     return score
 
 
-def _distance(a: _Element, b: _Element) -> int:
-    """Steps between two elements in the tree, beyond those between siblings."""
-    steps = -2
+def _nearness(a: _Element, b: _Element) -> float:
+    """1 for siblings of one kind, halved for unlike kinds and by each step in the tree beyond siblings."""
+    factor, steps = (1.0 if a.tag == b.tag else 0.5), -2
     while a is not b:
         if a.depth >= b.depth:
             a = a.parent
         else:
             b = b.parent
         steps += 1
-    return max(0, steps)
+    return factor * 0.5 ** max(0, steps)
 
 
 def main_text(page: str | None) -> str:
@@ -164,11 +164,11 @@ def main_text(page: str | None) -> str:
     last_below: dict[int, int] = {}
     for i, (_, element, _) in enumerate(found):
         if i:
-            links.append((i - 1, i, _NEXT * 0.5 ** _distance(found[i - 1][1], element)))
+            links.append((i - 1, i, _NEXT * _nearness(found[i - 1][1], element)))
         parent = id(element.parent or element)
         before = last_below.get(parent)
         if before is not None and before < i - 1:
-            links.append((before, i, _SIBLING * 0.5 ** _distance(found[before][1], element)))
+            links.append((before, i, _SIBLING * _nearness(found[before][1], element)))
         last_below[parent] = i
     return "\n".join(b[0] for b, keep in zip(found, min_cut(gain, links)) if keep)
 
