@@ -16,33 +16,18 @@ def found(frame):
     return sorted((r.client_service, r.server_service, r.client_span_id, r.shared) for r in frame.collect())
 
 
+# (spans in order of arrival, calls, services registered as using shared ids), each written from one rule.
 SCENARIOS = {
-    "chain": ([("I1", "I2", "svc1"), ("I3", "I1", "svc1"), ("I4", "I3", "svc2"), ("I5", "I4", "svc2"), ("I6", "I5", "svc3"),
-               ("I7", "I6", "svc3"), ("I8", "I7", "svc4"), ("I9", "I8", "svc4"), ("I10", "I9", "svc5"), ("I11", "I10", "svc5")],
-              ["svc1>svc2", "svc2>svc3", "svc3>svc4", "svc4>svc5"], []),
-    "typed": ([("I1", "I2", "svc1", S), ("I4", "I1", "svc2", S), ("I5", "I4", "svc2", C), ("I6", "I5", "svc3", S),
-               ("I8", "I6", "svc4", S), ("I9", "I8", "svc4", C), ("I10", "I9", "svc5", C), ("I11", "I10", "svc6", S)],
-              ["svc2>svc3", "svc5>svc6"], []),
-    "child_first": ([("I1", "I2", "svc1"), ("I3", "I1", "svc1"), ("I4", "I3", "svc2"), ("I6", "I5", "svc3"), ("I5", "I4", "svc2"),
-                     ("I7", "I6", "svc3"), ("I8", "I7", "svc4"), ("I9", "I8", "svc4"), ("I10", "I9", "svc5"), ("I11", "I10", "svc5")],
-                    ["svc1>svc2", "svc2>svc3", "svc3>svc4", "svc4>svc5"], []),
-    "fork": ([("I1", "I2", "svc1"), ("I3", "I1", "svc1"), ("I4", "I3", "svc2"), ("I6", "I5", "svc3"), ("I5", "I4", "svc2"),
-              ("I7", "I6", "svc3"), ("I8", "I7", "svc4"), ("I9", "I8", "svc4"), ("I10", "I8", "svc4"), ("I11", "I9", "svc5"),
-              ("I12", "I11", "svc5"), ("I13", "I10", "svc6"), ("I14", "I13", "svc6")],
-             ["svc1>svc2", "svc2>svc3", "svc3>svc4", "svc4>svc5", "svc4>svc6"], []),
-    "duplicate": ([("I1", "I2", "svc1"), ("I1", "I2", "svc1"), ("I3", "I1", "svc2"), ("I4", "I3", "svc2")], ["svc1>svc2"], []),
-    "mixed": ([("I1", "I2", "svc1", C), ("I1", "I2", "svc2", S), ("I2", "I1", "svc2", C), ("I3", "I2", "svc3", S),
-               ("I4", "I3", "svc3", C), ("I4", "I3", "svc4", S)],
-              ["svc1>svc2", "svc2>svc3", "svc3>svc4"], ["svc2", "svc4"]),
-    "shared_style_kept": ([("I1", "I2", "svc1", C), ("I1", "I2", "svc2", S), ("I3", "I1", "svc2", C), ("I3", "I1", "svc3", S),
-                           ("T1", "T2", "svc1", C), ("T3", "T1", "svc3", S), ("T3", "T1", "svc2", C)],
-                          ["svc1>svc2", "svc2>svc3", "svc2>svc3"], ["svc2", "svc3"]),
-    "auto_correct": ([("I1", "I2", "svc1", C), ("I3", "I1", "svc3", S), ("I1", "I2", "svc2", S), ("I3", "I1", "svc2", C),
-                      ("T1", "T2", "svc1", C), ("T3", "T1", "svc3", S)],
-                     ["svc1>svc2", "svc1>svc3", "svc2>svc3"], ["svc2", "svc3"]),
-    "shared_server_first": ([("I1", "I2", "svc2", S), ("I2", "I1", "svc3", S), ("I3", "I2", "svc4", S), ("I1", "I2", "svc1", C),
-                             ("I2", "I1", "svc2", C), ("I3", "I2", "svc3", C)],
-                            ["svc1>svc2", "svc2>svc3", "svc3>svc4"], ["svc2", "svc3", "svc4"]),
+    "relay": ([("r", "", "web"), ("r.1", "r", "web"), ("a", "r.1", "auth"), ("a.1", "a", "auth"), ("d", "a.1", "db")], ["auth>db", "web>auth"], []),
+    "within_one_service": ([("x", "", "solo"), ("y", "x", "solo"), ("z", "nowhere", "solo")], [], []),
+    "roles": ([("c1", "", "shop", C), ("s1", "c1", "stock", S), ("c2", "s1", "stock", C), ("s2", "c2", "ledger", S)], ["shop>stock", "stock>ledger"], []),
+    "parent_last": ([("d", "a.1", "db"), ("a.1", "a", "auth"), ("a", "r", "auth"), ("r", "", "web")], ["auth>db", "web>auth"], []),
+    "fan": ([("f", "", "front"), ("g1", "f", "image"), ("g2", "f", "price"), ("g3", "f", "tax")], ["front>image", "front>price", "front>tax"], []),
+    "delivered_twice": ([("p", "", "inner"), ("p", "", "inner"), ("q", "p", "outer"), ("q", "p", "outer")], ["inner>outer"], []),
+    "one_id_two_ends": ([("s", "", "alpha", C), ("s", "", "beta", S)], ["alpha>beta"], ["beta"]),
+    "refused_once_registered": ([("s", "", "alpha", C), ("s", "", "beta", S), ("t", "", "gamma", C), ("u", "t", "beta", S)], ["alpha>beta"], ["beta"]),
+    "accepted_until_registered": ([("t", "", "gamma", C), ("u", "t", "beta", S), ("s", "", "alpha", C), ("s", "", "beta", S), ("v", "", "delta", C), ("w", "v", "beta", S)],
+                                  ["alpha>beta", "gamma>beta"], ["beta"]),
 }
 
 
@@ -171,15 +156,15 @@ def test_interval(light):
 
 def test_edge_and_latency(raw):
     spans = light_spans(raw([
-        raw_span("a", "x", "foo", C, start_ms=5_000, duration_us=1500, seq=1, tags=[("tier", "1")]),
-        raw_span("a", "x", "baz", S, start_ms=5_500, duration_us=500, seq=2, tags=[("error", "true")]),
+        raw_span("k7", "", "till", C, start_ms=81_000, duration_us=9_400, seq=1, tags=[("tier", "edge")]),
+        raw_span("k7", "", "bank", S, start_ms=81_004, duration_us=2_300, seq=2, tags=[("error", "true")]),
     ]), ["tier"])
     accepted = pairs.accepted_pairs(spans)
     edge = edges.graph_edges(accepted).first()
-    assert (edge.source, edge.destination, edge.operation, edge.source_timestamp) == ("foo", "baz", "oper", 5_000)
-    assert (edge.source_tags, edge.destination_tags, edge.pair_key) == ({"tier": "1"}, {"error": "true"}, "a")
+    assert (edge.source, edge.destination, edge.operation, edge.source_timestamp) == ("till", "bank", "oper", 81_000)
+    assert (edge.source_tags, edge.destination_tags, edge.pair_key) == ({"tier": "edge"}, {"error": "true"}, "k7")
     point = edges.latency_points(accepted).first()
-    assert (point.value, point.epoch_seconds, point.tags["serviceName"]) == (1.0, 5, "foo")
+    assert (point.value, point.epoch_seconds, point.tags["serviceName"]) == (7.0, 81, "till")
 
 
 def test_latency_truncates_toward_zero(light):
