@@ -97,13 +97,15 @@ def snapshot_edge_join(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges that name a node id the node table does not have."""
-    known = nodes.select(F.col("id").alias("_id"))
-    lacks_source = edges.join(known, F.col("sourceId") == F.col("_id"), "left_anti")
-    lacks_destination = edges.join(known, F.col("sourceId") == F.col("_id"), "left_semi").join(
-        known, F.col("destinationId") == F.col("_id"), "left_anti"
-    )
-    return lacks_source.unionByName(lacks_destination)
+    """Edges whose source or destination id the node table lacks, or lists without a name; each within its own snapshot."""
+    keys = [c for c in ("snapshot_ts",) if c in nodes.columns and c in edges.columns]
+    known = nodes.filter(F.col("name").isNotNull()).select(*keys, F.col("id").alias("_id"))
+
+    def end(side: str) -> DataFrame:
+        return known.withColumnRenamed("_id", f"{side}Id").withColumn(f"_has_{side}", F.lit(True))
+
+    marked = edges.join(end("source"), [*keys, "sourceId"], "left").join(end("destination"), [*keys, "destinationId"], "left")
+    return marked.filter("_has_source is null or _has_destination is null").select(*edges.columns)
 
 
 def snapshot_as_of(snapshots: DataFrame, instants: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:

@@ -27,7 +27,25 @@ def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:
     return sorted(unescape(name[len(prefix):]) for name in names if name.startswith(prefix))
 
 
-def drop_partition(spark: SparkSession, table: str, column: str, value: str) -> bool:
+def partition_path(spark: SparkSession, table: str, column: str, value: str) -> str:
+    """The folder of one partition; characters that folder names cannot have are escaped."""
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    fs, hadoop_path = _at(spark, f"{table}/{column}={escape(value)}")
+    return f"{table}/{column}={escape(value)}"
+
+
+def drop_partition(spark: SparkSession, table: str, column: str, value: str) -> bool:
+    return remove(spark, partition_path(spark, table, column, value))
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a folder with all it holds."""
+    fs, hadoop_path = _at(spark, path)
     return fs.delete(hadoop_path, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    """Give a folder its final name; one step on file systems whose renames are atomic."""
+    fs, hadoop_path = _at(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    return fs.rename(hadoop_path, target)

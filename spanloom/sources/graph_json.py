@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from spanloom.operators.numbering import dense_number
 from spanloom.schemas import GRAPH_DOCUMENT, GRAPH_EDGE
 
 
@@ -23,17 +24,40 @@ def _flat_edges(edges: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(documents: DataFrame, order: list[str]) -> DataFrame:
+    """Edges of documents (``edges`` and the columns of ``order``), numbered 1..n over all of them in that order."""
+    edges = documents.select(*order, F.posexplode("edges").alias("_at", "edge"))
+    if documents.limit(2).count() < 2:
+        return _flat_edges(edges.withColumn("edge_id", F.col("_at") + F.lit(1).cast("long")))
+    return _flat_edges(dense_number(edges, [*order, "_at"], "edge_id"))
+
+
 def parse_graph_json(documents: DataFrame, column: str = "json") -> DataFrame:
-    """Edges of JSON documents ``{"edges": [...]}`` held in a string column; missing pieces are null."""
-    parsed = documents.select(F.from_json(column, GRAPH_DOCUMENT)["edges"].alias("edges"))
-    return _flat_edges(parsed.select(F.posexplode("edges").alias("_at", "edge")).withColumn("edge_id", F.col("_at") + F.lit(1).cast("long")))
+    """Edges of JSON documents ``{"edges": [...]}`` held in a string column; missing pieces are null.
+
+    ``edge_id`` runs on over the documents, which are taken in the order of their text; equal documents count once for each.
+    """
+    parsed = documents.select(F.from_json(column, GRAPH_DOCUMENT)["edges"].alias("edges"), F.col(column).alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    return _numbered(parsed, ["_text", "_row"])
 
 
 def read_graph_json(spark: SparkSession, path: str) -> DataFrame:
-    """Edges of JSON document files ``{"edges": [...]}``, numbered from 1 in each document's order."""
+    """Edges of JSON document files ``{"edges": [...]}``, numbered in the order of file names and of each document."""
     documents = spark.read.schema(GRAPH_DOCUMENT).option("multiLine", True).json(path)
-    edges = documents.select(F.posexplode("edges").alias("_at", "edge"))
-    return _flat_edges(edges.withColumn("edge_id", F.col("_at") + F.lit(1).cast("long")))
+    return _numbered(documents.select("edges", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_row")), ["_file", "_row"])
+
+
+def write_graph_document(graph: DataFrame, path: str, parts: int = 1) -> None:
+    """Write the graph as ``parts`` documents ``{"edges": [...]}``, which ``read_graph_json`` reads together.
+
+    One document is what a graph view shows and has an edge per pair of services. For larger graphs raise ``parts``: a document is built by one task. ``write_graph_json`` has no such bound.
+    """
+    nested = nested_edges(graph).select(F.struct("*").alias("edge"))
+    part = F.pmod(F.xxhash64("edge.source.name", "edge.destination.name"), F.lit(parts))
+    documents = nested.groupBy(part.alias("_part")).agg(F.collect_list("edge").alias("edges"))
+    if parts == 1:
+        documents = nested.agg(F.collect_list("edge").alias("edges"))
+    documents.select("edges").repartition(parts).write.mode("overwrite").json(path)
 
 
 def nested_edges(graph: DataFrame) -> DataFrame:

@@ -109,29 +109,39 @@ class SnapshotStore:
         self._write_table(ops.edge_fact(edges, nodes), "edges", name, self.format)
         counts = self.spark.range(1).select(F.lit(instant_ms).alias("snapshot_ms"))
         self._write_table(counts, "taken", name, "parquet")
-        return tuple(f"{self._path(table)}/snapshot_ts={name}" for table in ("nodes", "edges"))
+        return self._folder("nodes", name), self._folder("edges", name)
 
     def as_of(self, instant_ms: int) -> str | None:
         """Name of the latest snapshot at or before the instant."""
         wanted = snapshot_name_of(instant_ms)
         return max((name for name in self.names() if name <= wanted), default=None)
 
-    def _table(self, table: str, schema: T.StructType) -> DataFrame:
+    def _folder(self, table: str, name: str) -> str:
+        """Where a snapshot's table is; the name's colons are escaped in folder names."""
+        return files.partition_path(self.spark, self._path(table), "snapshot_ts", name)
+
+    def _table(self, table: str, schema: T.StructType, name: str | None) -> DataFrame:
         stamped = _stamped(schema, "snapshot_ts")
-        path = self._path(table)
+        path = self._path(table) if name is None else self._folder(table, name)
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], stamped)
         if self.format == "csv":
-            return read_csv_table(self.spark, path, stamped)
-        return self.spark.read.schema(stamped).parquet(path)
+            rows = read_csv_table(self.spark, path, stamped if name is None else schema)
+        else:
+            rows = self.spark.read.schema(stamped if name is None else schema).parquet(path)
+        return rows if name is None else rows.withColumn("snapshot_ts", F.lit(name))
+
+    def nodes(self, name: str | None = None) -> DataFrame:
+        """The nodes of one snapshot, of which only its own folder is listed, or of all."""
+        return self._table("nodes", _renamed(NODE, self.provider_tag), name).withColumnRenamed(self.provider_tag, "provider")
 
-    def nodes(self) -> DataFrame:
-        """The nodes of all snapshots."""
-        return self._table("nodes", _renamed(NODE, self.provider_tag)).withColumnRenamed(self.provider_tag, "provider")
+    def edges(self, name: str | None = None) -> DataFrame:
+        """The edges of one snapshot or of all."""
+        return self._table("edges", EDGE_FACT, name)
 
-    def edges(self) -> DataFrame:
-        """The edges of all snapshots."""
-        return self._table("edges", EDGE_FACT)
+    def dangling_edges(self, name: str | None = None) -> DataFrame:
+        """Edges that ``snapshot``, ``read`` and ``history`` leave out because a node of theirs is missing."""
+        return ops.dangling_edges(self.edges(name), self.nodes(name))
 
     def rejected_lines(self) -> DataFrame:
         """Lines of CSV tables that could not be read."""
@@ -140,9 +150,8 @@ class SnapshotStore:
         return nodes.unionByName(edges)
 
     def snapshot(self, name: str) -> DataFrame:
-        """The graph of one snapshot; only its partitions are read."""
-        chosen = F.col("snapshot_ts") == name
-        return ops.snapshot_edge_join(self.edges().filter(chosen), self.nodes().filter(chosen))
+        """The graph of one snapshot."""
+        return ops.snapshot_edge_join(self.edges(name), self.nodes(name))
 
     def read(self, instant_ms: int) -> DataFrame | None:
         """The graph as it was known at the instant, or None before the first snapshot."""

@@ -11,11 +11,11 @@ from spanloom.sources.snapshots import SnapshotStore, read_nodes_csv, with_tags
 
 P = ops.PROVIDER_TAG
 GRAPH = """{"edges": [
- {"source": {"name": "front door", "tags": {"tier": "3,1,2", "%s": "aws,dc"}}, "destination": {"name": "say \\"hi\\"", "tags": {}},
+ {"source": {"name": "gate way", "tags": {"tier": "gold,silver", "%s": "north,south"}}, "destination": {"name": "say \\"hi\\"", "tags": {}},
   "stats": {"count": 5, "lastSeen": 50, "errorCount": 1}, "effectiveFrom": 1, "effectiveTo": 9},
- {"source": {"name": "front door", "tags": {"%s": "dc"}}, "destination": {"name": "cart", "tags": {"%s": "aws"}},
+ {"source": {"name": "gate way", "tags": {"%s": "south"}}, "destination": {"name": "cart", "tags": {"%s": "north"}},
   "stats": {"count": 7, "lastSeen": 70, "errorCount": 0}, "effectiveFrom": 2, "effectiveTo": 8},
- {"source": {"name": "cart", "tags": {"%s": "aws"}}, "destination": {"name": "front door", "tags": {"%s": "dc"}},
+ {"source": {"name": "cart", "tags": {"%s": "north"}}, "destination": {"name": "gate way", "tags": {"%s": "south"}},
   "stats": {"count": 3, "lastSeen": 30, "errorCount": 3}, "effectiveFrom": 2, "effectiveTo": 8}
 ]}""" % (P, P, P, P, P)
 
@@ -28,7 +28,7 @@ def graph(spark):
 def test_ids_by_first_appearance(graph):
     nodes = ops.node_dimension(ops.node_columns(graph)).orderBy("id").collect()
     assert [(n.id, n.name, n.provider, n.tier) for n in nodes] == [
-        (1, "front door", "aws,dc", "3,1,2"), (2, "front door", "dc", None), (3, "cart", "aws", None), (4, 'say "hi"', None, None)]
+        (1, "gate way", "north,south", "gold,silver"), (2, "gate way", "south", None), (3, "cart", "north", None), (4, 'say "hi"', None, None)]
     facts = ops.edge_fact(ops.node_columns(graph), ops.node_dimension(ops.node_columns(graph))).orderBy("id").collect()
     assert [(f.id, f.sourceId, f.destinationId) for f in facts] == [(1, 1, 4), (2, 2, 3), (3, 3, 2)]
 
@@ -82,9 +82,9 @@ def test_bad_csv_lines_are_skipped_and_listed(spark, graph, tmp_path):
 
 
 def test_foreign_node_file(spark, tmp_path):
-    (tmp_path / "n.csv").write_text('id,name,provider-x,tier\n38,bronn,aws,\n19,front-door,"aws,dc","3,1,2"\n77,api,,\n')
-    rows = {r.id: r[1:] for r in read_nodes_csv(spark, str(tmp_path / "n.csv"), "provider-x").collect()}
-    assert rows == {38: ("bronn", "aws", None), 19: ("front-door", "aws,dc", "3,1,2"), 77: ("api", None, None)}
+    (tmp_path / "n.csv").write_text('id,name,region,tier\n4,"ledger ""old""",,\n2,mail,"r1,r2",\n9,a b,,"x, y"\n')
+    rows = {r.id: r[1:] for r in read_nodes_csv(spark, str(tmp_path / "n.csv"), "region").collect()}
+    assert rows == {4: ('ledger "old"', None, None), 2: ("mail", "r1,r2", None), 9: ("a b", None, "x, y")}
 
 
 @pytest.mark.parametrize("text, expected", [
@@ -103,10 +103,39 @@ def test_sparse_documents(spark, tmp_path, text, expected):
 
 
 def test_dangling_edges(spark):
-    nodes = spark.createDataFrame([(1, "a", None, None), (2, "b", None, None)], schemas.NODE)
-    facts = spark.createDataFrame([(1, 1, 2, 5, 5, 0, 0, 1), (2, 1, 9, 5, 5, 0, 0, 1), (3, 9, 1, 5, 5, 0, 0, 1)], schemas.EDGE_FACT)
+    nodes = spark.createDataFrame([(1, "a", None, None), (2, "b", None, None), (3, None, None, None)], schemas.NODE)
+    facts = spark.createDataFrame([(1, 1, 2, 5, 5, 0, 0, 1), (2, 1, 9, 5, 5, 0, 0, 1), (3, 9, 1, 5, 5, 0, 0, 1), (4, None, 1, 5, 5, 0, 0, 1)], schemas.EDGE_FACT)
     assert [r.edge_id for r in ops.snapshot_edge_join(facts, nodes).collect()] == [1]
-    assert sorted(r.id for r in ops.dangling_edges(facts, nodes).collect()) == [2, 3]
+    assert sorted(r.id for r in ops.dangling_edges(facts, nodes).collect()) == [2, 3, 4]
+
+
+def test_dangling_edges_keep_to_their_snapshot(spark):
+    nodes = spark.createDataFrame([(1, "a", None, None), (2, "b", None, None)], schemas.NODE)
+    facts = spark.createDataFrame([(7, 1, 2, 5, 5, 0, 0, 1)], schemas.EDGE_FACT)
+    stamped = lambda rows, name: rows.withColumn("snapshot_ts", F.lit(name))
+    all_nodes = stamped(nodes.filter("id = 1"), "s1").unionByName(stamped(nodes, "s2"))
+    all_facts = stamped(facts, "s1").unionByName(stamped(facts, "s2"))
+    assert [r.snapshot_ts for r in ops.snapshot_edge_join(all_facts, all_nodes).collect()] == ["s2"]
+    assert [r.snapshot_ts for r in ops.dangling_edges(all_facts, all_nodes).collect()] == ["s1"]
+
+
+def test_locations_exist(spark, graph, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    nodes, edges = store.write(graph, 86_400_000)
+    assert read_nodes_csv(spark, nodes).count() == 4 and files.exists(spark, edges)
+    assert store.dangling_edges().count() == 0
+
+
+def test_documents_come_back(spark, graph, tmp_path):
+    columns = [c for c in sorted(graph.columns) if c != "edge_id"]
+    for parts in (1, 2):
+        path = str(tmp_path / str(parts))
+        graph_json.write_graph_document(graph, path, parts)
+        back = graph_json.read_graph_json(spark, path)
+        assert sorted(r.edge_id for r in back.collect()) == [1, 2, 3]
+        assert sorted(map(str, back.select(columns).collect())) == sorted(map(str, graph.select(columns).collect()))
+    two = graph_json.parse_graph_json(spark.createDataFrame([(GRAPH,), (GRAPH,)], "json string"))
+    assert sorted(r.edge_id for r in two.collect()) == [1, 2, 3, 4, 5, 6]
 
 
 def test_many_instants_at_once(spark):
