@@ -40,6 +40,16 @@ def _labelled(entries: Column, side: str) -> Column:
     return F.transform(entries, lambda e: F.struct(F.lit(side).alias("side"), e["key"].alias("key"), e["value"].alias("value")))
 
 
+def labelled_tags(keys: Sequence[str] = ()) -> Column:
+    """The tags of both sides of an edge but the error tag, or those of ``keys``, plus an entry with an empty side for the statistics."""
+    def side(name: str) -> Column:
+        kept = F.filter(_tag_entries(F.col(f"{name}_tags")), lambda e: e["key"].isin(*keys) if keys else e["key"] != fs.ERROR_TAG)
+        return _labelled(kept, name)
+
+    statistics = F.array(F.struct(F.lit("").alias("side"), F.lit("").alias("key"), F.lit(None).cast("string").alias("value")))
+    return F.concat(statistics, *(side(name) for name in SIDES)).cast(_ENTRY)
+
+
 def _unfold(rows: DataFrame, by_side: dict[str, Column]) -> DataFrame:
     """One row per tag but the error tag, plus one, with an empty side, for the statistics."""
     statistics = F.array(F.struct(F.lit("").alias("side"), F.lit("").alias("key"), F.lit(None).cast("string").alias("value")))
@@ -48,7 +58,7 @@ def _unfold(rows: DataFrame, by_side: dict[str, Column]) -> DataFrame:
     return unfolded.select("*", "_tag.side", "_tag.key", "_tag.value").drop("_tag").filter(F.col("key") != fs.ERROR_TAG)
 
 
-def _fold(reduced: DataFrame, keys: Sequence[str], statistics: Sequence[str]) -> DataFrame:
+def fold_tags(reduced: DataFrame, keys: Sequence[str], statistics: Sequence[str]) -> DataFrame:
     """Back to one row per key: statistics and one tag map per side."""
     def folded(side: str) -> Column:
         tag = F.when(F.col("side") == side, F.struct("key", "value"))
@@ -103,7 +113,7 @@ def edge_stats(edges: DataFrame, window_ms: int, now_ms: int) -> DataFrame:
     flagged by the caller; the error tag itself is not kept.
     """
     tags = _windowed_tags(_windowed(edges, window_ms, now_ms))
-    folded = _fold(tags, ["window_start", *EDGE_KEY], ["count", "last_seen", "error_count"])
+    folded = fold_tags(tags, ["window_start", *EDGE_KEY], ["count", "last_seen", "error_count"])
     return folded.select(
         "window_start",
         (F.col("window_start") + window_ms).alias("window_end"),
@@ -152,7 +162,7 @@ def _merge_tags(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _merge(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _fold(_merge_tags(edges, keys), keys, ["count", "last_seen", "error_count", "effective_from", "effective_to"])
+    return fold_tags(_merge_tags(edges, keys), keys, ["count", "last_seen", "error_count", "effective_from", "effective_to"])
 
 
 def service_graph_merge(edges: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.functions.times import snapshot_name_of
 from spanloom.operators import edges as edge_ops
 from spanloom.operators import pairs as pair_ops
 from spanloom.operators import stats
@@ -37,7 +38,7 @@ def run_span_job(
 
 
 def run_edge_job(spark: SparkSession, root: str, window_ms: int, now_ms: int) -> None:
-    """Edges to the ``windowed`` table below ``root``, partitioned by day."""
+    """Edges to the ``windowed`` table below ``root``; windows that are there already are replaced."""
     edges = spark.read.schema(EDGE).parquet(f"{root}/edges")
     write_windowed_edges(stats.edge_stats(edges, window_ms, now_ms), f"{root}/windowed")
 
@@ -48,9 +49,9 @@ def run_snapshot_job(
 ) -> tuple[str, int]:
     """Store the graph of the last ``span_ms`` under ``now_ms`` and purge what is older than ``purge_age_ms``.
 
-    Returns the snapshot's name and the number of items purged; an age of 0
+    ``windowed`` is a table, streamed or stored, by its path, or its rows. Returns the snapshot's name and the number of items purged; an age of 0
     purges the new snapshot too.
     """
     table = read_windowed_edges(store.spark, windowed) if isinstance(windowed, str) else windowed
-    nodes_path, _ = store.write(service_graph(table, window_ms, now_ms, now_ms - span_ms, now_ms), now_ms)
-    return nodes_path.rsplit("=", 1)[1], store.purge(now_ms - purge_age_ms)
+    store.write(service_graph(table, window_ms, now_ms, now_ms - span_ms, now_ms), now_ms)
+    return snapshot_name_of(now_ms), store.purge(now_ms - purge_age_ms)

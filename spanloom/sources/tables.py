@@ -1,30 +1,40 @@
 """Tables a stream writes batch by batch.
 
-Each micro-batch owns the folder ``batch_id=N``. Its content depends only on the
-batch and the state before it, so a repeated batch that finds its folder marked
-complete leaves it alone, for readers may have seen it; any other is replaced.
-Batch N starts after N-1 is done, so earlier folders are always whole.
+Each micro-batch owns the folder ``batch_id=N``. It is written under a name that readers skip and
+then renamed, so a reader, batch or stream, sees all of it or nothing. A repeated batch is executed again; its rows must be those that readers
+may have seen already, else it fails: the stream began anew on an old table. Batch N starts after N-1 is done, so earlier folders are always whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from spanloom.sources import files
 
 BATCH = "batch_id"
-
-
-def write_batch(rows: DataFrame, table: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    path = f"{table}/{BATCH}={batch_id}"
-    if files.exists(rows.sparkSession, f"{path}/_SUCCESS"):
-        return
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+_INCOMING = "_incoming"
+
+
+def _fingerprint(rows: DataFrame) -> tuple:
+    """Count and sum of hashes of the rows, in any order."""
+    code = F.xxhash64(F.to_json(F.struct(*sorted(rows.columns)))).cast("decimal(38,0)")
+    return tuple(rows.agg(F.count(F.lit(1)), F.sum(code)).first())
+
+
+def write_batch(rows: DataFrame, table: str, batch_id: int) -> None:
+    spark = rows.sparkSession
+    incoming, path = (f"{table}/{part}{BATCH}={batch_id}" for part in (f"{_INCOMING}/", ""))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(incoming)
+    if files.exists(spark, path):
+        schema = spark.read.parquet(incoming).schema
+        new, seen = (_fingerprint(spark.read.schema(schema).parquet(p)) for p in (incoming, path))
+        files.remove(spark, incoming)
+        if new != seen:
+            raise ValueError(f"{path} holds other rows than this batch: a new checkpoint needs a new table")
+    elif not files.rename(spark, incoming, path):
+        raise OSError(f"cannot publish {path}")
 
 
 def batches(spark: SparkSession, table: str) -> list[int]:

@@ -1,114 +1,192 @@
-"""Windowed edge statistics kept current from the edge stream.
+"""Windowed edge statistics kept current from the edge stream, and the table that holds them.
 
-Spark's own windowed aggregation holds the running value of each (window, edge)
-and drops edges older than the retention; every batch writes the rows it
-touched. The values only grow, so the table is read by taking the latest row
-per key and needs no rewriting.
+Spark's own windowed aggregation holds the running values of each (window, edge) and of each of its tags,
+and drops edges older than the retention. Every batch writes the rows it touched.
+
+Layout of the table: ``window_date=…/version=N``. Rows are in long form: one with an empty ``side`` for the statistics of an edge and one per tag, each a whole
+value, so that the row of the highest version is the current one. Every reader here goes by that rule. Versions of a day are merged from time to time, and days beyond
+the retention are dropped; a reader finds the same values before, while and after.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.functions import spans as fs
 from spanloom.functions import times
-from spanloom.operators.stats import EDGE_KEY, SIDES
+from spanloom.operators.stats import EDGE_KEY, SIDES, fold_tags, labelled_tags
 from spanloom.schemas import WINDOWED_EDGE
-from spanloom.sources import files, tables
+from spanloom.session import scratch_path
+from spanloom.sources import files
 
 WINDOW_SEC = 300
 RETENTION = "7 days"
+RETENTION_DAYS = 366
+VERSIONS_PER_DAY = 16
+
+DAY, VERSION = "window_date", "version"
+STATISTICS = ("count", "last_seen", "error_count")
+_ROW_KEY = ("window_start", "window_end", *EDGE_KEY, "side", "key")
+STORED = T.StructType([
+    *[f for f in WINDOWED_EDGE.fields if not f.name.endswith("_tags")],
+    T.StructField("side", T.StringType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
+])
 
 
 def windowed_edges(
     edges: DataFrame, tag_keys: Sequence[str] = (), window_sec: int = WINDOW_SEC, retention: str = RETENTION,
     now_ms: Column | None = None,
 ) -> DataFrame:
-    """Running statistics per tumbling window and edge, for output mode ``update``.
+    """Running statistics and latest tags per tumbling window and edge, in long form, for output mode ``update``.
 
-    ``tag_keys`` are the tags collected from spans; each keeps its latest value.
+    All tags but the error tag are kept, or those of ``tag_keys`` if given.
     """
     timestamp = F.col("source_timestamp")
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
     failed = F.coalesce(F.try_element_at("source_tags", F.lit(fs.ERROR_TAG)) == "true", F.lit(False))
-    latest = {}
-    for side in SIDES:
-        for i, key in enumerate(tag_keys):
-            value = F.try_element_at(f"{side}_tags", F.lit(key))
-            latest[side, key] = F.max(F.when(value.isNotNull(), F.struct("emit_seq", value.alias("value")))).alias(f"_{side}_{i}")
-
     running = (
         edges.withColumn("event_time", F.timestamp_millis(timestamp))
         .withColumn("_seen", F.when(timestamp == 0, now).otherwise(timestamp))
+        .withColumn("_failed", failed.cast("long"))
         .withWatermark("event_time", retention)
-        .groupBy(F.window("event_time", f"{window_sec} seconds"), *EDGE_KEY)
+        .withColumn("_tag", F.explode(labelled_tags(tag_keys)))
+        .groupBy(F.window("event_time", f"{window_sec} seconds"), *EDGE_KEY, F.col("_tag.side").alias("side"), F.col("_tag.key").alias("key"))
         .agg(
             F.count(F.lit(1)).alias("count"),
             F.max("_seen").alias("last_seen"),
-            F.sum(failed.cast("long")).alias("error_count"),
-            *latest.values(),
+            F.sum("_failed").alias("error_count"),
+            F.max(F.struct("emit_seq", "_tag.value"))["value"].alias("value"),
         )
     )
-
-    def tags(side: str) -> Column:
-        entries = [part for i, key in enumerate(tag_keys) for part in (F.lit(key), F.col(f"_{side}_{i}")["value"])]
-        built = F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull()) if entries else F.create_map()
-        return built.cast("map<string,string>").alias(f"{side}_tags")
-
-    start = F.unix_millis(F.col("window.start"))
     return running.select(
-        start.alias("window_start"), F.unix_millis(F.col("window.end")).alias("window_end"),
-        *EDGE_KEY, "count", "last_seen", "error_count", tags("source"), tags("destination"),
-        times.window_date(start).alias("window_date"),
+        F.unix_millis(F.col("window.start")).alias("window_start"), F.unix_millis(F.col("window.end")).alias("window_end"),
+        *STORED.fieldNames()[2:],
     )
 
 
+def _stored(rows: DataFrame, version: int) -> DataFrame:
+    return rows.select(*STORED.fieldNames()).withColumn(DAY, times.window_date(F.col("window_start"))).withColumn(VERSION, F.lit(version).cast("long"))
+
+
+def _write(rows: DataFrame, table: str) -> None:
+    """Replace exactly the (day, version) folders the rows belong to."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, VERSION).parquet(table)
+
+
+def days(spark: SparkSession, table: str) -> list[str]:
+    return files.partition_values(spark, table, DAY)
+
+
+def _versions(spark: SparkSession, table: str, day: str) -> list[int]:
+    return sorted(map(int, files.partition_values(spark, f"{table}/{DAY}={day}", VERSION)))
+
+
+def _latest_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The current long-form rows; a filter on the day or the window reaches the files."""
+    stamped = T.StructType([*STORED.fields, T.StructField(DAY, T.StringType()), T.StructField(VERSION, T.LongType())])
+    if not days(spark, table):
+        return spark.createDataFrame([], stamped).drop(VERSION)
+    rows = spark.read.schema(stamped).parquet(table)
+    latest = F.max(F.struct(VERSION, *STATISTICS, "value")).alias("_latest")
+    return rows.groupBy(DAY, *_ROW_KEY).agg(latest).select(DAY, *_ROW_KEY, "_latest.*").drop(VERSION)
+
+
+def read_windowed_edges(spark: SparkSession, table: str) -> DataFrame:
+    """The current state of the table, streamed or stored: one row per window and edge, with the day column for pruning."""
+    folded = fold_tags(_latest_rows(spark, table), [DAY, "window_start", "window_end", *EDGE_KEY], STATISTICS)
+    return folded.select(*WINDOWED_EDGE.fieldNames(), DAY)
+
+
+latest_windowed_edges = read_windowed_edges
+
+
+def write_windowed_edges(windowed: DataFrame, table: str) -> None:
+    """Store whole windows: each window in ``windowed`` replaces what the table holds of it; all others stay as they are."""
+    spark = windowed.sparkSession
+    unfolded = windowed.withColumn("_tag", F.explode(labelled_tags())).select("*", "_tag.*").drop("_tag")
+    version = 1 + _last_version(spark, table)
+    path = scratch_path(spark, "windows")
+    _write(_stored(unfolded, version), path)
+    touched = days(spark, path)
+    new = (spark.read.schema(STORED).parquet(path) if touched else spark.createDataFrame([], STORED)).select(*STORED.fieldNames())
+    held = _latest_rows(spark, table).where(F.col(DAY).isin(touched)) if touched else _latest_rows(spark, table).limit(0)
+    others = held.join(new.select("window_start").distinct(), "window_start", "left_anti").select(*STORED.fieldNames())
+    _write(_stored(new.unionByName(others), version), table)
+    for day in touched:
+        _drop_versions_before(spark, table, day, version)
+    files.remove(spark, path)
+
+
+def _drop_versions_before(spark: SparkSession, table: str, day: str, version: int) -> None:
+    for old in _versions(spark, table, day):
+        if old < version:
+            files.drop_partition(spark, f"{table}/{DAY}={day}", VERSION, str(old))
+
+
+def compact(spark: SparkSession, table: str, at_most: int = VERSIONS_PER_DAY) -> list[str]:
+    """Merge the versions of each day that has more than ``at_most`` into its newest; returns those days.
+
+    The merged rows replace the newest version before the older ones go, so whoever reads meanwhile sees current values.
+    """
+    merged = []
+    for day in days(spark, table):
+        versions = _versions(spark, table, day)
+        if len(versions) > at_most:
+            path = scratch_path(spark, "compacted")
+            _latest_rows(spark, table).where(F.col(DAY) == day).select(*STORED.fieldNames()).write.parquet(path)
+            _write(_stored(spark.read.schema(STORED).parquet(path), versions[-1]), table)
+            _drop_versions_before(spark, table, day, versions[-1])
+            files.remove(spark, path)
+            merged.append(day)
+    return merged
+
+
+def drop_days_before(spark: SparkSession, table: str, day: str) -> list[str]:
+    """Forget the days before ``day``; returns them."""
+    gone = [d for d in days(spark, table) if d < day]
+    for d in gone:
+        files.drop_partition(spark, table, DAY, d)
+    return gone
+
+
+def _last_version(spark: SparkSession, table: str) -> int:
+    return max((v for day in days(spark, table) for v in _versions(spark, table, day)), default=-1)
+
+
+def batch_writer(table: str, versions_per_day: int = VERSIONS_PER_DAY, retention_days: int = RETENTION_DAYS) -> Callable[[DataFrame, int], None]:
+    """What a stream does with each batch: write, and now and then merge and forget.
+
+    A repeated batch is executed again and replaces its own version. A batch older than what the table has can only come from a stream
+    that began anew on an old table; it fails rather than lose rows.
+    """
+    def write(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        last = _last_version(spark, table)
+        if batch_id < last:
+            raise ValueError(f"batch {batch_id} after batch {last} of {table}: a new checkpoint needs a new table")
+        _write(_stored(rows, batch_id), table)
+        compact(spark, table, versions_per_day)
+        held = days(spark, table)
+        if held:
+            newest = held[-1]
+            first = spark.range(1).select(F.date_sub(F.lit(newest).cast("date"), retention_days).cast("string")).first()[0]
+            drop_days_before(spark, table, first)
+
+    return write
+
+
 def start_windowed_edges(
     edges: DataFrame, table: str, checkpoint: str, tag_keys: Sequence[str] = (), window_sec: int = WINDOW_SEC,
-    retention: str = RETENTION, **trigger,
+    retention: str = RETENTION, versions_per_day: int = VERSIONS_PER_DAY, retention_days: int = RETENTION_DAYS, **trigger,
 ) -> StreamingQuery:
     """Keep the windowed-edge table at ``table`` current."""
-    def write(rows: DataFrame, batch_id: int) -> None:
-        tables.write_batch(rows, table, batch_id, partition_by=["window_date"])
-
     return (
         windowed_edges(edges, tag_keys, window_sec, retention)
-        .writeStream.outputMode("update").foreachBatch(write)
+        .writeStream.outputMode("update").foreachBatch(batch_writer(table, versions_per_day, retention_days))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "3 seconds"}))
         .start()
     )
-
-
-def latest_windowed_edges(spark: SparkSession, table: str) -> DataFrame:
-    """The current state of the table: one row per window and edge, day column included for pruning."""
-    stamped = T.StructType([
-        *WINDOWED_EDGE.fields, T.StructField(tables.BATCH, T.LongType()), T.StructField("window_date", T.StringType()),
-    ])
-    if not files.exists(spark, table):
-        return spark.createDataFrame([], stamped).drop(tables.BATCH)
-    rows = spark.read.schema(stamped).parquet(table)
-    return rows.groupBy("window_date", "window_start", "window_end", *EDGE_KEY).agg(
-        F.max("count").alias("count"),
-        F.max("last_seen").alias("last_seen"),
-        F.max("error_count").alias("error_count"),
-        F.max_by("source_tags", tables.BATCH).alias("source_tags"),
-        F.max_by("destination_tags", tables.BATCH).alias("destination_tags"),
-    )
-
-
-def write_windowed_edges(windowed: DataFrame, path: str) -> None:
-    """Store windowed edges as a plain table by day, e.g. a compacted copy for batch queries."""
-    by_day = windowed if "window_date" in windowed.columns else windowed.withColumn(
-        "window_date", times.window_date(F.col("window_start"))
-    )
-    by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(path)
-
-
-def read_windowed_edges(spark: SparkSession, path: str) -> DataFrame:
-    """Read what ``write_windowed_edges`` stored."""
-    stamped = T.StructType([*WINDOWED_EDGE.fields, T.StructField("window_date", T.StringType())])
-    return spark.read.schema(stamped).parquet(path)

@@ -48,20 +48,18 @@ def test_repeated_batch_changes_nothing(spark, raw, tmp_path):
 
 
 def test_eviction_by_end_time(spark, raw, tmp_path):
-    now = 100_000_000
-    job = pairing.SpanJob(str(tmp_path), interval_ms=2_000)
-    old = dict(start_ms=now - 10_000)
+    job = pairing.SpanJob(str(tmp_path), interval_ms=700)
     job.process(raw([
-        raw_span("I1", "I2", "svc1", C, duration_us=9_000_000, seq=1, **old),
-        raw_span("I3", "I4", "svc1", C, duration_us=5_000_000, seq=2, **old),
-        raw_span("I3", "I4", "svc2", S, duration_us=5_000_000, seq=3, **old),
-    ]), 0, stream_ms=now)
-    assert [r.span_id for r in carried(spark, job).filter("held").collect()] == ["I1"]
-    job.process(raw([raw_span("I1", "I2", "svc2", S, duration_us=9_000_000, seq=4, **old)]), 1, stream_ms=now + 5_000)
+        raw_span("long", "", "desk", C, start_ms=50_000, duration_us=5_400_000, seq=1),
+        raw_span("short", "", "desk", C, start_ms=50_000, duration_us=900_000, seq=2),
+        raw_span("short", "", "post", S, start_ms=50_100, duration_us=800_000, seq=3),
+    ]), 0, stream_ms=56_000)  # ends: 55.4 s and 50.9 s; what ended by 55.3 s is forgotten
+    assert [r.span_id for r in carried(spark, job).filter("held").collect()] == ["long"]
+    job.process(raw([raw_span("long", "", "post", S, start_ms=50_200, duration_us=5_000_000, seq=4)]), 1, stream_ms=60_000)
     assert carried(spark, job).count() == 0
-    assert edges_of(spark, job) == [("svc1", "svc2", "I1"), ("svc1", "svc2", "I3")]
+    assert edges_of(spark, job) == [("desk", "post", "long"), ("desk", "post", "short")]
     registry = tables.read_batch_before(spark, job.table("registry"), 9, schemas.REGISTRY).collect()
-    assert [(r.service_name, r.first_shared_seq) for r in registry] == [("svc2", 3)]
+    assert [(r.service_name, r.first_shared_seq) for r in registry] == [("post", 3)]
 
 
 def test_evicted_span_is_not_found_and_an_id_lives_as_long_as_its_longest_span(spark, raw, tmp_path):
@@ -79,7 +77,7 @@ def test_evicted_span_is_not_found_and_an_id_lives_as_long_as_its_longest_span(s
 
 
 def test_service_registered_by_an_earlier_batch_is_refused(spark, raw, tmp_path):
-    rows, calls, _ = SCENARIOS["auto_correct"]
+    rows, calls, _ = SCENARIOS["accepted_until_registered"]
     job = pairing.SpanJob(str(tmp_path), interval_ms=10**9)
     for batch_id, (span_id, parent, service, kind) in enumerate(rows):
         job.process(raw([raw_span(span_id, parent, service, kind, seq=batch_id)]), batch_id)
@@ -126,6 +124,92 @@ def test_windows_stay_current_and_late_edges_are_dropped(spark, tmp_path):
     assert sum(dropped) == 1
 
 
+def test_all_tags_survive_and_later_values_win(spark, tmp_path):
+    edges = str(tmp_path / "edges")
+    for batch, rows in enumerate(([edge("a", 1_000, 1, {"tier": "1", "zone": "z", "error": "true"})], [edge("a", 2_000, 2, {"tier": "2", "odd key": ""})])):
+        tables.write_batch(spark.createDataFrame(rows, schemas.EDGE), edges, batch)
+    stream = tables.stream_table(spark, edges, schemas.EDGE, max_files=1)
+    query = windows.start_windowed_edges(stream, str(tmp_path / "w"), str(tmp_path / "cp"), availableNow=True)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 2
+    row = windows.read_windowed_edges(spark, str(tmp_path / "w")).first()
+    assert (row["count"], row.error_count, row.source_tags) == (2, 1, {"tier": "2", "zone": "z", "odd key": ""})
+
+
+def windowed_row(start, source, count):
+    return (start, start + 300_000, source, "b", "op", count, start, 0, {"t": str(count)}, {})
+
+
+def held(spark, table):
+    return {(r.window_start, r.source): (r["count"], r.source_tags.get("t")) for r in windows.read_windowed_edges(spark, table).collect()}
+
+
+def test_stored_windows_are_replaced_one_by_one(spark, tmp_path):
+    table = str(tmp_path / "w")
+    write = lambda *rows: windows.write_windowed_edges(spark.createDataFrame(rows, schemas.WINDOWED_EDGE), table)
+    write(windowed_row(0, "a", 3), windowed_row(0, "c", 1), windowed_row(300_000, "a", 2))
+    write(windowed_row(600_000, "a", 1))
+    write(windowed_row(0, "a", 2))
+    assert held(spark, table) == {(0, "a"): (2, "2"), (300_000, "a"): (2, "2"), (600_000, "a"): (1, "1")}
+    write()
+    assert len(held(spark, table)) == 3
+
+
+def test_versions_are_merged_and_old_days_forgotten(spark, tmp_path):
+    day, edges, table = 86_400_000, str(tmp_path / "edges"), str(tmp_path / "w")
+    for batch in range(5):
+        tables.write_batch(spark.createDataFrame([edge("a", batch * day // 2, 2 * batch), edge("a", 1, 2 * batch + 1)], schemas.EDGE), edges, batch)
+    stream = tables.stream_table(spark, edges, schemas.EDGE, max_files=2)
+    query = windows.start_windowed_edges(stream, table, str(tmp_path / "cp"), versions_per_day=2, availableNow=True)
+    query.awaitTermination()
+    counts = {k: v[0] for k, v in held(spark, table).items()}
+    assert counts == {(0, "a"): 6, **{(n * day // 2, "a"): 1 for n in range(1, 5)}}
+    assert max(len(windows._versions(spark, table, d)) for d in windows.days(spark, table)) <= 2
+    assert windows.compact(spark, table, 1) and {k: v[0] for k, v in held(spark, table).items()} == counts
+    assert windows.drop_days_before(spark, table, "1970-01-03") == ["1970-01-01", "1970-01-02"]
+    assert set(held(spark, table)) == {(2 * day, "a")}
+
+
+def test_replayed_batches(spark, tmp_path):
+    edges, table, cp = str(tmp_path / "edges"), str(tmp_path / "w"), tmp_path / "cp"
+
+    def deliver(batch):
+        tables.write_batch(spark.createDataFrame([edge("a", 1_000, batch)], schemas.EDGE), edges, batch)
+
+    def run():
+        stream = tables.stream_table(spark, edges, schemas.EDGE, max_files=1)
+        windows.start_windowed_edges(stream, table, str(cp), availableNow=True).awaitTermination()
+
+    for batch in range(2):
+        deliver(batch)
+        run()
+    last = max((cp / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()  # as if the driver had died just before its commit
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    run()
+    assert held(spark, table)[0, "a"][0] == 2
+    deliver(2)
+    run()
+    assert held(spark, table)[0, "a"][0] == 3
+
+
+def test_other_rows_under_a_used_batch_are_an_error(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *seqs: spark.createDataFrame([edge("a", 1_000, s, {"k": "v"}) for s in seqs], schemas.EDGE)
+    tables.write_batch(rows(1, 2), path, 0)
+    tables.write_batch(rows(2, 1), path, 0)
+    with pytest.raises(ValueError):
+        tables.write_batch(rows(1, 3), path, 0)
+    rows(9).write.parquet(f"{path}/_incoming/batch_id=1")  # a batch that died half-way
+    assert tables.read_table(spark, path, schemas.EDGE).count() == 2 and tables.batches(spark, path) == [0]
+    table = str(tmp_path / "w")
+    write = windows.batch_writer(table)
+    long_form = spark.createDataFrame([(0, 300_000, "a", "b", "op", 1, 1, 0, "", "", None)], windows.STORED)
+    write(long_form, 4)
+    with pytest.raises(ValueError):
+        write(long_form, 0)
+
+
 def test_edge_without_time_counts_as_seen_now(spark, tmp_path):
     run_windows(spark, tmp_path, [edge("a", 0, 1)], 0)
     assert windows.latest_windowed_edges(spark, str(tmp_path / "windowed")).first().last_seen > 1_700_000_000_000
