@@ -419,7 +419,7 @@ def snapshot_csv_write(spark, sf_dir):
     """The node table of a CSV snapshot, read as a plain file."""
     store = snap_io.SnapshotStore(spark, scratch_path(spark, "snapshots"))
     nodes_path, _ = store.write(_service_graph(spark, sf_dir), tb.NOW_MS)
-    return snap_io.read_nodes_csv(spark, nodes_path.replace(":", "%3A"))
+    return snap_io.read_nodes_csv(spark, nodes_path)
 
 
 @query
@@ -516,8 +516,10 @@ def fanout(spark, sf_dir):
     """Row counts of the three tables the span job feeds."""
     job = _span_job(spark, sf_dir)
     counts = None
-    for name, schema in (("edges", schemas.EDGE), ("latency", schemas.LATENCY)):
-        rows = _table(spark, job, name, schema).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("part"), "rows")
+    registry = tables.read_batch_before(spark, job.table("registry"), 1 << 40, schemas.REGISTRY)
+    parts = {"edges": _table(spark, job, "edges", schemas.EDGE), "latency": _table(spark, job, "latency", schemas.LATENCY), "registry": registry}
+    for name, table in parts.items():
+        rows = table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("part"), "rows")
         counts = rows if counts is None else counts.unionByName(rows)
     return counts
 
@@ -588,6 +590,101 @@ def latest_state_view(spark, sf_dir):
     return flat_tags(graph.service_graph(_streamed_windows(spark, sf_dir), tb.WINDOW_MS, tb.NOW_MS))
 
 
+def _windows_in_batches(spark: SparkSession, sf_dir: str, **options) -> str:
+    """The windowed table of a stream that takes the edges in four batches; all tags are kept."""
+    path, table = scratch_path(spark, "edges"), scratch_path(spark, "windowed")
+    written = scratch_path(spark, "all-edges")
+    _edges(spark, sf_dir).write.parquet(written)
+    edges = spark.read.schema(schemas.EDGE).parquet(written)
+    for part in range(4):
+        tables.write_batch(edges.where(F.pmod(F.floor(F.col("emit_seq") / 16), F.lit(4)) == part).coalesce(1), path, part)
+    stream = tables.stream_table(spark, path, schemas.EDGE, max_files=1)
+    _ran(windows.start_windowed_edges(stream, table, scratch_path(spark, "checkpoint"), availableNow=True, **options))
+    return table
+
+
+@query
+def tumbling_window_batches(spark, sf_dir):
+    """Windowed edges with all tags after four micro-batches."""
+    return flat_tags(windows.read_windowed_edges(spark, _windows_in_batches(spark, sf_dir)).drop("window_date"))
+
+
+@query
+def windowed_compaction(spark, sf_dir):
+    """The same with the versions of a day merged whenever there are two."""
+    table = _windows_in_batches(spark, sf_dir, versions_per_day=1)
+    return flat_tags(windows.read_windowed_edges(spark, table).drop("window_date"))
+
+
+@query
+def windowed_retention(spark, sf_dir):
+    """A table of all days of the events, of which days before the 15th are dropped."""
+    table = scratch_path(spark, "windowed")
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    seen = tb.table(spark, sf_dir, "events").select(
+        times.window_start(at, HOUR_MS).alias("window_start"), F.col("event_type").alias("source"), F.lit("store").alias("destination"), F.lit("op").alias("operation"), at.alias("at")
+    )
+    rows = seen.groupBy("window_start", "source", "destination", "operation").agg(
+        F.count(F.lit(1)).alias("count"), F.max("at").alias("last_seen"), F.lit(0).cast("long").alias("error_count")
+    )
+    none = F.create_map().cast("map<string,string>")
+    windowed = rows.withColumn("window_end", F.col("window_start") + HOUR_MS).withColumn("source_tags", none).withColumn("destination_tags", none)
+    windows.write_windowed_edges(windowed, table)
+    windows.drop_days_before(spark, table, "2024-01-15")
+    return windows.read_windowed_edges(spark, table).select("window_start", "source", "count", "last_seen")
+
+
+@query
+def snapshot_job_live(spark, sf_dir):
+    """The snapshot job over the table a stream wrote in four batches."""
+    store = snap_io.SnapshotStore(spark, scratch_path(spark, "snapshots"), format="parquet")
+    now = tb.BASE_MS + 2 * HOUR_MS
+    name, purged = jobs.run_snapshot_job(store, _windows_in_batches(spark, sf_dir), now, tb.WINDOW_MS, purge_age_ms=HOUR_MS)
+    return store.read(now).select(
+        F.lit(name).alias("name"), F.lit(purged).cast("long").alias("purged"), "source", "destination", "count", "error_count"
+    )
+
+
+@query
+def span_job(spark, sf_dir):
+    """The batch span job: edges from its tables."""
+    root = scratch_path(spark, "job")
+    jobs.run_span_job(tb.raw_spans(spark, sf_dir), root, tb.TAG_KEYS)
+    return flat_tags(spark.read.schema(schemas.EDGE).parquet(f"{root}/edges"))
+
+
+@query
+def edge_job_twice_same_day(spark, sf_dir):
+    """The batch edge job on the edges before noon, then on the others: both halves of the day are there."""
+    root = scratch_path(spark, "job")
+    edges = _edges(spark, sf_dir)
+    noon = tb.BASE_MS + 12 * HOUR_MS
+    for half in (F.col("source_timestamp") < noon, F.col("source_timestamp") >= noon):
+        edges.where(half).write.mode("overwrite").parquet(f"{root}/edges")
+        jobs.run_edge_job(spark, root, tb.WINDOW_MS, tb.NOW_MS)
+    return flat_tags(windows.read_windowed_edges(spark, f"{root}/windowed").drop("window_date"))
+
+
+@query
+def graph_document(spark, sf_dir):
+    """The service graph as one document, read again."""
+    path = scratch_path(spark, "graph-document")
+    graph_json.write_graph_document(_service_graph(spark, sf_dir), path)
+    return flat_tags(graph_json.read_graph_json(spark, path).drop("edge_id"))
+
+
+@query
+def dangling_edges(spark, sf_dir):
+    """Two snapshots with the same ids, the first without the node of id 2: the edges that only it loses."""
+    edges = _numbered(spark, sf_dir)
+    nodes = snap_ops.node_dimension(edges)
+    facts = snap_ops.edge_fact(edges, nodes)
+    stamped = lambda rows, name: rows.withColumn("snapshot_ts", F.lit(name))
+    all_nodes = stamped(nodes.where("id <> 2"), "s1").unionByName(stamped(nodes, "s2"))
+    lost = snap_ops.dangling_edges(stamped(facts, "s1").unionByName(stamped(facts, "s2")), all_nodes)
+    return lost.select("snapshot_ts", "id", "sourceId", "destinationId")
+
+
 @query
 def late_edges(spark, sf_dir):
     """Two deliveries of the edges; in the second, what is older than the retention is dropped."""

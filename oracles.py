@@ -408,10 +408,25 @@ ORACLES: dict[str, str] = {
     "edge_sink": f"WITH {EDGES} {_EDGE_ROWS}",
     "edge_source": f"WITH {EDGES} SELECT source_timestamp // 3600000 * 3600000 AS hour_ms, count(*) AS edges FROM edges GROUP BY ALL",
     "latest_state_view": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
-    "fanout": f"WITH {PAIRS} SELECT 'edges' AS part, count(*) AS rows FROM accepted UNION ALL SELECT 'latency', count(*) FROM accepted",
+    "fanout": f"WITH {PAIRS} SELECT 'edges' AS part, count(*) AS rows FROM accepted UNION ALL SELECT 'latency', count(*) FROM accepted UNION ALL SELECT 'registry', count(*) FROM registry",
     "metric_sink": f"WITH {PAIRS} {_POINTS}",
     "registry_sink": f"WITH {PAIRS} SELECT service_name, 1 AS use_shared_span, first_shared_seq FROM registry",
     "tumbling_window": f"WITH {WINDOWED} {_WINDOW_ROWS}",
+    "tumbling_window_batches": f"WITH {WINDOWED} {_WINDOW_ROWS}",
+    "windowed_compaction": f"WITH {WINDOWED} {_WINDOW_ROWS}",
+    "edge_job_twice_same_day": f"WITH {WINDOWED} {_WINDOW_ROWS}",
+    "windowed_retention": """
+        SELECT epoch_us(ts) // 3600000000 * 3600000 AS window_start, event_type AS source, count(*) AS count, max(epoch_us(ts) // 1000) AS last_seen
+        FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY ALL
+    """,
+    "snapshot_job_live": f"""WITH {WINDOWED}, {_at_hour('h2', 2, HOUR)}
+        SELECT '{_hour_name(2)}' AS name, CAST(0 AS BIGINT) AS purged, source, destination, count, error_count FROM h2
+    """,
+    "span_job": f"WITH {EDGES} {_EDGE_ROWS}",
+    "graph_document": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
+    "dangling_edges": f"""WITH {NODES}, facts AS ({_FACT})
+        SELECT 's1' AS snapshot_ts, id, "sourceId", "destinationId" FROM facts WHERE "sourceId" = 2 OR "destinationId" = 2
+    """,
     "late_edges": f"""WITH {WINDOWED}
         SELECT window_start, CAST(sum(count) AS BIGINT) * CASE
                  WHEN window_start + 300000 > (SELECT max(source_timestamp) FROM edges) - 3600000 THEN 2 ELSE 1 END AS calls

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,10 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The JVM does not compile methods beyond 8000 bytes; past that, smaller pieces run faster.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-    # A retried snapshot write replaces its own partition and no other.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -34,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="spanloom-")
         spark.conf.set("spark.checkpoint.dir", named)
