@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType
 
-REMEMBERED = 500_000
+REMEMBERED = 350_000  # entries to a turn
 PIECE_AT_MOST = 64  # longer pieces are encoded but not remembered
 
 
@@ -113,42 +113,63 @@ class Vocabulary:
         return self.ids[slot] if self.keys[slot] == token else None
 
 
+class Ranks(dict):
+    """Ranks of byte strings met so far, looked up in the vocabulary when missing."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        super().__init__()
+        self._id_of = vocabulary.id_of
+
+    def __missing__(self, token: bytes) -> int | None:
+        found = self._id_of(token)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(token) <= PIECE_AT_MOST:
+            self[token] = found
+        return found
+
+
+class Recent:
+    """What was looked up since the last turn and in the turn before, so what is in use survives a turn."""
+
+    def __init__(self) -> None:
+        self.new: dict = {}
+        self._old: dict = {}
+
+    def turn(self) -> dict:
+        """The entries to look in; a new turn begins when they are many."""
+        if len(self.new) > REMEMBERED:
+            self._old, self.new = self.new, {}
+        return self.new
+
+    def kept(self, key: str) -> tuple[int, ...] | None:
+        return self._old.get(key)
+
+
 class Encoder:
     """Encodes whole texts; one to a worker."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self._pattern = regex.compile(vocabulary.pattern)
-        # Pieces since the last turn and those of the turn before: what is still in use survives a turn.
-        self._pieces: dict[str, tuple[int, ...]] = {}
-        self._before: dict[str, tuple[int, ...]] = {}
-        self._tokens: dict[str, tuple[int, ...]] = {}
-        self._ranks: dict[bytes, int | None] = {}
+        # The short cut for plain words needs a pattern that takes a blank with the letters after it.
+        self._plain_words = self._pattern.findall(" ab.") == [" ab", "."]
+        self._pieces, self._tokens = Recent(), Recent()
+        self._ranks = Ranks(vocabulary)
         self._bytes = [bytes([i]) for i in range(256)]
         # Between a character and a blank or line feed after it every token ends, so texts are cut there first.
         self._piece = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
         self._other_space = re.compile("[^\\S \n]|[\x00\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]")
 
-    def _rank(self, token: bytes) -> int | None:
-        """``id_of``, remembered."""
-        found = self._ranks.get(token, -1)
-        if found == -1:
-            found = self.vocabulary.id_of(token)
-            if len(self._ranks) >= REMEMBERED:
-                self._ranks.clear()
-            if len(token) <= PIECE_AT_MOST:
-                self._ranks[token] = found
-        return found
-
     def merge(self, token: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary: lowest rank first, leftmost of equals."""
-        rank, n = self._rank, len(token)
+        ranks, n = self._ranks, len(token)
         part = [self._bytes[b] for b in token]
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         heap = []
         for i in range(n - 1):
-            found = rank(token[i : i + 2])
+            found = ranks[token[i : i + 2]]
             if found is not None:
                 heap.append((found, i, 2))
         heapq.heapify(heap)
@@ -162,27 +183,37 @@ class Encoder:
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                found = rank(both + part[k])
+                found = ranks[both + part[k]]
                 if found is not None:
                     heapq.heappush(heap, (found, i, size + len(part[k])))
             h = before[i]
             if h >= 0:
-                found = rank(part[h] + both)
+                found = ranks[part[h] + both]
                 if found is not None:
                     heapq.heappush(heap, (found, h, len(part[h]) + size))
-        return [rank(p) for p in part if p]
+        return [ranks[p] for p in part if p]
+
+    def _cut(self, piece: str) -> list[str]:
+        """The piece's pre-tokens; plain words with a blank before and a stop or comma behind need no pattern."""
+        if self._plain_words and piece.isascii():
+            word = piece[1:] if piece[:1] == " " else piece
+            if word.isalpha():
+                return [piece]
+            if word[-1:] in (".", ",") and word[:-1].isalpha():
+                return [piece[:-1], word[-1]]
+        return self._pattern.findall(piece)
 
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
-        known, found = self._tokens, []
-        for match in self._pattern.findall(piece):
+        known, found = self._tokens.turn(), []
+        for match in self._cut(piece):
             ids = known.get(match)
             if ids is None:
-                token = match.encode()
-                whole = self.vocabulary.id_of(token)
-                ids = tuple(self.merge(token)) if whole is None else (whole,)
+                ids = self._tokens.kept(match)
+                if ids is None:
+                    token = match.encode()
+                    whole = self.vocabulary.id_of(token)
+                    ids = tuple(self.merge(token)) if whole is None else (whole,)
                 if len(match) <= PIECE_AT_MOST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
                     known[match] = ids
             found += ids
         return tuple(found)
@@ -200,16 +231,14 @@ class Encoder:
 
     def _look_up(self, pieces: list[str], encode: Callable[[str], tuple[int, ...]]) -> list[int]:
         """The ids of pieces in a row; a piece that begins with a zero character stands for the rest of it."""
-        if len(self._pieces) > REMEMBERED:
-            self._before, self._pieces = self._pieces, {}
-        known = self._pieces
+        known = self._pieces.turn()
         found = list(map(known.get, pieces))
         if None in found:
             strange: dict[str, tuple[int, ...]] = {}
             for i, ids in enumerate(found):
                 if ids is None:
                     piece = pieces[i]
-                    ids = known.get(piece) or strange.get(piece) or self._before.get(piece) or encode(piece)
+                    ids = known.get(piece) or strange.get(piece) or self._pieces.kept(piece) or encode(piece)
                     (known if len(piece) <= PIECE_AT_MOST else strange)[piece] = found[i] = ids
         return list(chain.from_iterable(found))
 
