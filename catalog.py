@@ -563,9 +563,10 @@ def edge_sink(spark, sf_dir):
 def edge_source(spark, sf_dir):
     """Edges per hour of event time, counted from the stream over their table."""
     counted = scratch_path(spark, "counted")
-    hours = tables.stream_table(spark, _stored_edges(spark, sf_dir), schemas.EDGE).groupBy(
-        times.window_start(F.col("source_timestamp"), HOUR_MS).alias("hour_ms")
-    ).agg(F.count(F.lit(1)).alias("edges"))
+    stream = tables.stream_table(spark, _stored_edges(spark, sf_dir), schemas.EDGE)
+    timed = stream.withColumn("event_time", F.timestamp_millis("source_timestamp")).withWatermark("event_time", "7 days")
+    counts = timed.groupBy(F.window("event_time", "1 hour")).agg(F.count(F.lit(1)).alias("edges"))
+    hours = counts.select(F.unix_millis("window.start").alias("hour_ms"), "edges")
     _ran(hours.writeStream.outputMode("update").foreachBatch(lambda rows, batch_id: tables.write_batch(rows, counted, batch_id))
          .option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start())
     return spark.read.parquet(counted).groupBy("hour_ms").agg(F.max("edges").alias("edges"))

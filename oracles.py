@@ -48,11 +48,11 @@ spans AS (
 """
 
 # Distinct spans ranked by arrival, the candidate pairs of both kinds, and the accepted ones.
-PAIRS = SPANS + """,
+_PAIRS = """,
 distinct_spans AS (
   SELECT * FROM (
-    SELECT *, start_us // 1000 AS time_ms,
-           row_number() OVER (PARTITION BY trace_id, span_id, parent_span_id, service_name ORDER BY arrival_seq) AS copy
+    SELECT * REPLACE ({service} AS service_name), start_us // 1000 AS time_ms,
+           row_number() OVER (PARTITION BY trace_id, span_id, parent_span_id, {service} ORDER BY arrival_seq) AS copy
     FROM spans
   ) WHERE copy = 1
 ),
@@ -96,6 +96,13 @@ accepted AS (
 )
 """
 
+
+def pairs_sql(service: str = "service_name") -> str:
+    """The common tables of pairing; ``service`` is an expression for the service of a span."""
+    return SPANS + _PAIRS.format(service=service)
+
+
+PAIRS = pairs_sql()
 EDGES = PAIRS + """,
 edges AS (
   SELECT client_span_id AS pair_key, client_service AS source, server_service AS destination,
@@ -280,7 +287,7 @@ ORACLES: dict[str, str] = {
     "snapshot_name": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS name FROM events",
     "shared_span_pairs": f"WITH {PAIRS} SELECT {_PAIR} FROM pairs WHERE shared",
     "parent_child_pairs": f"WITH {PAIRS} SELECT {_PAIR} FROM pairs WHERE NOT shared",
-    "complete_filter": f"""WITH {PAIRS.replace('''SELECT *, start_us // 1000''', '''SELECT * REPLACE ('svc-' || length(service_name) AS service_name), start_us // 1000''').replace("span_id, parent_span_id, service_name ORDER", "span_id, parent_span_id, length(service_name) ORDER")}
+    "complete_filter": f"""WITH {pairs_sql("'svc-' || length(service_name)")}
         SELECT {_PAIR}, CAST(shared AS INTEGER) AS shared FROM complete
     """,
     "merge_style_filter": f"WITH {PAIRS} SELECT {_PAIR}, CAST(shared AS INTEGER) AS shared FROM accepted",

@@ -14,6 +14,9 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above thi
 def dense_number(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Add ``name``: 1..n in the order of the given columns, which must be unique together.
 
+    Calling this runs ``rows`` once, as the sorted rows are checkpointed; Spark removes the files with the frame
+    if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+
     Range partitions are sorted in parallel; a partition's numbers start after
     the rows of the partitions before it. The sorted rows are checkpointed first
     so that both uses see the same partitions. What is broadcast has one row per

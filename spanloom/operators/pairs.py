@@ -231,8 +231,7 @@ def shared_registry(pairs: DataFrame) -> DataFrame:
 def registry_of_holders(leaders: DataFrame, scope: Sequence[str] = TRACE_SCOPE) -> DataFrame:
     """The registry straight from ``leading_holders``.
 
-    A shared pair is the two leaders of one span id, so the registry needs no
-    join and reuses the shuffle that ranked them.
+    A shared pair is the two leaders of one span id, so the registry needs no join.
     """
     def of(rank: int, name: str) -> Column:
         return F.max(F.when(F.col("rank") == rank, F.col(name)))
