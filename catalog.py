@@ -273,6 +273,12 @@ def tag_union(spark, sf_dir):
     return stats.tag_union(_effective(_windowed(spark, sf_dir)))
 
 
+@query
+def tag_union_values(spark, sf_dir):
+    """The union of tag values with a row per value."""
+    return stats.tag_union_values(_effective(_windowed(spark, sf_dir)))
+
+
 # --- graph queries --------------------------------------------------------------------------------------------------
 
 def _service_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,6 +459,18 @@ def _span_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_io.stream_spans(spark, path)
 
 
+def _arriving(spark: SparkSession, sf_dir: str, batches: int) -> DataFrame:
+    """The raw spans as a stream of ``batches`` micro-batches in order of arrival."""
+    path, written = scratch_path(spark, "spans"), scratch_path(spark, "all-spans")
+    tb.raw_spans(spark, sf_dir).write.parquet(written)
+    spans = spark.read.schema(schemas.SPAN).parquet(written)
+    last = spans.agg(F.max("arrival_seq")).first()[0] or 0
+    width = last // batches + 1
+    for i in range(batches):  # one file after the other, as a stream takes files by their time
+        spans.where(F.floor(F.col("arrival_seq") / width) == i).coalesce(1).write.mode("append").parquet(path)
+    return span_io.stream_spans(spark, path, max_files=1)
+
+
 def _ran(query_handle) -> None:
     query_handle.awaitTermination()
 
@@ -486,6 +504,14 @@ def span_pairs_stream(spark, sf_dir):
     return flat_tags(_table(spark, _span_job(spark, sf_dir), "edges", schemas.EDGE))
 
 
+@query
+def span_pairs_stream_batches(spark, sf_dir):
+    """Edges of the streaming span job over four micro-batches, with all spans remembered."""
+    job = pairing.SpanJob(scratch_path(spark, "job"), interval_ms=10 * times.DAY_MS, tag_keys=tb.TAG_KEYS)
+    _ran(job.start(_arriving(spark, sf_dir, 4), scratch_path(spark, "checkpoint"), availableNow=True))
+    return flat_tags(_table(spark, job, "edges", schemas.EDGE))
+
+
 @query
 def late_spans(spark, sf_dir):
     """All order lines arrive a batch after the orders, far behind stream time, and still match."""

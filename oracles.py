@@ -322,6 +322,9 @@ ORACLES: dict[str, str] = {
           WHERE value IS NOT NULL
         ) GROUP BY source, destination, side, key
     """,
+    "tag_union_values": f"""WITH {WINDOWED}
+        SELECT DISTINCT source, destination, side, key, unnest(string_split(value, ',')) AS value FROM last_tags WHERE value IS NOT NULL
+    """,
     "operation_graph": f"""WITH {WINDOWED}
         SELECT source, destination, operation, count, last_seen, error_count, {_both_tags()},
                window_start AS effective_from, least(window_end, {NOW_MS}) AS effective_to
@@ -389,6 +392,7 @@ ORACLES: dict[str, str] = {
     "graph_json_read": f"WITH {GRAPH} SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM graph",
     "span_source": f"WITH {SPANS} SELECT service_name, count(*) AS spans FROM spans GROUP BY service_name",
     "span_pairs_stream": f"WITH {EDGES} {_EDGE_ROWS}",
+    "span_pairs_stream_batches": f"WITH {EDGES} {_EDGE_ROWS}",
     "late_spans": f"WITH {EDGES} {_EDGE_ROWS}",
     "state_eviction": f"""WITH {SPANS},
         ended AS (

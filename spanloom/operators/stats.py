@@ -179,3 +179,13 @@ def tag_union(edges: DataFrame) -> DataFrame:
     """The union of tag values per (source, destination), one row per side and key, values sorted."""
     tags = _merge_tags(edges, ["source", "destination"])
     return tags.filter(F.col("side") != "").select("source", "destination", "side", "key", "value")
+
+
+def tag_union_values(edges: DataFrame) -> DataFrame:
+    """The union of tag values per (source, destination) with a row per value, whatever their number.
+
+    Nothing is gathered: a tag with as many values as there are edges stays spread over all tasks. A tag without any
+    part, such as an empty or comma-only value, is a row with a null ``value``.
+    """
+    tags = edges.select("source", "destination", F.explode(labelled_tags()).alias("_tag")).select("source", "destination", "_tag.*").filter("side <> ''")
+    return tags.distinct().withColumn("value", F.explode_outer(tag_values(F.col("value")))).distinct()

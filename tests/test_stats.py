@@ -86,3 +86,13 @@ def test_range_prunes_days(spark, tmp_path):
     assert sorted(r.last_seen for r in got.collect()) == [2, 3]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(window_date" in plan and "GreaterThanOrEqual(window_start" in plan
+
+
+def test_tag_of_very_many_values_is_not_gathered(spark):
+    rows = spark.range(100_000).select(
+        F.lit("a").alias("source"), F.lit("b").alias("destination"), F.create_map(F.lit("url"), F.concat(F.lit("u"), "id")).alias("source_tags"),
+        F.create_map().cast("map<string,string>").alias("destination_tags"),
+    )
+    union = stats.tag_union_values(rows)
+    assert union.count() == 100_000
+    assert "collect_" not in union._jdf.queryExecution().executedPlan().toString()
