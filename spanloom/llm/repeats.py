@@ -6,8 +6,8 @@ Suffixes that agree on ``DEPTH`` bytes share the smallest hashed ``GRAM``-byte s
 suffix bucket. A document's consecutive suffixes of one anchor are a chunk, one row. Rows of anchors that occur once are done with; of
 equal chunks all but the first go as a whole (aggregated before the shuffle). What is left are unlike chunks of one anchor. They meet bucket by bucket
 in sorted blocks of bounded size, where their suffixes are sorted with a difference cover (``suffixes``): ties beyond its period are told by ranks
-of the cover's sample. Buckets of more than ``WIDE`` unlike chunks are not gathered: each suffix becomes a row, named by its hash, and the first
-of a name is found by an aggregate.
+of the cover's sample. Buckets of more than ``WIDE`` unlike chunks are dealt to parts, sorted each by itself; the suffixes that come first in a part are named by
+their hash, and an aggregate finds the first of a name.
 
 Defined results: null and empty texts have no bytes and lose none; rows repeated with one doc_id, and rows without one, are documents of their own, ordered by
 doc_id (nulls first), then text; an empty table gives no rows; other columns stay in ``drop_repeats`` and are ignored elsewhere.
@@ -29,7 +29,7 @@ from spanloom.llm.suffixes import PERIOD, Block
 DEPTH = 100
 GRAM = 20
 BATCH = 1 << 20  # characters at a time
-WIDE = 512
+WIDE = 2048
 BLOCK_BYTES = 2 << 20
 
 
@@ -40,6 +40,11 @@ def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.frombuffer(b"".join(encoded), dtype=np.uint8), ends - np.array([len(e) for e in encoded], dtype=np.int64), ends
 
 
+def _packed(low: np.ndarray, count: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """First suffix, number of suffixes and distance to the anchor (both below 128) as one number, in the order of the first suffix."""
+    return (low * 128 + count) * 128 + inner
+
+
 class Chunks:
     """The chunks of some texts: ``text``, ``low`` (first suffix), ``count`` (suffixes), ``anchor`` (positions in the joined bytes), ``bucket`` and ``name``."""
 
@@ -91,7 +96,7 @@ def _rows(documents: DataFrame) -> DataFrame:
                 found = Chunks(part)
                 rows, times = found.first_in_text()
                 text = found.text[rows]
-                place = (found.low[rows] - found.begins[text]) * 256 + found.count[rows]
+                place = _packed(found.low[rows] - found.begins[text], found.count[rows], found.anchor[rows] - found.low[rows])
                 keys = batch.column("key").slice(at, len(part)).take(pa.array(text))
                 at += len(part)
                 yield pa.RecordBatch.from_arrays([
@@ -102,38 +107,36 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 
 def _cut_out(unlike: DataFrame, documents: DataFrame) -> DataFrame:
-    """Bytes of the chunks of ``unlike``: (``bucket``, ``wide``, ``key``, ``low``, ``inner`` (anchor), ``bytes``)."""
-    listed = unlike.groupBy("key").agg(F.collect_list(F.struct("place", "bucket", "wide")).alias("chunks"))
+    """Bytes of the chunks of ``unlike``: (``bucket``, ``part``, ``wide``, ``key``, ``low``, ``inner`` (anchor), ``bytes``)."""
+    listed = unlike.groupBy("key").agg(F.collect_list(F.struct("place", "bucket", "part", "wide")).alias("chunks"))
     both = documents.select("key", "text").join(listed, "key")
-    schema = StructType().add("bucket", "long").add("wide", "boolean").add("key", documents.schema["key"].dataType)
+    schema = StructType().add("bucket", "long").add("part", "integer").add("wide", "boolean").add("key", documents.schema["key"].dataType)
     schema = schema.add("low", "long").add("inner", "long").add("bytes", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("chunks")
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                chunks = lists[i].values
-                place = np.asarray(chunks.field("place"))
-                bucket = np.asarray(chunks.field("bucket"))
-                low, count = place // 256, place % 256
-                data = text.encode()
-                hashes = ByteHashes(np.frombuffer(data, dtype=np.uint8))
-                # The anchor is where the bucket's own gram stands, the first such place within the last suffix's reach.
-                inner = np.full(len(low), -1, dtype=np.int64)
-                for shift in range(DEPTH - GRAM, -1, -1):
-                    at = low + count - 1 + shift
-                    inner = np.where(hashes.of(at, at + GRAM).view(np.int64) == bucket, at - low, inner)
-                pieces = [data[a : a + n + DEPTH - 1] for a, n in zip(low.tolist(), count.tolist())]
-                yield pa.RecordBatch.from_arrays([
-                    chunks.field("bucket"), chunks.field("wide"), pa.array([batch.column("key")[i].as_py()] * len(low), batch.column("key").type),
-                    pa.array(low), pa.array(inner), pa.array(pieces, pa.binary()),
-                ], schema.names)
+            size = np.diff(lists.offsets.to_numpy())
+            chunks, row = lists.flatten(), np.repeat(np.arange(len(size)), size)
+            place = chunks.field("place").to_numpy()
+            low, count, inner = place // 16384, place // 128 % 128, place % 128
+            begin, end = low.tolist(), (low + count + DEPTH - 1).tolist()
+            texts = [t.encode() for t in batch.column("text").to_pylist()]
+            pieces = [texts[i][a:e] for i, a, e in zip(row.tolist(), begin, end)]
+            yield pa.RecordBatch.from_arrays([
+                chunks.field("bucket"), chunks.field("part"), chunks.field("wide"), batch.column("key").take(pa.array(row)),
+                pa.array(low), pa.array(inner), pa.array(pieces, pa.binary()),
+            ], schema.names)
 
     return both.select("key", "text", "chunks").mapInArrow(run, schema)
 
 
-def _gone_in_block(bucket: np.ndarray, keys: np.ndarray, low: np.ndarray, inner: np.ndarray, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) of runs of suffixes that start earlier too, among the chunks of whole buckets."""
+def _judged(
+    number: np.ndarray, wide: np.ndarray, keys: np.ndarray, low: np.ndarray, inner: np.ndarray, pieces: list[bytes]
+) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Among the chunks of whole parts of buckets (``number``): (row, start, end) of runs of suffixes that start earlier too,
+    and (row, start, distance to the anchor, name) of the first of every suffix in wide buckets.
+    """
     sizes = np.array([len(p) for p in pieces])
     # Anchors stand at multiples of the period, so suffixes at one distance from their anchors have one remainder.
     begins = np.empty(len(pieces), dtype=np.int64)
@@ -143,11 +146,11 @@ def _gone_in_block(bucket: np.ndarray, keys: np.ndarray, low: np.ndarray, inner:
         parts += [bytes(gap), piece]
         begins[i] = at + gap
         at += gap + len(piece)
-    block = Block(np.frombuffer(b"".join(parts), dtype=np.uint8), DEPTH)
+    text = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    block = Block(text, DEPTH)
     count = sizes - DEPTH + 1
     row = np.repeat(np.arange(len(pieces)), count)
     step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    number = np.unique(bucket, return_inverse=True)[1]
     where = number[row] * 256 + (step - inner[row] + 128)
     order, new = block.equal_runs(begins[row] + step, where)
     start = low[row] + step
@@ -155,20 +158,25 @@ def _gone_in_block(bucket: np.ndarray, keys: np.ndarray, low: np.ndarray, inner:
     rank[np.lexsort((start, np.unique(keys, return_inverse=True)[1][row]))] = np.arange(len(row))
     run = np.cumsum(new) - 1
     first = np.minimum.reduceat(rank[order], np.flatnonzero(new))
-    gone = order[rank[order] != first[run]]
+    is_first = rank[order] == first[run]
+    gone, told = order[~is_first], order[is_first]
+    told = told[wide[row[told]]]
+    at = begins[row[told]] + step[told]
+    firsts = (row[told], start[told], step[told] - inner[row[told]], ByteHashes(text).of(at, at + DEPTH).view(np.int64) if len(told) else np.zeros(0, np.int64))
     gone = gone[np.lexsort((step[gone], row[gone]))]
-    if not len(gone):
-        return gone, gone, gone
     edge = np.ones(len(gone), dtype=bool)
     edge[1:] = (row[gone][1:] != row[gone][:-1]) | (step[gone][1:] != step[gone][:-1] + 1)
     begin = np.flatnonzero(edge)
-    end = np.append(begin[1:], len(gone)) - 1
-    return row[gone[begin]], start[gone[begin]], start[gone[end]] + DEPTH
+    end = np.append(begin[1:], len(gone))[: len(begin)] - 1
+    return (row[gone[begin]], start[gone[begin]], start[gone[end]] + DEPTH), firsts
 
 
 def _sorted_buckets(chunks: DataFrame) -> DataFrame:
-    """(``key``, ``start``, ``end``) of repeated runs within narrow buckets."""
+    """(``key``, ``start``, ``end``) of repeated runs within the parts of buckets; of wide buckets also the first of every suffix in
+    a part (``end`` null), with ``bucket``, ``off`` and ``name``.
+    """
     schema = StructType().add("key", chunks.schema["key"].dataType).add("start", "long").add("end", "long")
+    schema = schema.add("bucket", "long").add("off", "long").add("name", "long")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
@@ -177,19 +185,24 @@ def _sorted_buckets(chunks: DataFrame) -> DataFrame:
             if sum(b.nbytes for b in held) < BLOCK_BYTES:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
-            bucket = table.column("bucket").to_numpy()
-            # Whole buckets only: the last one may go on in the next batch.
-            cut = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1 if bucket[0] != bucket[-1] else 0
+            other = np.flatnonzero(numbers(table) != numbers(table)[-1])
+            # Whole parts of buckets only: the last one may go on in the next batch.
+            cut = int(other[-1]) + 1 if len(other) else 0
             held = table.slice(cut).to_batches()
             yield from pieces(table.slice(0, cut))
         if held:
             yield from pieces(pa.Table.from_batches(held).combine_chunks())
 
+    def numbers(table: pa.Table) -> np.ndarray:
+        """The parts of buckets in the order of the rows, from 0."""
+        bucket, part = (table.column(c).to_numpy() for c in ("bucket", "part"))
+        return np.cumsum(np.concatenate([[False], (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])]))
+
     def pieces(table: pa.Table) -> Iterator[pa.Table]:
-        """Runs of whole buckets of about BLOCK_BYTES."""
+        """Runs of whole parts of about BLOCK_BYTES."""
         if not table.num_rows:
             return
-        bucket = table.column("bucket").to_numpy()
+        bucket = numbers(table)
         size = np.cumsum(table.column("size").to_numpy())
         edges = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket))
         at = 0
@@ -203,41 +216,26 @@ def _sorted_buckets(chunks: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
             keys = table.column("key").combine_chunks()
-            row, start, end = _gone_in_block(
-                table.column("bucket").to_numpy(), keys.to_numpy(zero_copy_only=False), table.column("low").to_numpy(),
+            (row, start, end), (first, begin, off, name) = _judged(
+                numbers(table), table.column("wide").to_numpy(), keys.to_numpy(zero_copy_only=False), table.column("low").to_numpy(),
                 table.column("inner").to_numpy(), table.column("bytes").to_pylist(),
             )
-            yield pa.RecordBatch.from_arrays([keys.take(pa.array(row)), pa.array(start), pa.array(end)], schema.names)
-
-    dealt = chunks.select("bucket", "key", "low", "inner", "bytes", F.octet_length("bytes").cast("long").alias("size"))
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
-
+            bucket = table.column("bucket").combine_chunks().take(pa.array(first))
+            none = pa.nulls(len(row), pa.int64())
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(row)), pa.array(start), pa.array(end), none, none, none], schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(first)), pa.array(begin), pa.nulls(len(first), pa.int64()), bucket, pa.array(off), pa.array(name)], schema.names
+            )
 
-def _wide_buckets(chunks: DataFrame) -> DataFrame:
-    """The same for wide buckets: a row per suffix, the first of each name by an aggregate."""
-    schema = StructType().add("bucket", "long").add("off", "long").add("name", "long").add("key", chunks.schema["key"].dataType).add("start", "long")
+    dealt = chunks.select("bucket", "part", "wide", "key", "low", "inner", "bytes", F.octet_length("bytes").cast("long").alias("size"))
+    return dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(run, schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                pieces = part.column("bytes").to_pylist()
-                sizes = np.array([len(p) for p in pieces])
-                count = sizes - DEPTH + 1
-                row = np.repeat(np.arange(len(pieces)), count)
-                step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                begin = (np.cumsum(sizes) - sizes)[row] + step
-                names = ByteHashes(np.frombuffer(b"".join(pieces), dtype=np.uint8)).of(begin, begin + DEPTH)
-                rows = pa.array(row)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("bucket").take(rows), pa.array(step - part.column("inner").to_numpy()[row]), pa.array(names.view(np.int64)),
-                    part.column("key").take(rows), pa.array(part.column("low").to_numpy()[row] + step),
-                ], schema.names)
 
-    suffixes = chunks.mapInArrow(run, schema)
+def _across_parts(firsts: DataFrame) -> DataFrame:
+    """(``key``, ``start``, ``end``) of suffixes that are the first of their part but not of their bucket."""
     named = ["bucket", "off", "name"]
-    first = suffixes.groupBy(*named).agg(F.min(F.struct("key", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = suffixes.join(first, named).where("struct(key, start) <> first")
+    first = firsts.groupBy(*named).agg(F.min(F.struct("key", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = firsts.join(first.drop("n"), named).where("struct(key, start) <> first")
     return later.select("key", "start", (F.col("start") + DEPTH).alias("end"))
 
 
@@ -252,19 +250,20 @@ def keyed(documents: DataFrame) -> DataFrame:
 def repeated(documents: DataFrame) -> DataFrame:
     """(``key``, ``start``, ``end``): runs of bytes that start earlier too, in or across the texts of ``documents`` (``key``, ``text``).
 
-    Chunks that repeat within one document are left to ``_apply``, which sees them in the text itself.
+    Chunks that repeat within one document are left to ``_removed``, which sees them in the text itself.
     """
     rows = _rows(documents)
     often = rows.groupBy("bucket").agg(F.sum("times").alias("n")).where("n > 1").select("bucket")
     alive = stored(rows.join(often, "bucket", "left_semi"), "chunks")
     first = stored(alive.groupBy("bucket", "name").agg(F.min(F.struct("key", "place")).alias("first")), "first")
     kinds = first.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    unlike = first.join(kinds, "bucket").select("bucket", "first.key", "first.place", (F.col("n") > WIDE).alias("wide"))
+    part = F.pmod(F.xxhash64("first.key", "first.place"), F.ceil(F.col("n") / WIDE)).cast("int")
+    unlike = first.join(kinds, "bucket").select("bucket", part.alias("part"), (F.col("n") > WIDE).alias("wide"), "first.key", "first.place")
     chunks = stored(_cut_out(unlike, documents), "unlike")
-    whole = alive.join(first, ["bucket", "name"]).where("struct(key, place) <> first").select(
-        "key", F.floor(F.col("place") / 256).alias("start"), (F.floor(F.col("place") / 256) + F.col("place") % 256 + DEPTH - 1).alias("end")
-    )
-    return whole.union(_sorted_buckets(chunks.where("not wide"))).union(_wide_buckets(chunks.where("wide")))
+    low, count = F.shiftright("place", 14), F.shiftright("place", 7) % 128
+    whole = alive.join(first, ["bucket", "name"]).where("struct(key, place) <> first").select("key", low.alias("start"), (low + count + DEPTH - 1).alias("end"))
+    judged = stored(_sorted_buckets(chunks), "judged")
+    return whole.union(judged.where("end is not null").select("key", "start", "end")).union(_across_parts(judged.where("end is null")))
 
 
 def _own_repeats(found: Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
