@@ -8,7 +8,7 @@ rank that fills all coordinates on average; documents with an empty one draw fur
 
 Documents with equal shingles are one class from the start. Classes that agree on a whole band are candidates: first each
 with the smallest of its bucket, then, in buckets that still hold unlike components, all pairs whose signatures are not
-too far apart, block against block. Every candidate is verified by the weighted Jaccard similarity of its shingles.
+too far apart, block against block in one task, which returns a spanning forest of what it finds. Every candidate is verified by the weighted Jaccard similarity of its shingles.
 
 Defined results: null texts, texts without words and rows without doc_id are classes of their own; a text of fewer than five words is one shingle;
 rows repeated with one doc_id are one document; an empty table gives no rows; other columns are ignored.
@@ -142,20 +142,41 @@ def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFr
 
 
 def _apart(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Pairs of unlike components of one pair of blocks whose lengths and signatures allow the threshold."""
+    """Links of a spanning forest between unlike components of one pair of blocks of a bucket, each verified here.
+
+    A pair is judged in the first band it agrees on, if its lengths and signatures allow the threshold and no link found before joins it.
+    """
     short = np.array([np.frombuffer(s, dtype=np.uint8) for s in group["short"]])
+    bands = np.array(group["bands"].tolist())
+    own_band = int(np.flatnonzero(bands[0] == group["band"].iloc[0])[0])
     n, ids = group["n"].to_numpy().astype(float), group["rep"].to_numpy()
-    part, own = group["component"].to_numpy(), group["own_block"].to_numpy()
+    own = group["own_block"].to_numpy()
     across = group["block_a"].iloc[0] != group["block_b"].iloc[0]
+    sizes = np.array([len(i) for i in group["items"]])
+    begins = np.cumsum(sizes) - sizes
+    places, flat = np.unique(np.concatenate(group["items"].tolist()), return_inverse=True)
+    marked = np.zeros(len(places), dtype=bool)
+    part = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
     a, b = [], []
     for i in range(len(group)):
         others = (ids > ids[i]) & (part != part[i]) & (np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i]))
         if across:
             others &= own != own[i]
         at = np.flatnonzero(others)
-        at = at[(short[at] == short[i]).mean(axis=1) >= AGREE] if len(at) else at
-        a += [ids[i]] * len(at)
-        b += ids[at].tolist()
+        if len(at):
+            at = at[~(bands[at, :own_band] == bands[i, :own_band]).any(axis=1)]
+            at = at[(short[at] == short[i]).mean(axis=1) >= AGREE]
+        if not len(at):
+            continue
+        mine = flat[begins[i] : begins[i] + sizes[i]]
+        marked[mine] = True
+        common = np.add.reduceat(marked[flat], begins)[at]
+        marked[mine] = False
+        for j in at[common / (sizes[i] + sizes[at] - common) >= threshold]:
+            if part[j] != part[i]:
+                part[part == part[j]] = part[i]
+                a.append(ids[i])
+                b.append(ids[j])
     return pd.DataFrame({"a": np.array(a, dtype=ids.dtype), "b": np.array(b, dtype=ids.dtype)})
 
 
@@ -176,17 +197,17 @@ def near_copies(documents: DataFrame, threshold: float = 0.8, block: int = BLOCK
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     elements = stored(_elements(texts).dropDuplicates(["doc_id"]) if _has_repeats(sketches) else _elements(texts), "shingles")
-    first = stored(first, "pairs")
     links = stored(_verified(first, elements, threshold), "links")
     parts = components(links, "components").withColumnRenamed("id", "rep")
     placed = members.select("band", "rep").join(parts, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-    rest = placed.join(mixed, "band", "left_semi").join(reps.select("rep", "n", "short"), "rep")
+    rest = placed.join(mixed, "band", "left_semi").join(reps.select("rep", "n", "short", "bands"), "rep")
+    rest = rest.join(elements.select(F.col("doc_id").alias("rep"), "items"), "rep")
     kind = documents.schema["doc_id"].dataType.simpleString()
     second = block_pairs(rest, ["band"], "rep", block).groupBy("band", "block_a", "block_b").applyInPandas(
         lambda group: _apart(group, threshold), f"a {kind}, b {kind}"
-    ).distinct().join(first, ["a", "b"], "left_anti")
-    links = stored(links.union(_verified(second, elements, threshold)), "links")
+    )
+    links = links.union(stored(second, "links"))
     parts = components(links, "components").withColumnRenamed("id", "rep")
     classes = reps.select("key_a", "key_b", "rep").join(parts, "rep", "left").select("key_a", "key_b", F.coalesce("component", "rep").alias("class_id"))
     found = sound.select("doc_id", "key_a", "key_b").join(classes, ["key_a", "key_b"]).select("doc_id", "class_id")
