@@ -34,7 +34,7 @@ MAGIC = b"STK1"
 LANES = 2048
 BLOCK = 1 << 18
 SEGMENT = 1 << 21
-REMEMBERED = 500_000  # words to a turn
+REMEMBERED = 300_000  # words to a turn
 BATCH = 2 << 20  # characters encoded at a time
 
 
