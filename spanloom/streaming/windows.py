@@ -84,14 +84,20 @@ def _versions(spark: SparkSession, table: str, day: str) -> list[int]:
     return sorted(map(int, files.partition_values(spark, f"{table}/{DAY}={day}", VERSION)))
 
 
+def _newest(rows: DataFrame) -> DataFrame:
+    """Of each key its row of the highest version."""
+    latest = F.max(F.struct(VERSION, *STATISTICS, "value")).alias("_latest")
+    return rows.groupBy(DAY, *_ROW_KEY).agg(latest).select(DAY, *_ROW_KEY, "_latest.*")
+
+
+def _all_rows(spark: SparkSession, table: str) -> DataFrame:
+    stamped = T.StructType([*STORED.fields, T.StructField(DAY, T.StringType()), T.StructField(VERSION, T.LongType())])
+    return spark.read.schema(stamped).parquet(table) if days(spark, table) else spark.createDataFrame([], stamped)
+
+
 def _latest_rows(spark: SparkSession, table: str) -> DataFrame:
     """The current long-form rows; a filter on the day or the window reaches the files."""
-    stamped = T.StructType([*STORED.fields, T.StructField(DAY, T.StringType()), T.StructField(VERSION, T.LongType())])
-    if not days(spark, table):
-        return spark.createDataFrame([], stamped).drop(VERSION)
-    rows = spark.read.schema(stamped).parquet(table)
-    latest = F.max(F.struct(VERSION, *STATISTICS, "value")).alias("_latest")
-    return rows.groupBy(DAY, *_ROW_KEY).agg(latest).select(DAY, *_ROW_KEY, "_latest.*").drop(VERSION)
+    return _newest(_all_rows(spark, table)).drop(VERSION)
 
 
 def read_windowed_edges(spark: SparkSession, table: str) -> DataFrame:
@@ -126,20 +132,25 @@ def _drop_versions_before(spark: SparkSession, table: str, day: str, version: in
             files.drop_partition(spark, f"{table}/{DAY}={day}", VERSION, str(old))
 
 
-def compact(spark: SparkSession, table: str, at_most: int = VERSIONS_PER_DAY) -> list[str]:
-    """Merge the versions of each day that has more than ``at_most`` into its newest; returns those days.
+def compact(spark: SparkSession, table: str, at_most: int = VERSIONS_PER_DAY, below: int | None = None) -> list[str]:
+    """Merge versions of each day that has more than ``at_most``; returns those days.
+
+    Only versions before ``below`` are merged, into the newest of them: the version of a batch that may be repeated holds what that batch
+    wrote and nothing else. If not given, the table's newest version counts as such a batch's. A day keeps two versions then.
 
-    The merged rows replace the newest version before the older ones go, so whoever reads meanwhile sees current values.
+    Nothing is overwritten. Rows that the newest of the merged versions lacks are added to it, and then the older versions go; whoever reads meanwhile
+    sees current values, and a merge that ends half-way leaves equal copies at most.
     """
+    below = _last_version(spark, table) if below is None else below
     merged = []
     for day in days(spark, table):
         versions = _versions(spark, table, day)
-        if len(versions) > at_most:
-            path = scratch_path(spark, "compacted")
-            _latest_rows(spark, table).where(F.col(DAY) == day).select(*STORED.fieldNames()).write.parquet(path)
-            _write(_stored(spark.read.schema(STORED).parquet(path), versions[-1]), table)
-            _drop_versions_before(spark, table, day, versions[-1])
-            files.remove(spark, path)
+        before = [v for v in versions if v < below]
+        if len(versions) > at_most and len(before) > 1:
+            rows = _newest(_all_rows(spark, table).where((F.col(DAY) == day) & (F.col(VERSION) < below)))
+            folder = files.partition_path(spark, f"{table}/{DAY}={day}", VERSION, str(before[-1]))
+            rows.where(F.col(VERSION) < before[-1]).select(*STORED.fieldNames()).write.mode("append").parquet(folder)
+            _drop_versions_before(spark, table, day, before[-1])
             merged.append(day)
     return merged
 
@@ -159,7 +170,7 @@ def _last_version(spark: SparkSession, table: str) -> int:
 def batch_writer(table: str, versions_per_day: int = VERSIONS_PER_DAY, retention_days: int = RETENTION_DAYS) -> Callable[[DataFrame, int], None]:
     """What a stream does with each batch: write, and now and then merge and forget.
 
-    A repeated batch is executed again and replaces its own version. A batch older than what the table has can only come from a stream
+    A repeated batch is executed again and replaces its own version, which holds no other rows as only versions before it are merged. A batch older than what the table has can only come from a stream
     that began anew on an old table; it fails rather than lose rows.
     """
     def write(rows: DataFrame, batch_id: int) -> None:
@@ -168,7 +179,7 @@ def batch_writer(table: str, versions_per_day: int = VERSIONS_PER_DAY, retention
         if batch_id < last:
             raise ValueError(f"batch {batch_id} after batch {last} of {table}: a new checkpoint needs a new table")
         _write(_stored(rows, batch_id), table)
-        compact(spark, table, versions_per_day)
+        compact(spark, table, versions_per_day, batch_id)
         held = days(spark, table)
         if held:
             newest = held[-1]

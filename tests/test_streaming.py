@@ -193,6 +193,42 @@ def test_replayed_batches(spark, tmp_path):
     assert held(spark, table)[0, "a"][0] == 3
 
 
+def test_a_batch_repeated_after_its_compaction_loses_nothing(spark, tmp_path):
+    table = str(tmp_path / "w")
+    write = windows.batch_writer(table, versions_per_day=1)
+
+    def batch(batch_id, **counts):
+        rows = [(0, 300_000, source, "b", "op", n, 1, 0, side, key, value) for source, n in counts.items()
+                for side, key, value in (("", "", None), ("source", "t", str(n)))]
+        write(spark.createDataFrame(rows, windows.STORED), batch_id)
+
+    batch(0, a=1, c=5)
+    batch(1, a=2, d=1)
+    batch(2, a=3)
+    for _ in range(2):  # as if the driver had died between the merge and the commit
+        batch(3, a=4)
+        assert held(spark, table) == {(0, "a"): (4, "4"), (0, "c"): (5, "5"), (0, "d"): (1, "1")}
+        assert windows._versions(spark, table, "1970-01-01") == [2, 3]
+    windows.compact(spark, table, 1)  # the newest version may still be repeated
+    batch(3, a=4)
+    assert held(spark, table) == {(0, "a"): (4, "4"), (0, "c"): (5, "5"), (0, "d"): (1, "1")}
+
+
+def test_a_merge_that_ended_half_way_is_repeated(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "w")
+    write = windows.batch_writer(table, versions_per_day=1)
+    frame = lambda *rows: spark.createDataFrame([(0, 300_000, s, "b", "op", n, 1, 0, "", "", None) for s, n in rows], windows.STORED)
+    write(frame(("a", 1), ("c", 5)), 0)
+    write(frame(("a", 2)), 1)
+    with monkeypatch.context() as broken:
+        broken.setattr(windows, "_drop_versions_before", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write(frame(("a", 3)), 2)
+    assert {k: v[0] for k, v in held(spark, table).items()} == {(0, "a"): 3, (0, "c"): 5}
+    write(frame(("a", 3)), 2)
+    assert {k: v[0] for k, v in held(spark, table).items()} == {(0, "a"): 3, (0, "c"): 5}
+
+
 def test_other_rows_under_a_used_batch_are_an_error(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = lambda *seqs: spark.createDataFrame([edge("a", 1_000, s, {"k": "v"}) for s in seqs], schemas.EDGE)
