@@ -5,7 +5,7 @@ a cost for either label: the terminal capacities. Neighbouring blocks, and block
 capacities that fall with their distance in the element tree. The minimum cut labels all blocks of a page together.
 
 Defined results: null or empty html, and pages without content blocks, give an empty text; markup that never ends counts as
-markup up to the end of the page; unknown references stay as written; repeated rows each get their own result.
+markup up to the end of the page, but svg and math that end in their own tag are empty; unknown references stay as written; repeated rows each get their own result.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from spanloom.llm.maxflow import min_cut
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|iframe|svg|math|textarea|select|object|canvas|title)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>(?<=/>)"
+    r"|<(script|style|template|noscript|iframe|svg|math|textarea|select|object|canvas|title)(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,

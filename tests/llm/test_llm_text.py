@@ -152,6 +152,18 @@ def test_article_of_a_page(holder):
     assert html.main_text(PAGE % (holder, holder)) == text
 
 
+@pytest.mark.parametrize("mark", ['<svg class="i"/>', "<SVG/>", "<svg />", '<math alt=">"/>', '<svg class="i"><title>t</title><path d="M0"/></svg>'])
+def test_text_after_an_icon(mark):
+    page = f"<article><p>one {mark} two</p><p>three</p></article>"
+    assert html.main_text(page) == "one two\nthree"
+
+
+@pytest.mark.parametrize("name", ["title-card", "select-x", "object-view", "svg-icon", "math-field", "script-note"])
+def test_custom_elements_are_not_the_elements_they_begin_with(name):
+    assert html.main_text(f"<article><p>one</p><{name}>two</{name}><p>three</p><{name} /><p>four</p></article>") == "one\ntwo\nthree\nfour"
+    assert html.main_text("<article><p>one</p><title>no</title><select ><option>no</select><script/>no</script><p>two</p></article>") == "one\ntwo"
+
+
 def test_odd_pages(spark):
     pages = [None, "", "<", "<p", "<!--", "<script>", "</p></div>", "<p>\x00</p>", "<a href='" * 2000, "<div>" * 3000 + "x", "&#xD800;&bogus;&", "<p>a<p>" * 500]
     rows = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)] + [(None, None, PAGE % ("article", "article"))] * 2, "page_id long, url string, html string")
