@@ -27,7 +27,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_NAMES = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input meta link base".split()
 )
@@ -36,12 +36,17 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _CONTENT_TAGS = frozenset("article main".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What their names tell is the layout around or the subject of the text in them.
+_NEVER_FRAME = _CONTENT_TAGS | _HEADINGS | frozenset("html body p".split())
 _FRAME_TAGS = frozenset("nav footer aside form menu dialog fieldset button address head".split())
 _FRAME_NAMES = re.compile(
     r"(?:^|[\s_-])(?:nav\w*|menu\w*|foot\w*|header|masthead|side\w*|ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?\w*|consent|notice\w*|alert|gdpr|popup|modal|overlay"
     r"|comments?\w*|disqus|respon[ds]e?s?|repl(?:y|ies)|share\w*|social\w*|related|recommend\w*|subscri\w*|newsletter|signup|login|search|breadcrumbs?|pagination|pager|widgets?|toolbar|skip|complementary|contentinfo|navigation)(?:$|[\s_-])",
     re.I,
 )
+#: A flag of the layout, as has-sidebar, tells that something is or isn't elsewhere.
+_FLAGS = re.compile(r"(?<![^\s_-])(?:has|no|with|without)[_-]\S*", re.I)
 _CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|content|main|body|text)(?:$|[\s_-])", re.I)
 
 # Weights of the block classifier (log odds of content).
@@ -58,7 +63,7 @@ class _Element:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.article = bool(parent and parent.article) or tag in _CONTENT_TAGS
-        own = _IN_FRAME if tag in _FRAME_TAGS or names and tag != "body" and _FRAME_NAMES.search(names) else 0.0
+        own = _IN_FRAME if tag in _FRAME_TAGS or names and tag not in _NEVER_FRAME and _FRAME_NAMES.search(_FLAGS.sub("", names)) else 0.0
         if tag == "header" and not self.article:
             own = _IN_HEADER
         self.frame = min(own, parent.frame if parent else 0.0)
@@ -123,7 +128,9 @@ def blocks(page: str) -> list[tuple[str, _Element, float]]:
             while here.tag == "p" and here.parent or here.tag in _ENDS.get(tag, ()):
                 here = here.parent
             if tag not in _VOID:
-                names = " ".join(x.strip("\"'") for x in _NAMES.findall(found[4])) if found[4] else ""
+                named = _NAMES.findall(found[4]) if found[4] else ()
+                # The id of a heading is a slug of its words.
+                names = " ".join(x.strip("\"'") for kind, x in named if tag not in _HEADINGS or kind.lower() != "id")
                 here = _Element(tag, names, here)
         block.element = here
     if at < len(page):
@@ -140,7 +147,7 @@ def log_odds(text: str, element: _Element, linked: float) -> float:
         score += _IN_ARTICLE
     if element.named:
         score += _NAMED_CONTENT
-    if element.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "figcaption"):
+    if element.tag in _HEADINGS or element.tag in ("p", "pre", "blockquote", "figcaption"):
         score += _PROSE_TAG
     return score
 

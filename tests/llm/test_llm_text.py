@@ -152,6 +152,35 @@ def test_article_of_a_page(holder):
     assert html.main_text(PAGE % (holder, holder)) == text
 
 
+PROSE = " ".join(f"word{n}" for n in range(70))
+FRAMED = "<nav>Home</nav>%s<div class='sidebar no-print'><p>Something else of some length to read.</p></div><footer class='no-border'>Imprint</footer>"
+
+
+@pytest.mark.parametrize("names", [
+    "has-sidebar", "no-sidebar", "with-sidebar", "content-with-sidebar", "has-left-sidebar wide", "without_ads", "post layout--no-comments",
+])
+@pytest.mark.parametrize("holder", ["article", "main", "div", "section"])
+def test_flags_of_the_layout_are_no_frames(holder, names):
+    assert html.main_text(FRAMED % f"<{holder} class='{names}'><p>{PROSE}</p></{holder}>") == PROSE
+
+
+@pytest.mark.parametrize("holder", ["article class='related-reading share'", "main id='search'", "main role='main' class='sidebar-left'"])
+def test_articles_with_frame_names(holder):
+    tag = holder.split()[0]
+    assert html.main_text(FRAMED % f"<{holder}><p>{PROSE}</p><aside>Advert</aside></{tag}>") == PROSE
+
+
+def test_headings_and_paragraphs_named_by_their_words():
+    page = f"<article><p>{PROSE}</p><h2 id='related-work'>Related work</h2><p>{PROSE}</p><h3 class='header' id=side-effects>Side effects</h3><p id='notice-1'>{PROSE}</p></article>"
+    assert html.main_text(FRAMED % page) == "\n".join([PROSE, "Related work", PROSE, "Side effects", PROSE])
+    assert html.main_text(f"<html class='js cookies'><body class='has-sidebar sidebar'>{FRAMED % page}</body></html>").startswith(PROSE)
+
+
+@pytest.mark.parametrize("names", ["sidebar", "sidebar-with-links", "comments no-border", "has-icon menu", "nosidebar related", "casino-ads"])
+def test_frames_stay_frames(names):
+    assert html.main_text(FRAMED % f"<article><p>{PROSE}</p></article><div class='{names}'><p>A text of some length that is not part of it.</p></div>") == PROSE
+
+
 @pytest.mark.parametrize("mark", ['<svg class="i"/>', "<SVG/>", "<svg />", '<math alt=">"/>', '<svg class="i"><title>t</title><path d="M0"/></svg>'])
 def test_text_after_an_icon(mark):
     page = f"<article><p>one {mark} two</p><p>three</p></article>"
