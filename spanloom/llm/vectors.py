@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from spanloom.llm.shared import block_pairs, components, stored
 
 NEAREST = 8
-SHARED = 3
+SHARED = 1  # the cosine of every pair that meets in a list decides
 APART = 0.9  # pivots are less alike than this
 PIVOTS_AT_MOST = 4096
 BLOCK = 512

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from brute import Sets, near_classes, repeats, repeats_report
 from pyspark.sql import functions as F
@@ -185,6 +186,14 @@ def vector_rows():
     return rows
 
 
+def test_a_close_pair_that_shares_one_pivot_links():
+    a, b = np.eye(8)[0], np.eye(8)[0] + 0.1 * np.eye(8)[1]
+    lists = np.arange(8, dtype=np.int32), np.array([0, *range(11, 18)], dtype=np.int32)
+    rows = [(0, 0, 0, (v / np.linalg.norm(v)).tobytes(), n.tobytes(), 1, k, 0) for k, (v, n) in enumerate(zip((a, b), lists))]
+    group = pd.DataFrame(rows, columns=["pivot", "block_a", "block_b", "unit", "nearest", "copies", "key", "own_block"])
+    assert vectors._links(group, 0.98, vectors.SHARED)["links"].tolist() == [1, 1]
+
+
 @pytest.mark.parametrize("block", [vectors.BLOCK, 4])
 def test_links_against_brute_force(spark, block):
     # With all pivots listed every pair is a candidate, so nothing may be missing.
