@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from brute import Sets, near_classes, repeats, repeats_report
+from .brute import Sets, near_classes, repeats, repeats_report
 from pyspark.sql import functions as F
 
 from spanloom.llm import minhash, repeats as passages, vectors

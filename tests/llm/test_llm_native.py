@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from brute import leaks, sha, words
+from .brute import leaks, sha, words
 from pyspark.sql import functions as F
 
 from spanloom.llm import chat, decontaminate, urls

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from brute import Sets
+from .brute import Sets
 
 from spanloom.llm.shared import ByteHashes, block_pairs, components, text_batches
 

@@ -12,7 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from brute import leaks, near_classes, repeats, sha
+from .brute import leaks, near_classes, repeats, sha
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
