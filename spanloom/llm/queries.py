@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repeats, tokens, urls, vectors
+from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repair, repeats, tokens, urls, vectors
 from spanloom.llm.shared import read
 from spanloom.session import scratch_path
 
@@ -79,6 +80,15 @@ def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations")
+    # A conversation all of whose rows were dropped has no turns to report; its numbers are zero.
+    found = repair.report(repair.damage(given)).withColumnRenamed("conv_id", "conv")
+    every = given.select("conv_id").distinct()
+    none = {**dict.fromkeys(["gaps", "blank", "duplicate", "truncated", "illegal", "cost"], 0), "audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv").na.fill(none)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_minhash_classes": op2_minhash_classes,
@@ -90,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_links": op10_embedding_links,
+    "op13_turn_repair": op13_turn_repair,
     "pipeline": corpus_pipeline.run,
 }
