@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import raw_span
+from support import raw_span
 from spanloom import schemas
 from spanloom.operators import edges, pairs
 from spanloom.operators.spans import light_spans

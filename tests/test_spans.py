@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import raw_span
+from support import raw_span
 from spanloom.functions import spans as fs
 from spanloom.functions import times
 from spanloom.operators.spans import accumulable_filter, dedupe_spans, light_spans

@@ -1,4 +1,4 @@
-from conftest import raw_span  # noqa: F401  (fixtures)
+from support import raw_span  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 from spanloom import schemas

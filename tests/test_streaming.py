@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import raw_span
+from support import raw_span
 from spanloom import schemas
 from spanloom.operators import edges as edge_ops
 from spanloom.operators import pairs
