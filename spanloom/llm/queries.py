@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repair, repeats, tokens, urls, vectors
+from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repair, repeats, tokens, urls, vectors, whitening
 from spanloom.llm.shared import read
 from spanloom.session import scratch_path
 
@@ -80,6 +80,10 @@ def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = read(spark, sf_dir, "conversations")
     # A conversation all of whose rows were dropped has no turns to report; its numbers are zero.
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_links": op10_embedding_links,
+    "op12_feast_whitening": op12_feast_whitening,
     "op13_turn_repair": op13_turn_repair,
     "pipeline": corpus_pipeline.run,
 }
