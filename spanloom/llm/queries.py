@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repair, repeats, tokens, urls, vectors, whitening
+from spanloom.llm import bpe, chat, decontaminate, html, minhash, quality, repair, repeats, tokens, urls, vectors, warc, whitening
 from spanloom.llm.shared import read
 from spanloom.session import scratch_path
 
@@ -80,6 +80,14 @@ def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op11_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    pages = read(spark, sf_dir, "pages")
+    # The table has no capture times; a page is taken as captured a second after the one numbered before it.
+    index = warc.write_archives(pages, path, F.timestamp_seconds(F.lit(1_600_000_000) + F.col("page_id")))
+    return warc.report(warc.read_index(index), path)
+
+
 def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
@@ -104,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_links": op10_embedding_links,
+    "op11_warc_index": op11_warc_index,
     "op12_feast_whitening": op12_feast_whitening,
     "op13_turn_repair": op13_turn_repair,
     "pipeline": corpus_pipeline.run,

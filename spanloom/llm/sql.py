@@ -68,8 +68,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc_words LEFT JOIN per_word USING (doc_id) LEFT JOIN per_item USING (doc_id)
 """
 
+_ARCHIVES = """
+WITH payloads AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), named AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS last FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM named
+"""
+
 ORACLES: dict[str, str] = {
     "op1_chat_format": _CHAT,
     "op7_url_filter": _URLS,
     "op9_decontaminate": _LEAKS,
+    "op11_warc_index": _ARCHIVES,
 }
