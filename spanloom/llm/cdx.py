@@ -96,6 +96,11 @@ def write_run(path: str, lines: Iterable[bytes], run: int, at: int) -> dict | No
     return {"run": run, "at": at, "file": f"{path}/{name}", "rows": rows, "first": kept[0].decode(), "last": last.decode(), "samples": [k.decode() for k in kept]}
 
 
+def tasks(df: DataFrame) -> int:
+    """The session's number of shuffle partitions. Given to ``repartition``, it keeps rows apart that are small but stand for much work, which Spark else joins by size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def described(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, _FILE_ARROW)
 
@@ -147,7 +152,7 @@ def merge_runs(files: DataFrame, path: str) -> DataFrame:
     turn = 0
     while True:
         groups = max(1, -(-files.select("run").distinct().count() // FAN))
-        jobs = _jobs(files, groups, turn).repartition("group", "at")
+        jobs = _jobs(files, groups, turn).repartition(tasks(files), "group", "at")
         files = stored(jobs.mapInArrow(run, _FILE), f"merged-{turn}")
         if groups == 1:
             return files

@@ -134,7 +134,7 @@ def read_index(index: DataFrame) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    return index.select("at", "file").repartition("at").mapInArrow(run, _CAPTURE)
+    return index.select("at", "file").repartition(cdx.tasks(index), "at").mapInArrow(run, _CAPTURE)
 
 
 def read_archives(captures: DataFrame, path: str) -> DataFrame:
@@ -176,7 +176,7 @@ def read_archives(captures: DataFrame, path: str) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_pylist(held, schema)
 
-    ordered = captures.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    ordered = captures.select("file", "offset", "length").repartition(cdx.tasks(captures), "file").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(run, fields)
 
 
