@@ -23,7 +23,7 @@ from spanloom.sources import graph_json, tables
 from spanloom.sources import snapshots as snap_io
 from spanloom.sources import spans as span_io
 from spanloom import schemas
-from spanloom.streaming import pairing, windows
+from spanloom.streaming import keyed, pairing, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 HOUR_MS = 3_600_000
@@ -471,6 +471,16 @@ def _arriving(spark: SparkSession, sf_dir: str, batches: int) -> DataFrame:
     return span_io.stream_spans(spark, path, max_files=1)
 
 
+def _fed(spark: SparkSession, rows: DataFrame, batches: int) -> DataFrame:
+    """Raw spans as a stream of one micro-batch per value of ``batch``, several files to each."""
+    path, written, files = scratch_path(spark, "spans"), scratch_path(spark, "all-spans"), 4
+    rows.write.parquet(written)
+    spans = spark.read.schema(rows.schema).parquet(written)
+    for i in range(batches):  # folders in turn, as a stream takes files by their time
+        spans.where(F.col("batch") == i).drop("batch").repartition(files).write.mode("append").parquet(path)
+    return span_io.stream_spans(spark, path, max_files=files)
+
+
 def _ran(query_handle) -> None:
     query_handle.awaitTermination()
 
@@ -523,6 +533,25 @@ def late_spans(spark, sf_dir):
     return flat_tags(_table(spark, job, "edges", schemas.EDGE))
 
 
+@query
+def late_spans_stream(spark, sf_dir):
+    """All order lines come a micro-batch after the orders and still match, with keyed state."""
+    is_line = (F.col("arrival_seq") % 16 > 0).cast("long")
+    job = keyed.KeyedSpanJob(scratch_path(spark, "job"), interval_ms=10 * times.DAY_MS, tag_keys=tb.TAG_KEYS, sub_keys=1)  # traces of nine spans at most
+    feed = _fed(spark, tb.raw_spans(spark, sf_dir).withColumn("batch", is_line), 2)
+    _ran(job.start(feed, scratch_path(spark, "checkpoint"), availableNow=True))
+    return flat_tags(_table(spark, job, "edges", schemas.EDGE))
+
+
+@query
+def state_eviction_stream(spark, sf_dir):
+    """Edges of the keyed span job over seven micro-batches; spans that ended 2.5 s before stream time are forgotten."""
+    job = keyed.KeyedSpanJob(scratch_path(spark, "job"), interval_ms=2_500, tag_keys=tb.TAG_KEYS, sub_keys=1)
+    feed = _fed(spark, tb.delayed_spans(spark, sf_dir), tb.FEED_BATCHES)
+    _ran(job.start(feed, scratch_path(spark, "checkpoint"), availableNow=True))
+    return flat_tags(_table(spark, job, "edges", schemas.EDGE))
+
+
 @query
 def state_eviction(spark, sf_dir):
     """What is remembered of all spans at a cutoff; some parents never came."""

@@ -113,6 +113,58 @@ edges AS (
 )
 """
 
+
+
+def replayed_edges(batches: int, interval_ms: int) -> str:
+    """Edges of a stream of delayed spans, batch by batch: what is present, what matches, what is remembered after it."""
+    steps = [SPANS + """,
+fed AS MATERIALIZED (
+  SELECT * REPLACE (arrival_seq + batch * 1099511627776 AS arrival_seq, start_us - (k % 86400 - k % 8) * 1000000 AS start_us) FROM (
+    SELECT *, CAST(trace_id AS BIGINT) AS k, k % 8 // 2 + CASE arrival_seq % 16
+      WHEN 0 THEN CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END WHEN 8 THEN k % 2 ELSE arrival_seq % 16 % 4 END AS batch
+    FROM spans
+  )
+),
+ranked AS (SELECT *, start_us // 1000 AS time_ms, start_us // 1000 + duration_us // 1000 AS end_ms FROM fed)"""]
+    for b in range(batches):
+        before = f"SELECT * FROM kept{b - 1} UNION ALL" if b else ""
+        steps.append(f""",
+present{b} AS MATERIALIZED (
+  SELECT *, CASE WHEN held THEN row_number() OVER (PARTITION BY trace_id, span_id, held ORDER BY arrival_seq) END AS rk FROM (
+    {before} SELECT *, TRUE AS held, parent_span_id <> '' AS waiting FROM ranked WHERE batch = {b}
+  )
+),
+matched{b} AS (
+  SELECT c.span_id AS c_key, c.arrival_seq AS c_seq, s.span_id AS s_key, s.arrival_seq AS s_seq, TRUE AS shared, greatest(c.batch, s.batch) AS known
+  FROM present{b} c JOIN present{b} s ON c.trace_id = s.trace_id AND c.span_id = s.span_id
+  WHERE c.span_type = 'CLIENT' AND s.span_type = 'SERVER' AND c.rk <= 2 AND s.rk <= 2
+  UNION ALL
+  SELECT p.span_id, p.arrival_seq, k.span_id, k.arrival_seq, FALSE, greatest(p.batch, k.batch)
+  FROM present{b} k JOIN present{b} p ON k.trace_id = p.trace_id AND k.parent_span_id = p.span_id
+  WHERE k.waiting AND p.rk = 1 AND (k.arrival_seq < p.arrival_seq OR k.rk = 1)
+    AND p.span_type IN ('CLIENT', 'OTHER') AND k.span_type IN ('SERVER', 'OTHER')
+  UNION ALL
+  SELECT k.span_id, k.arrival_seq, p.span_id, p.arrival_seq, FALSE, greatest(p.batch, k.batch)
+  FROM present{b} k JOIN present{b} p ON k.trace_id = p.trace_id AND k.parent_span_id = p.span_id
+  WHERE k.waiting AND p.rk = 1 AND (k.arrival_seq < p.arrival_seq OR k.rk = 1)
+    AND p.span_type = 'SERVER' AND k.span_type = 'CLIENT'
+),
+kept{b} AS MATERIALIZED (
+  SELECT * EXCLUDE (id_end, parent_end, cutoff, rk) REPLACE (held AND id_end > cutoff AS held, waiting AND parent_end > cutoff AS waiting) FROM (
+    SELECT *, max(end_ms) OVER (PARTITION BY trace_id, span_id, held) AS id_end, max(end_ms) OVER (PARTITION BY trace_id, parent_span_id, waiting) AS parent_end,
+      (SELECT max(time_ms) - {interval_ms} FROM ranked WHERE batch <= {b}) AS cutoff
+    FROM (
+      SELECT * REPLACE (waiting AND (trace_id, parent_span_id) NOT IN (SELECT (trace_id, span_id) FROM present{b} WHERE held) AS waiting) FROM present{b}
+    )
+  ) WHERE (held AND id_end > cutoff) OR (waiting AND parent_end > cutoff)
+)""")
+    every = " UNION ALL ".join(f"SELECT c_key, c_seq, s_key, s_seq, shared FROM matched{b} WHERE known = {b}" for b in range(batches))
+    steps.append(f""",
+matched AS ({every}),
+pairs AS (""" + _PAIRS.split("pairs AS (", 1)[1])
+    return "".join(steps) + EDGES[len(PAIRS):]
+
+
 WINDOWED = EDGES + """,
 windowed AS (
   SELECT window_start, window_start + 300000 AS window_end, source, destination, operation,
@@ -393,6 +445,8 @@ ORACLES: dict[str, str] = {
     "span_source": f"WITH {SPANS} SELECT service_name, count(*) AS spans FROM spans GROUP BY service_name",
     "span_pairs_stream": f"WITH {EDGES} {_EDGE_ROWS}",
     "span_pairs_stream_batches": f"WITH {EDGES} {_EDGE_ROWS}",
+    "late_spans_stream": f"WITH {EDGES} {_EDGE_ROWS}",
+    "state_eviction_stream": f"WITH {replayed_edges(7, 2_500)} {_EDGE_ROWS}",
     "late_spans": f"WITH {EDGES} {_EDGE_ROWS}",
     "state_eviction": f"""WITH {SPANS},
         ended AS (

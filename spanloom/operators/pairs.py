@@ -146,7 +146,7 @@ def match_ranked(
         # One condition over both sides: a filter on either alone would sink below the shared shuffle.
         ends = F.col("left_service_name"), F.col("right_service_name")
         matched = matched.filter((ends[0] != ends[1]) & (F.least(*ends) != ""))
-    return _assign_roles(matched, scope, arrival, extra)
+    return assign_roles(matched, scope, arrival, extra)
 
 
 def _arrived_before(arrival: Sequence[str]) -> Column:
@@ -159,7 +159,8 @@ def _arrived_before(arrival: Sequence[str]) -> Column:
     return before
 
 
-def _assign_roles(matched: DataFrame, scope: Sequence[str], arrival: Sequence[str], extra: Sequence[str]) -> DataFrame:
+def assign_roles(matched: DataFrame, scope: Sequence[str], arrival: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """Lookups (``left_*``, who looked up; ``right_*``, who was found; ``same_id``, ``left_first``) to pairs of a client and a server."""
     left, right = (lambda c: F.col(f"left_{c}")), (lambda c: F.col(f"right_{c}"))
     same_id = F.col("same_id")
     left_came_first = _arrived_before(arrival)

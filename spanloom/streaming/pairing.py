@@ -110,7 +110,7 @@ class SpanJob:
         carried = tables.read_batch_before(spark, self.table("carried"), batch_id, CARRIED)
         known = tables.read_batch_before(spark, self.table("registry"), batch_id, schemas.REGISTRY)
         present = admit(light_spans(spans, self.tag_keys), carried, batch_id, self.scope).persist()
-        accepted = self._accepted(present, known, batch_id).persist()
+        accepted = self._accepted(batch_pairs(present, batch_id, self.scope), known).persist()
         try:
             tables.write_batch(edge_ops.graph_edges(accepted), self.table("edges"), batch_id)
             tables.write_batch(edge_ops.latency_points(accepted), self.table("latency"), batch_id)
@@ -125,9 +125,9 @@ class SpanJob:
         for name in ("carried", "registry"):
             tables.drop_batches_before(spark, self.table(name), batch_id - 1)
 
-    def _accepted(self, present: DataFrame, known: DataFrame, batch_id: int) -> DataFrame:
+    def _accepted(self, pairs: DataFrame, known: DataFrame) -> DataFrame:
         """Refuse by what earlier batches registered, then by this batch in arrival order."""
-        earlier = pair_ops.merge_style_filter(batch_pairs(present, batch_id, self.scope), "final", known)
+        earlier = pair_ops.merge_style_filter(pairs, "final", known)
         return pair_ops.merge_style_filter(earlier, "as_of")
 
     def _registry(self, known: DataFrame, accepted: DataFrame) -> DataFrame:

@@ -182,3 +182,21 @@ def delivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map().cast("map<string,string>").alias("tags"),
         F.col("l_partkey").alias("arrival_seq"),
     )
+
+
+FEED_BATCHES = 7
+
+
+def delayed_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw spans within eight seconds, two seconds to a micro-batch (column ``batch``), many of them late.
+
+    Lines come up to three batches after their time, some orders one batch, so a parent may come before or after its child and be held or forgotten by then.
+    """
+    key, place = F.col("trace_id").cast("long"), F.col("arrival_seq") % 16
+    delay = F.when(place == 0, F.when(key % 3 == 0, 1).otherwise(0)).when(place == 8, key % 2).otherwise(place % 4)
+    batch = (F.floor(key % 8 / 2) + delay).cast("long")
+    return raw_spans(spark, sf_dir).select(
+        "*", batch.alias("batch")
+    ).withColumn("start_us", F.col("start_us") - (key % 86400 - key % 8) * 1_000_000).withColumn(
+        "arrival_seq", F.col("arrival_seq") + F.col("batch") * (1 << 40)
+    )
