@@ -17,7 +17,7 @@ from spanloom.operators import pairs as pair_ops
 from spanloom.operators import snapshots as snap_ops
 from spanloom.operators import spans as span_ops
 from spanloom.operators import stats
-from spanloom.plans import graph, jobs
+from spanloom.plans import graph, jobs, rollups
 from spanloom.session import configure, scratch_path
 from spanloom.sources import graph_json, tables
 from spanloom.sources import snapshots as snap_io
@@ -316,6 +316,44 @@ def graph_views(spark, sf_dir):
     """)
 
 
+RANGE = (tb.BASE_MS + 1_234_567, tb.BASE_MS + 61_234_567)
+
+
+@query
+def service_graph_rollup(spark, sf_dir):
+    """The graph of an odd range from roll-ups; every fifth window came late and had its ancestors repaired."""
+    table, written = scratch_path(spark, "rollups"), scratch_path(spark, "all-windowed")
+    _windowed(spark, sf_dir).write.parquet(written)
+    windowed = spark.read.schema(schemas.WINDOWED_EDGE).parquet(written)
+    starts = [r.window_start for r in windowed.select("window_start").distinct().collect()]  # windows of a day
+    late = {s for s in starts if s // tb.WINDOW_MS % 5 == 2}
+    before = windowed.where(F.floor(F.col("window_start") / tb.WINDOW_MS) % 5 != 2)
+    rollups.update_rollups(before, table, tb.WINDOW_MS, set(starts) - late, levels=8)
+    rollups.update_rollups(windowed, table, tb.WINDOW_MS, late, levels=8)
+    return flat_tags(rollups.rollup_service_graph(spark, table, tb.WINDOW_MS, RANGE[1] + 100_000, *RANGE, levels=8))
+
+
+def _functions(spark: SparkSession, sf_dir: str) -> None:
+    table = scratch_path(spark, "windowed")
+    windows.write_windowed_edges(_windowed(spark, sf_dir), table)
+    graph.register_graph_functions(windows.read_windowed_edges(spark, table), tb.WINDOW_MS, tb.NOW_MS)
+
+
+@query
+def graph_function_services(spark, sf_dir):
+    """The service graph of a range and of the last 24 hours, asked for in SQL."""
+    _functions(spark, sf_dir)
+    found = spark.sql(f"SELECT 'range' AS asked, * FROM servicegraph({RANGE[0]}, {RANGE[1]}) UNION ALL SELECT 'day', * FROM servicegraph()")
+    return flat_tags(found)
+
+
+@query
+def graph_function_operations(spark, sf_dir):
+    """The operation graph since an instant, asked for in SQL."""
+    _functions(spark, sf_dir)
+    return flat_tags(spark.sql(f"SELECT * FROM operationgraph(from_ms => {RANGE[0]})"))
+
+
 @query
 def edge_count_metric(spark, sf_dir):
     """The number of edges each graph query returns, as observed while it runs."""

@@ -387,6 +387,19 @@ ORACLES: dict[str, str] = {
             'merged', 'source, destination', BASE_MS + 1_200_000, BASE_MS + 9_000_000, BASE_MS + 9_100_000)}
         SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM merged
     """,
+    "service_graph_rollup": f"""WITH {WINDOWED}, {_merged(
+            'merged', 'source, destination', BASE_MS + 1_200_000, BASE_MS + 61_234_567, BASE_MS + 61_334_567)}
+        SELECT {_GRAPH_COLUMNS}, {_both_tags()} FROM merged
+    """,
+    "graph_function_services": f"""WITH {GRAPH}, {_merged(
+            'merged', 'source, destination', BASE_MS + 1_200_000, BASE_MS + 61_234_567, NOW_MS)}
+        SELECT 'day' AS asked, {_GRAPH_COLUMNS}, {_both_tags()} FROM graph UNION ALL SELECT 'range', {_GRAPH_COLUMNS}, {_both_tags()} FROM merged
+    """,
+    "graph_function_operations": f"""WITH {WINDOWED}
+        SELECT source, destination, operation, count, last_seen, error_count, {_both_tags()},
+               window_start AS effective_from, least(window_end, {NOW_MS}) AS effective_to
+        FROM windowed WHERE window_start BETWEEN {BASE_MS + 1_200_000} AND {NOW_MS}
+    """,
     "graph_views": f"""WITH {WINDOWED}
         SELECT source, destination, CAST(sum(count) AS BIGINT) AS calls, count(DISTINCT operation) AS operations,
                count(DISTINCT window_start) AS windows

@@ -133,36 +133,45 @@ def tag_values(value: Column) -> Column:
     return F.when(value.rlike("^,+$"), F.array().cast("array<string>")).otherwise(trimmed)
 
 
-def _merge_tags(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Steps 1 and 2 of a merge: one row per (keys, side, tag) with the union of its values."""
-    collapsed = (
-        edges.withColumn("_source", _tag_entries(F.col("source_tags")))
-        .withColumn("_destination", _tag_entries(F.col("destination_tags")))
-        .groupBy(*keys, "_source", "_destination")
-        .agg(
-            F.sum("count").alias("count"),
-            F.max("last_seen").alias("last_seen"),
-            F.sum("error_count").alias("error_count"),
-            F.min("effective_from").alias("effective_from"),
-            F.max("effective_to").alias("effective_to"),
-        )
-    )
-    unfolded = _unfold(collapsed, {"source": F.col("_source"), "destination": F.col("_destination")})
-    parts = unfolded.withColumn("value", F.explode_outer(tag_values(F.col("value"))))
-    totals = [
+def _totals() -> list[Column]:
+    return [
         F.sum("count").alias("count"),
         F.max("last_seen").alias("last_seen"),
         F.sum("error_count").alias("error_count"),
         F.min("effective_from").alias("effective_from"),
         F.max("effective_to").alias("effective_to"),
     ]
-    distinct = parts.groupBy(*keys, "side", "key", "value").agg(*totals)
+
+
+def merge_parts(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Step 1 of a merge: a row per (keys, side, tag, tag value); the rows of side ``''`` hold the statistics. Parts of any two sets of edges add up (``add_parts``)."""
+    collapsed = (
+        edges.withColumn("_source", _tag_entries(F.col("source_tags")))
+        .withColumn("_destination", _tag_entries(F.col("destination_tags")))
+        .groupBy(*keys, "_source", "_destination")
+        .agg(*_totals())
+    )
+    unfolded = _unfold(collapsed, {"source": F.col("_source"), "destination": F.col("_destination")})
+    return add_parts(unfolded.withColumn("value", F.explode_outer(tag_values(F.col("value")))), keys)
+
+
+def add_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return parts.groupBy(*keys, "side", "key", "value").agg(*_totals())
+
+
+def _union_tags(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Step 2 of a merge: one row per (keys, side, tag) with the union of its values."""
     union = F.array_join(F.sort_array(F.collect_list("value")), ",").alias("value")
-    return distinct.groupBy(*keys, "side", "key").agg(*totals, union)
+    return parts.groupBy(*keys, "side", "key").agg(*_totals(), union)
+
+
+def join_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merged edges from their parts."""
+    return fold_tags(_union_tags(parts, keys), keys, ["count", "last_seen", "error_count", "effective_from", "effective_to"])
 
 
 def _merge(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return fold_tags(_merge_tags(edges, keys), keys, ["count", "last_seen", "error_count", "effective_from", "effective_to"])
+    return join_parts(merge_parts(edges, keys), keys)
 
 
 def service_graph_merge(edges: DataFrame) -> DataFrame:
@@ -177,7 +186,7 @@ def operation_graph_merge(edges: DataFrame) -> DataFrame:
 
 def tag_union(edges: DataFrame) -> DataFrame:
     """The union of tag values per (source, destination), one row per side and key, values sorted."""
-    tags = _merge_tags(edges, ["source", "destination"])
+    tags = _union_tags(merge_parts(edges, ["source", "destination"]), ["source", "destination"])
     return tags.filter(F.col("side") != "").select("source", "destination", "side", "key", "value")
 
 
