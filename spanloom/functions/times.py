@@ -38,6 +38,10 @@ def date_of(ms: int) -> str:
     return (_EPOCH + timedelta(milliseconds=ms)).strftime("%Y-%m-%d")
 
 
+def midnight_of(date: str) -> int:
+    return int((datetime.strptime(date, "%Y-%m-%d").replace(tzinfo=timezone.utc) - _EPOCH) / timedelta(milliseconds=1))
+
+
 def snapshot_name(instant_ms: Column) -> Column:
     """ISO-8601 instant with three fraction digits; sorts as text in time order."""
     rest = F.pmod(instant_ms, F.lit(DAY_MS))

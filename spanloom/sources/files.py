@@ -49,3 +49,25 @@ def rename(spark: SparkSession, path: str, to: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(to)
     fs.mkdirs(target.getParent())
     return fs.rename(hadoop_path, target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file."""
+    fs, hadoop_path = _at(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file, None if it is not there."""
+    fs, hadoop_path = _at(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

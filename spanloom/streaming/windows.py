@@ -10,9 +10,10 @@ the retention are dropped; a reader finds the same values before, while and afte
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.functions import spans as fs
@@ -26,6 +27,8 @@ WINDOW_SEC = 300
 RETENTION = "7 days"
 RETENTION_DAYS = 366
 VERSIONS_PER_DAY = 16
+AHEAD_MS = times.DAY_MS
+_MARK = "_last_version"
 
 DAY, VERSION = "window_date", "version"
 STATISTICS = ("count", "last_seen", "error_count")
@@ -36,16 +39,27 @@ STORED = T.StructType([
 ])
 
 
+def _ahead(now_ms: Column) -> Column:
+    return F.coalesce(F.col("source_timestamp") > now_ms + AHEAD_MS, F.lit(False))
+
+
+def edges_ahead(edges: DataFrame, now_ms: Column | None = None) -> DataFrame:
+    """Edges that claim to lie more than ``AHEAD_MS`` ahead of the clock, for a table of their own."""
+    return edges.where(_ahead(F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms))
+
+
 def windowed_edges(
     edges: DataFrame, tag_keys: Sequence[str] = (), window_sec: int = WINDOW_SEC, retention: str = RETENTION,
     now_ms: Column | None = None,
 ) -> DataFrame:
     """Running statistics and latest tags per tumbling window and edge, in long form, for output mode ``update``.
 
-    All tags but the error tag are kept, or those of ``tag_keys`` if given.
+    All tags but the error tag are kept, or those of ``tag_keys`` if given. Edges ahead of the clock are left out (``edges_ahead`` has them): a single one
+    would move the watermark past all others.
     """
     timestamp = F.col("source_timestamp")
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
+    edges = edges.where(~_ahead(now))
     failed = F.coalesce(F.try_element_at("source_tags", F.lit(fs.ERROR_TAG)) == "true", F.lit(False))
     running = (
         edges.withColumn("event_time", F.timestamp_millis(timestamp))
@@ -121,6 +135,7 @@ def write_windowed_edges(windowed: DataFrame, table: str) -> None:
     held = _latest_rows(spark, table).where(F.col(DAY).isin(touched)) if touched else _latest_rows(spark, table).limit(0)
     others = held.join(new.select("window_start").distinct(), "window_start", "left_anti").select(*STORED.fieldNames())
     _write(_stored(new.unionByName(others), version), table)
+    files.write_text(spark, f"{table}/{_MARK}", str(version))
     for day in touched:
         _drop_versions_before(spark, table, day, version)
     files.remove(spark, path)
@@ -132,8 +147,10 @@ def _drop_versions_before(spark: SparkSession, table: str, day: str, version: in
             files.drop_partition(spark, f"{table}/{DAY}={day}", VERSION, str(old))
 
 
-def compact(spark: SparkSession, table: str, at_most: int = VERSIONS_PER_DAY, below: int | None = None) -> list[str]:
-    """Merge versions of each day that has more than ``at_most``; returns those days.
+def compact(
+    spark: SparkSession, table: str, at_most: int = VERSIONS_PER_DAY, below: int | None = None, of_days: Sequence[str] | None = None,
+) -> list[str]:
+    """Merge versions of each day, or of those of ``of_days``, that has more than ``at_most``; returns the merged days.
 
     Only versions before ``below`` are merged, into the newest of them: the version of a batch that may be repeated holds what that batch
     wrote and nothing else. If not given, the table's newest version counts as such a batch's. A day keeps two versions then.
@@ -143,7 +160,7 @@ def compact(spark: SparkSession, table: str, at_most: int = VERSIONS_PER_DAY, be
     """
     below = _last_version(spark, table) if below is None else below
     merged = []
-    for day in days(spark, table):
+    for day in days(spark, table) if of_days is None else of_days:
         versions = _versions(spark, table, day)
         before = [v for v in versions if v < below]
         if len(versions) > at_most and len(before) > 1:
@@ -164,11 +181,19 @@ def drop_days_before(spark: SparkSession, table: str, day: str) -> list[str]:
 
 
 def _last_version(spark: SparkSession, table: str) -> int:
-    return max((v for day in days(spark, table) for v in _versions(spark, table, day)), default=-1)
+    """The greatest version that was written: noted in one small file, or else told by the folders. A batch that failed half-way may have left folders of one more."""
+    noted = files.read_text(spark, f"{table}/{_MARK}")
+    return int(noted) if noted is not None else max((v for day in days(spark, table) for v in _versions(spark, table, day)), default=-1)
+
+
+def _clock_ms() -> int:
+    return int(time.time() * 1000)
 
 
-def batch_writer(table: str, versions_per_day: int = VERSIONS_PER_DAY, retention_days: int = RETENTION_DAYS) -> Callable[[DataFrame, int], None]:
-    """What a stream does with each batch: write, and now and then merge and forget.
+def batch_writer(
+    table: str, versions_per_day: int = VERSIONS_PER_DAY, retention_days: int = RETENTION_DAYS, clock_ms: Callable[[], int] = _clock_ms,
+) -> Callable[[DataFrame, int], None]:
+    """What a stream does with each batch: write, merge the days it touched now and then, and forget days ``retention_days`` before the newest of them.
 
     A repeated batch is executed again and replaces its own version, which holds no other rows as only versions before it are merged. A batch older than what the table has can only come from a stream
     that began anew on an old table; it fails rather than lose rows.
@@ -178,13 +203,15 @@ def batch_writer(table: str, versions_per_day: int = VERSIONS_PER_DAY, retention
         last = _last_version(spark, table)
         if batch_id < last:
             raise ValueError(f"batch {batch_id} after batch {last} of {table}: a new checkpoint needs a new table")
-        _write(_stored(rows, batch_id), table)
-        compact(spark, table, versions_per_day, batch_id)
-        held = days(spark, table)
-        if held:
-            newest = held[-1]
-            first = spark.range(1).select(F.date_sub(F.lit(newest).cast("date"), retention_days).cast("string")).first()[0]
-            drop_days_before(spark, table, first)
+        seen = Observation()
+        _write(_stored(rows, batch_id).observe(seen, F.collect_set(DAY).alias("days")), table)
+        files.write_text(spark, f"{table}/{_MARK}", str(batch_id))
+        touched = sorted(seen.get.get("days") or [])
+        compact(spark, table, versions_per_day, batch_id, touched)
+        if touched:
+            # No day of the future, whatever brought it here, makes days of the past too old.
+            newest = min(touched[-1], times.date_of(clock_ms()))
+            drop_days_before(spark, table, times.date_of(times.midnight_of(newest) - retention_days * times.DAY_MS))
 
     return write
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from support import raw_span
 from spanloom import schemas
+from spanloom.functions import times
 from spanloom.operators import edges as edge_ops
 from spanloom.operators import pairs
 from spanloom.operators.spans import dedupe_spans_stream, light_spans
@@ -258,3 +259,38 @@ def test_stream_dedupe(spark, light, tmp_path):
     out = dedupe_spans_stream(stream, "10 minutes").writeStream.format("parquet").option("path", str(tmp_path / "out"))
     out.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def dated_row(day, value=1):
+    at = times.midnight_of(day)
+    return (at, at + 300_000, "a", "b", "op", value, at, 0, {}, {})
+
+
+def test_a_day_of_the_future_does_not_make_real_days_too_old(spark, tmp_path):
+    table = str(tmp_path / "windowed")
+    write = windows.batch_writer(table, retention_days=30, clock_ms=lambda: times.midnight_of("2024-03-20"))
+
+    def rows(*given):
+        wide = spark.createDataFrame([dated_row(*g) if isinstance(g, tuple) else dated_row(g) for g in given], schemas.WINDOWED_EDGE)
+        return wide.select("*", F.lit("").alias("side"), F.lit("").alias("key"), F.lit("").alias("value"))
+
+    write(rows("2024-02-01", "2024-03-18", "2024-03-19"), 0)
+    assert windows.days(spark, table) == ["2024-03-18", "2024-03-19"]  # the first is beyond the retention at once
+    write(rows("2100-01-19"), 1)
+    write(rows().limit(0), 2)
+    write(rows(("2024-03-19", 5)), 3)
+    assert windows.days(spark, table) == ["2024-03-18", "2024-03-19", "2100-01-19"]
+    assert {r["count"] for r in windows.read_windowed_edges(spark, table).where("window_date = '2024-03-19'").collect()} == {5}
+    with pytest.raises(ValueError):
+        write(rows("2024-03-19"), 2)
+
+
+def test_edges_ahead_of_the_clock_do_not_move_the_watermark(spark, tmp_path):
+    ahead = edge("a", 4_102_444_800_000, 9)
+    now = 1_700_000_000_000
+    run_windows(spark, tmp_path, [edge("a", now, 1), ahead], 0, "1 hour")
+    run_windows(spark, tmp_path, [edge("a", now + 1, 2)], 1, "1 hour")
+    found = windows.read_windowed_edges(spark, str(tmp_path / "windowed")).collect()
+    assert [(r["count"], r.last_seen) for r in found] == [(2, now + 1)]
+    both = spark.createDataFrame([edge("a", now, 1), ahead], schemas.EDGE)
+    assert [r.emit_seq for r in windows.edges_ahead(both).collect()] == [9]
