@@ -13,6 +13,7 @@ import testbed as tb
 from spanloom.functions import spans as fs
 from spanloom.functions import times
 from spanloom.operators import edges as edge_ops
+from spanloom.operators import generations
 from spanloom.operators import pairs as pair_ops
 from spanloom.operators import snapshots as snap_ops
 from spanloom.operators import spans as span_ops
@@ -205,6 +206,14 @@ def pair_window(spark, sf_dir):
     return pair_ops.within_interval(pairs, INTERVAL_MS).select(*_PAIR)
 
 
+@query
+def pair_window_generations(spark, sf_dir):
+    """Pairs where ids come again after the interval, or before it is over."""
+    return generations.window_pairs(tb.reused_spans(spark, sf_dir), 2_500, width_ms=10_000).select(
+        *_PAIR, "client_time_ms", "server_time_ms", F.col("shared").cast("int").alias("shared")
+    )
+
+
 # --- edges and statistics -------------------------------------------------------------------------------------------
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -352,6 +352,54 @@ ORACLES: dict[str, str] = {
         SELECT {_PAIR} FROM complete
         WHERE abs(client_time_ms + client_duration_us // 1000 - server_time_ms - server_duration_us // 1000) <= 150
     """,
+    "pair_window_generations": f"""WITH {SPANS},
+        keyed AS (
+          SELECT *, CAST(trace_id AS BIGINT) AS k, CASE WHEN k % 2 = 1 THEN k % 1000 ELSE k % 400 END AS short,
+                 start_us // 1000 - k % 86400 * 995 AS at_ms
+          FROM spans
+        ),
+        renamed AS (
+          SELECT 'T' || short AS trace_id, regexp_replace(span_id, '^([OL])[0-9]+', '\\1' || short) AS span_id,
+                 regexp_replace(parent_span_id, '^([OL])[0-9]+', '\\1' || short) AS parent_span_id, service_name, span_type, arrival_seq,
+                 at_ms, at_ms + duration_us // 1000 AS end_ms
+          FROM keyed
+        ),
+        cut AS (
+          SELECT *, coalesce(max(end_ms) OVER (PARTITION BY trace_id, span_id ORDER BY at_ms, arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                             <= at_ms - 2500, TRUE) AS begins
+          FROM renamed
+        ),
+        dealt AS (
+          SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY trace_id, span_id ORDER BY at_ms, arrival_seq ROWS UNBOUNDED PRECEDING) AS g FROM cut
+        ),
+        once AS (
+          SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY trace_id, span_id, parent_span_id, service_name, g ORDER BY arrival_seq) AS copy FROM dealt
+          ) WHERE copy = 1
+        ),
+        held AS (
+          SELECT *, row_number() OVER (PARTITION BY trace_id, span_id, g ORDER BY arrival_seq) AS rk,
+                 min(at_ms) OVER (PARTITION BY trace_id, span_id, g) AS from_ms, max(end_ms) OVER (PARTITION BY trace_id, span_id, g) + 2500 AS until_ms
+          FROM once
+        ),
+        looked AS (
+          SELECT c.trace_id, c.span_id AS c_id, c.service_name AS c_service, c.at_ms AS c_at, s.span_id AS s_id, s.service_name AS s_service, s.at_ms AS s_at,
+                 1 AS shared, greatest(c.arrival_seq, s.arrival_seq) AS emit_seq
+          FROM held c JOIN held s ON c.trace_id = s.trace_id AND c.span_id = s.span_id AND c.g = s.g
+          WHERE c.span_type = 'CLIENT' AND s.span_type = 'SERVER' AND c.rk <= 2 AND s.rk <= 2
+          UNION ALL
+          SELECT p.trace_id, p.span_id, p.service_name, p.at_ms, k.span_id, k.service_name, k.at_ms, 0, greatest(p.arrival_seq, k.arrival_seq)
+          FROM held k JOIN held p ON k.trace_id = p.trace_id AND k.parent_span_id = p.span_id AND p.rk = 1
+          WHERE (k.rk = 1 OR k.arrival_seq < p.arrival_seq) AND p.span_type IN ('CLIENT', 'OTHER') AND k.span_type IN ('SERVER', 'OTHER')
+            AND ((p.from_ms <= k.at_ms AND k.at_ms < p.until_ms) OR (
+              k.at_ms < p.from_ms AND p.from_ms < k.end_ms + 2500
+              AND NOT EXISTS (SELECT 1 FROM held q WHERE q.trace_id = p.trace_id AND q.span_id = p.span_id AND q.g < p.g AND q.until_ms > k.at_ms)
+            ))
+        )
+        SELECT trace_id, c_id AS client_span_id, c_service AS client_service, s_id AS server_span_id, s_service AS server_service, emit_seq,
+               c_at AS client_time_ms, s_at AS server_time_ms, CAST(shared AS INTEGER) AS shared
+        FROM looked WHERE c_service <> s_service
+    """,
     "graph_edges": f"WITH {EDGES} {_EDGE_ROWS}",
     "latency_points": f"WITH {PAIRS} {_POINTS}",
     "edge_constraints": """
