@@ -13,14 +13,14 @@ import testbed as tb
 from spanloom.functions import spans as fs
 from spanloom.functions import times
 from spanloom.operators import edges as edge_ops
-from spanloom.operators import generations
+from spanloom.operators import generations, intervals
 from spanloom.operators import pairs as pair_ops
 from spanloom.operators import snapshots as snap_ops
 from spanloom.operators import spans as span_ops
 from spanloom.operators import stats
 from spanloom.plans import graph, jobs, rollups
 from spanloom.session import configure, scratch_path
-from spanloom.sources import graph_json, tables
+from spanloom.sources import chains, graph_json, tables
 from spanloom.sources import snapshots as snap_io
 from spanloom.sources import spans as span_io
 from spanloom import schemas
@@ -467,6 +467,44 @@ def snapshot_history(spark, sf_dir):
     return snap_ops.snapshot_history(before, after)
 
 
+CHAIN_HOURS = tuple(range(2, 25, 2))
+
+
+def _chain(spark: SparkSession, sf_dir: str) -> chains.SnapshotChain:
+    """24 snapshots: the graph of the last three hours every other hour, stored again half an hour later. At the end of the day nothing is left of it."""
+    written = scratch_path(spark, "all-windowed")
+    _windowed(spark, sf_dir).write.parquet(written)
+    windowed = spark.read.schema(schemas.WINDOWED_EDGE).parquet(written)
+    chain = chains.SnapshotChain(spark, scratch_path(spark, "chain"), base_every=5)
+    for hour in CHAIN_HOURS:
+        now = tb.BASE_MS + hour * HOUR_MS
+        found = graph.service_graph(windowed, tb.WINDOW_MS, now, now - 3 * HOUR_MS, now)
+        for instant in (now, now + HOUR_MS // 2):
+            chain.write(found, instant)
+    return chain
+
+
+@query
+def snapshot_chain_read(spark, sf_dir):
+    """The graph as of an instant between two of 24 chained snapshots."""
+    return _chain(spark, sf_dir).read(tb.BASE_MS + 5 * HOUR_MS)
+
+
+@query
+def snapshot_chain_changes(spark, sf_dir):
+    """Rows that each snapshot of the chain stored."""
+    chain = _chain(spark, sf_dir)
+    stored = chain.changes().groupBy("snapshot_ts").agg(F.count(F.lit(1)).alias("stored"), F.count_if("gone").alias("gone"))
+    return chain.name_table().join(stored, "snapshot_ts", "left").na.fill(0)
+
+
+@query
+def snapshot_intervals(spark, sf_dir):
+    """Validity intervals of every edge over 24 snapshots."""
+    chain = _chain(spark, sf_dir)
+    return intervals.validity_intervals(chain.history(), chain.name_table())
+
+
 @query
 def snapshot_csv_write(spark, sf_dir):
     """The node table of a CSV snapshot, read as a plain file."""

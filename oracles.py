@@ -283,6 +283,30 @@ _WINDOW_ROWS = f"""
   SELECT window_start, window_end, source, destination, operation, count, last_seen, error_count, {_both_tags()} FROM windowed
 """
 
+_V = "count, last_seen, error_count, effective_from, effective_to"
+
+# 24 snapshots: those of even hours over three hours, each stored again half an hour later.
+CHAIN = WINDOWED + f""",
+taken AS (
+  SELECT 2 * h AS hour, 2 * n + 1 + r AS n, printf('2024-01-%02dT%02d:%02d:00.000Z', 1 + 2 * h // 24, 2 * h % 24, 30 * r) AS snapshot_ts
+  FROM (SELECT h, h - 1 AS n FROM range(1, 13) AS t(h)), range(0, 2) AS u(r)
+),
+chain AS (
+  SELECT n, snapshot_ts, source, destination, CAST(sum(count) AS BIGINT) AS count, max(last_seen) AS last_seen, CAST(sum(error_count) AS BIGINT) AS error_count,
+         min(window_start) AS effective_from, max(least(window_end, {BASE_MS} + hour * {HOUR})) AS effective_to,
+         NULLIF({_union('source_provider')}, '') AS source_provider, NULLIF({_union('source_tier')}, '') AS source_tier,
+         NULLIF({_union('destination_provider')}, '') AS destination_provider, NULLIF({_union('destination_tier')}, '') AS destination_tier
+  FROM taken JOIN windowed ON window_start BETWEEN {BASE_MS} + (hour - 3) * {HOUR} AND {BASE_MS} + hour * {HOUR}
+  GROUP BY n, snapshot_ts, source, destination
+),
+compared AS (
+  SELECT coalesce(o.n + 1, w.n) AS n, w.source IS NULL AS gone,
+         o.source IS NULL OR w.source IS NULL OR ({', '.join('o.' + c for c in _V.split(', '))}) IS DISTINCT FROM ({', '.join('w.' + c for c in _V.split(', '))}) AS differs
+  FROM (SELECT * FROM chain WHERE n < 24) o FULL JOIN chain w
+    ON w.n = o.n + 1 AND {' AND '.join(f'o.{c} IS NOT DISTINCT FROM w.{c}' for c in _VERTICES.split(', '))}
+)
+"""
+
 ORACLES: dict[str, str] = {
     "accumulable_filter": """
         SELECT * FROM (
@@ -493,6 +517,22 @@ ORACLES: dict[str, str] = {
                coalesce(n.error_count, 0) - coalesce(o.error_count, 0) AS error_count_delta
         FROM h1 o FULL JOIN h4 n ON {' AND '.join(f'o.{c} IS NOT DISTINCT FROM n.{c}' for c in _VERTICES.split(', '))}
     """,
+    "snapshot_chain_read": f"WITH {CHAIN} SELECT {_VERTICES}, {_V} FROM chain WHERE n = 4",
+    "snapshot_chain_changes": f"""WITH {CHAIN}
+        SELECT snapshot_ts, CASE WHEN n % 5 = 1 THEN (SELECT count(*) FROM chain c WHERE c.n = t.n) ELSE (SELECT count(*) FROM compared c WHERE c.n = t.n AND differs) END AS stored,
+               CASE WHEN n % 5 = 1 THEN 0 ELSE (SELECT count(*) FROM compared c WHERE c.n = t.n AND gone) END AS gone
+        FROM taken t
+    """,
+    "snapshot_intervals": f"""WITH {CHAIN},
+        runs AS (
+          SELECT *, n - row_number() OVER (PARTITION BY {_VERTICES}, {_V} ORDER BY n) AS run FROM chain
+        ),
+        merged_runs AS (
+          SELECT {_VERTICES}, {_V}, run, min(n) AS first, max(n) AS last, count(*) AS snapshots FROM runs GROUP BY ALL
+        )
+        SELECT {_VERTICES}, {_V}, f.snapshot_ts AS valid_from, t.snapshot_ts AS valid_to, snapshots
+        FROM merged_runs JOIN taken f ON f.n = first LEFT JOIN taken t ON t.n = last + 1
+    """,
     "snapshot_csv_write": f"WITH {NODES} SELECT id, name, NULLIF(provider, '') AS provider, NULLIF(tier, '') AS tier FROM nodes",
     "snapshot_csv_read": f"WITH {NODES} {_FACT}",
     "graph_json_write": f"""WITH {GRAPH}

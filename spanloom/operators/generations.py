@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanloom.functions import spans as fs
 from spanloom.operators import pairs as pair_ops
+from spanloom.operators.carry import carried
 from spanloom.operators.spans import TRACE_SCOPE, dedupe_spans
 
 WIDTH_MS = 60_000
@@ -27,13 +28,6 @@ def _end() -> Column:
     return F.coalesce(fs.end_time_ms(F.col("time_ms"), F.col("duration_us")), F.col("time_ms"))
 
 
-def _carried(rows: DataFrame, key: Sequence[str], value: Column, name: str) -> DataFrame:
-    """``rows`` with what the buckets before theirs sum up or reach: ``value`` is the aggregate of one bucket, a maximum of it is carried on."""
-    before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = rows.groupBy(*key, "_bucket").agg(value.alias("_value"))
-    return rows.join(per_bucket.select(*key, "_bucket", F.max("_value").over(before).alias(name)), [*key, "_bucket"])
-
-
 def with_generations(spans: DataFrame, interval_ms: int, scope: Sequence[str] = TRACE_SCOPE, width_ms: int = WIDTH_MS) -> DataFrame:
     """Light spans with ``generation``, the first start of the generation of their id."""
     key = [*scope, "span_id"]
@@ -42,10 +36,10 @@ def with_generations(spans: DataFrame, interval_ms: int, scope: Sequence[str] =
     inside = Window.partitionBy(*key, "_bucket").orderBy("time_ms", "arrival_seq")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     reached = F.greatest(F.max("_end").over(before), F.col("_carried_end"))  # of all that started earlier
-    rows = _carried(rows, key, F.max("_end"), "_carried_end").withColumn(
+    rows = carried(rows, key, F.max("_end"), "_carried_end").withColumn(
         "_begins", F.when(F.coalesce(reached <= F.col("time_ms") - interval_ms, F.lit(True)), F.col("time_ms"))
     )
-    rows = _carried(rows, key, F.max("_begins"), "_carried_begin")
+    rows = carried(rows, key, F.max("_begins"), "_carried_begin")
     begun = F.max("_begins").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn(_GENERATION, F.coalesce(begun, F.col("_carried_begin"))).select(*spans.columns, _GENERATION)
 
