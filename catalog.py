@@ -20,7 +20,7 @@ from spanloom.operators import spans as span_ops
 from spanloom.operators import stats
 from spanloom.plans import graph, jobs, rollups
 from spanloom.session import configure, scratch_path
-from spanloom.sources import chains, graph_json, tables
+from spanloom.sources import chains, graph_json, protobuf, tables
 from spanloom.sources import snapshots as snap_io
 from spanloom.sources import spans as span_io
 from spanloom import schemas
@@ -110,6 +110,20 @@ def light_span(spark, sf_dir):
     return flat_tags(tb.spans(spark, sf_dir))
 
 
+@query
+def span_source_protobuf(spark, sf_dir):
+    """Light spans of protobuf messages, some of which come damaged first."""
+    decoded = protobuf.decode_messages(tb.span_messages(spark, sf_dir), arrival=F.col("offset"))
+    return flat_tags(span_ops.light_spans(protobuf.spans_of(decoded), tb.TAG_KEYS))
+
+
+@query
+def span_source_damaged(spark, sf_dir):
+    """Messages that gave no span."""
+    decoded = protobuf.decode_messages(tb.span_messages(spark, sf_dir), arrival=F.col("offset"))
+    return protobuf.damaged_of(decoded).groupBy("wrong").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query
 def collect_tags(spark, sf_dir):
     raw = tb.raw_spans(spark, sf_dir)

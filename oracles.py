@@ -332,6 +332,12 @@ ORACLES: dict[str, str] = {
                span_type, {_tags('tag_provider', 'tag_tier', 'tag_error')} AS tags, arrival_seq
         FROM spans
     """,
+    "span_source_protobuf": f"""WITH {SPANS}
+        SELECT trace_id, span_id, parent_span_id, start_us // 1000 AS time_ms, service_name, operation_name, duration_us,
+               span_type, {_tags('tag_provider', 'tag_tier', 'tag_error')} AS tags, arrival_seq
+        FROM spans
+    """,
+    "span_source_damaged": f"WITH {SPANS} SELECT 'damaged' AS wrong, count(*) AS messages FROM spans WHERE arrival_seq % 50 = 0",
     "collect_tags": f"""WITH {SPANS}
         SELECT trace_id, span_id, service_name,
                concat_ws(';', 'error=' || tag_error,

@@ -7,11 +7,13 @@ events and partly by the ``span.kind`` tag.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from spanloom.operators.spans import light_spans
 from spanloom.schemas import SPAN
+from spanloom.sources import protobuf as pb
 
 BASE_US = 1_704_067_200_000_000  # 2024-01-01 UTC
 BASE_MS = BASE_US // 1000
@@ -216,3 +218,44 @@ def delayed_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("start_us", F.col("start_us") - (key % 86400 - key % 8) * 1_000_000).withColumn(
         "arrival_seq", F.col("arrival_seq") + F.col("batch") * (1 << 40)
     )
+
+
+def _varint(n: int) -> bytes:
+    n &= (1 << 64) - 1
+    out = bytearray()
+    while n > 0x7F:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    return bytes([*out, n])
+
+
+def _field(number: int, value: str | bytes | int) -> bytes:
+    if isinstance(value, int):
+        return _varint(number << 3) + _varint(value)
+    raw = value.encode() if isinstance(value, str) else value
+    return _varint(number << 3 | 2) + _varint(len(raw)) + raw
+
+
+def span_message(span: dict) -> bytes:
+    """A raw span as a protobuf message, with a field that readers do not know."""
+    tag = lambda t: _field(pb.TAG_FIELDS["key"], t["key"]) + _field(pb.TAG_FIELDS["v_str"], t["v_str"])
+    message = b"".join(_field(number, span[name]) for name, number in pb.SPAN_FIELDS.items() if name not in ("logs", "tags") and span[name])
+    for log in span["logs"]:
+        fields = b"".join(_field(pb.LOG_FIELDS["fields"], tag(t)) for t in log["fields"])
+        message += _field(pb.SPAN_FIELDS["logs"], _field(pb.LOG_FIELDS["timestamp"], log["timestamp"]) + fields)
+    return message + _field(99, 7) + b"".join(_field(pb.SPAN_FIELDS["tags"], tag(t)) for t in span["tags"])
+
+
+def span_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw spans as messages with their offset; every 50th is cut short in a copy that comes first."""
+    def run(batches):
+        for batch in batches:
+            found = []
+            for span in batch.to_pylist():
+                whole = span_message(span)
+                if span["arrival_seq"] % 50 == 0:
+                    found.append({"offset": span["arrival_seq"], "value": whole[:-1]})
+                found.append({"offset": span["arrival_seq"], "value": whole})
+            yield pa.RecordBatch.from_pylist(found, pa.schema([("offset", pa.int64()), ("value", pa.binary())]))
+
+    return raw_spans(spark, sf_dir).mapInArrow(run, "offset long, value binary")
