@@ -38,36 +38,86 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _CONTENT_TAGS = frozenset("article main".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What their names tell is the layout around or the subject of the text in them.
-_NEVER_FRAME = _CONTENT_TAGS | _HEADINGS | frozenset("html body p".split())
+_NEVER_FRAME = _CONTENT_TAGS | _HEADINGS | frozenset("html body".split())
 _FRAME_TAGS = frozenset("nav footer aside form menu dialog fieldset button address head".split())
-_FRAME_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav\w*|menu\w*|foot\w*|header|masthead|side\w*|ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?\w*|consent|notice\w*|alert|gdpr|popup|modal|overlay"
-    r"|comments?\w*|disqus|respon[ds]e?s?|repl(?:y|ies)|share\w*|social\w*|related|recommend\w*|subscri\w*|newsletter|signup|login|search|breadcrumbs?|pagination|pager|widgets?|toolbar|skip|complementary|contentinfo|navigation)(?:$|[\s_-])",
-    re.I,
+_NOTICES = r"ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|notices?|gdpr|newsletter|subscri\w*"
+_COMMENTS = r"comments?|disqus|respond|repl(?:y|ies)"
+_FRAMES = (
+    _NOTICES + "|" + _COMMENTS + r"|nav\w*|menu\w*|foot\w*|header|masthead|side\w*|banner\w*|alert|popup|modal|overlay|responses?|share\w*|social\w*|related|recommend\w*|signup|login"
+    r"|search|breadcrumbs?|pagination|pager|widgets?|toolbar|skip|complementary|contentinfo"
+)
+_FRAME_WORD, _NOTICE_WORD, _LASTING_WORD = (re.compile(words, re.I) for words in (_FRAMES, _NOTICES, f"{_NOTICES}|{_COMMENTS}"))
+_ALWAYS_FRAME = frozenset("nav footer menu head".split())
+#: Words that names of frames are made of besides. A name that ends in another word may tell what its text is about ("related-work", "search-algorithms").
+_PLAIN_WORDS = frozenset(
+    "area articles bar bottom box block body btn button buttons col column container content desktop fixed form global icon icons inner item items left link links list main media message mobile"
+    " news outer page panel placeholder policy post posts primary right row secondary section site slot sticky stories text thread title top unit wrap wrapper zone".split()
 )
 #: A flag of the layout, as has-sidebar, tells that something is or isn't elsewhere.
 _FLAGS = re.compile(r"(?<![^\s_-])(?:has|no|with|without)[_-]\S*", re.I)
 _CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|content|main|body|text)(?:$|[\s_-])", re.I)
 
 # Weights of the block classifier (log odds of content).
-_BIAS, _IN_ARTICLE, _IN_FRAME, _IN_HEADER, _NAMED_CONTENT = -1.6, 5.0, -9.0, -6.0, 1.5
+_BIAS, _IN_ARTICLE, _IN_FRAME, _IN_HEADER, _MAYBE_FRAME, _NAMED_CONTENT = -1.6, 5.0, -9.0, -6.0, -1.0, 1.5
+#: A frame that holds more than this share of a page's prose (blocks of ``_PROSE_WORDS`` words and more, half of them unlinked) and all that is marked as an article is none;
+#: notices, adverts and comments stay what they are.
+_MOST, _PROSE_WORDS = 0.5, 12
 _PROSE_TAG, _LINKED, _PER_DOUBLING, _WORDS_UP_TO = 0.8, -4.0, 0.5, 64
 # Capacity between blocks next to each other, and between blocks next to each other below one parent; lessened by their distance.
 _NEXT, _SIBLING = 0.8, 0.6
 
 
+def _frame_cost(tag: str, names: str) -> tuple[float, bool]:
+    """What an element's own tag and names say against its text, and whether that holds whatever the text is: in comments, adverts, notices, menus."""
+    cost, surely = (_IN_FRAME if tag in _FRAME_TAGS else 0.0), tag in _ALWAYS_FRAME
+    for name in _FLAGS.sub("", names).split() if tag not in _NEVER_FRAME else ():
+        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+        told = [w for w in words if _FRAME_WORD.fullmatch(w)]
+        if told and (tag != "p" or any(_NOTICE_WORD.fullmatch(w) for w in told)):
+            sure = words[-1] in told or all(w in told or w.lower() in _PLAIN_WORDS for w in words)
+            cost = min(cost, _IN_FRAME if sure else _MAYBE_FRAME)
+            surely |= sure and any(_LASTING_WORD.fullmatch(w) for w in told)
+    return cost, surely
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "article", "frame", "named")
+    __slots__ = ("tag", "parent", "depth", "article", "own", "surely", "named", "frame", "prose", "marked")
 
     def __init__(self, tag: str, names: str, parent: _Element | None) -> None:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.article = bool(parent and parent.article) or tag in _CONTENT_TAGS
-        own = _IN_FRAME if tag in _FRAME_TAGS or names and tag not in _NEVER_FRAME and _FRAME_NAMES.search(_FLAGS.sub("", names)) else 0.0
+        self.own, self.surely = _frame_cost(tag, names)
         if tag == "header" and not self.article:
-            own = _IN_HEADER
-        self.frame = min(own, parent.frame if parent else 0.0)
+            self.own = _IN_HEADER
+        self.surely |= bool(parent and parent.surely)
         self.named = bool(parent and parent.named) or bool(names and _CONTENT_NAMES.search(names))
+        self.frame, self.prose, self.marked = None, 0, 0
+
+    def settle(self, prose: int, marked: int) -> None:
+        """Fix the cost of the element and all around it, given the characters of prose and the blocks of articles on the page. Parents come first."""
+        most = self.prose > _MOST * prose and self.marked == marked and not self.surely
+        self.frame = min(0.0 if most else self.own, self.parent.frame if self.parent else 0.0)
+
+
+def _settle_frames(found: list[tuple[str, _Element, float]]) -> None:
+    """Weigh what each element holds, then the costs of frames from the page down."""
+    prose = marked = 0
+    for text, element, linked in found:
+        size = len(text) * (linked < 0.5 and text.count(" ") + 1 >= _PROSE_WORDS)
+        prose, marked = prose + size, marked + element.article
+        above = element
+        while above:
+            above.prose += size
+            above.marked += element.article
+            above = above.parent
+    for _, element, _ in found:
+        chain = []
+        while element and element.frame is None:
+            chain.append(element)
+            element = element.parent
+        for element in reversed(chain):
+            element.settle(prose, marked)
 
 
 class _Block:
@@ -130,12 +180,15 @@ def blocks(page: str) -> list[tuple[str, _Element, float]]:
             if tag not in _VOID:
                 named = _NAMES.findall(found[4]) if found[4] else ()
                 # The id of a heading is a slug of its words.
-                names = " ".join(x.strip("\"'") for kind, x in named if tag not in _HEADINGS or kind.lower() != "id")
+                names = " ".join(
+                    "-".join(x.strip("\"'").split()) if kind.lower() == "aria-label" else x.strip("\"'") for kind, x in named if tag not in _HEADINGS or kind.lower() != "id"
+                )
                 here = _Element(tag, names, here)
         block.element = here
     if at < len(page):
         add(page[at:])
     end_block()
+    _settle_frames(done)
     return done
 
 

@@ -181,6 +181,40 @@ def test_frames_stay_frames(names):
     assert html.main_text(FRAMED % f"<article><p>{PROSE}</p></article><div class='{names}'><p>A text of some length that is not part of it.</p></div>") == PROSE
 
 
+TWO = f"<h1>Title of it</h1><p>{PROSE}</p><p>{PROSE}</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<form id="aspnetForm">{TWO}</form>', f'<div id="header-and-content">{TWO}</div>', f'<div class="search-algorithms">{TWO}</div>', f'<header><div>{TWO}</div></header>',
+    f'<article>{TWO}</article><form><p>Write to us, if you like, about anything that you have read here today.</p></form>',
+    f'<div class="overlay">{TWO}</div>',
+])
+def test_wrappers_around_the_text_are_no_frames(page):
+    assert html.main_text(f"<nav><a href='/'>Home</a></nav>{page}<footer>Imprint</footer>") == f"Title of it\n{PROSE}\n{PROSE}"
+
+
+@pytest.mark.parametrize("inner", [
+    f'<div class="related-work"><h2>Related work</h2><p>{PROSE}</p></div>', f'<section id="side-effects"><h2>Side effects</h2><p>{PROSE}</p></section>',
+    f'<div class="social_studies"><h2>Search trees</h2><p>Short.</p></div>',
+])
+def test_sections_named_by_their_subject_stay(inner):
+    expected = " ".join(re.sub("<[^>]*>", "\n", inner).split(" "))
+    assert html.main_text(f"<article><p>{PROSE}</p>{inner}</article>").split("\n") == [PROSE, *[x for x in expected.split("\n") if x]]
+
+
+@pytest.mark.parametrize("inner", [
+    '<p class="ad">Buy our great product now today</p>', '<p class="cookie-notice">We use cookies to make this site work well for all of you.</p>', '<div class="share-buttons">Share this text with friends</div>',
+    '<div class="newsletter-signup">Get news by mail each week</div>', '<p class="sponsored">Paid for by a brand that you know</p>',
+])
+def test_notices_and_adverts_in_articles_go(inner):
+    assert html.main_text(f"<article><p>{PROSE}</p>{inner}<p>{PROSE}</p></article>") == f"{PROSE}\n{PROSE}"
+
+
+def test_an_advert_longer_than_the_article_goes():
+    advert = f'<div class="ad">{PROSE}</div><div class="comments"><p>{PROSE}</p></div>'
+    assert html.main_text(f"{advert}<article><h1>Short one</h1><p>It says little.</p></article>") == "Short one\nIt says little."
+
+
 @pytest.mark.parametrize("mark", ['<svg class="i"/>', "<SVG/>", "<svg />", '<math alt=">"/>', '<svg class="i"><title>t</title><path d="M0"/></svg>'])
 def test_text_after_an_icon(mark):
     page = f"<article><p>one {mark} two</p><p>three</p></article>"
