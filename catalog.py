@@ -632,6 +632,26 @@ def late_spans(spark, sf_dir):
     return flat_tags(_table(spark, job, "edges", schemas.EDGE))
 
 
+@query
+def dedupe_spans_stream(spark, sf_dir):
+    """Lines delivered again within the horizon of ten days, and once more after orders of a month later have moved the watermark past it."""
+    light = tb.spans(spark, sf_dir)
+    is_line, key = F.col("arrival_seq") % 16 > 0, F.col("trace_id").cast("long")
+    later = lambda rows, days, batch: rows.withColumn("time_ms", F.col("time_ms") + days * times.DAY_MS).withColumn("batch", F.lit(batch))
+    lines = light.where(is_line)
+    feed = later(lines, 0, 0).unionByName(later(lines.where(key % 2 == 0), 0, 1)).unionByName(later(light.where(~is_line), 30, 2))
+    feed = feed.unionByName(later(lines.where(key % 3 == 0), 40, 3))
+    path, written, out = (scratch_path(spark, n) for n in ("light", "all-light", "distinct"))
+    feed.write.parquet(written)
+    stored = spark.read.schema(feed.schema).parquet(written)
+    for i in range(4):
+        stored.where(F.col("batch") == i).drop("batch").repartition(4).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schemas.LIGHT_SPAN).option("maxFilesPerTrigger", 4).parquet(path)
+    distinct = span_ops.dedupe_spans_stream(stream, "10 days").drop("tags")
+    _ran(distinct.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start())
+    return spark.read.schema(distinct.schema).parquet(out)
+
+
 @query
 def late_spans_stream(spark, sf_dir):
     """All order lines come a micro-batch after the orders and still match, with keyed state."""

@@ -552,6 +552,14 @@ ORACLES: dict[str, str] = {
     "span_source": f"WITH {SPANS} SELECT service_name, count(*) AS spans FROM spans GROUP BY service_name",
     "span_pairs_stream": f"WITH {EDGES} {_EDGE_ROWS}",
     "span_pairs_stream_batches": f"WITH {EDGES} {_EDGE_ROWS}",
+    "dedupe_spans_stream": f"""WITH {SPANS},
+        light AS (
+          SELECT trace_id, span_id, parent_span_id, start_us // 1000 AS time_ms, service_name, operation_name, duration_us, span_type, arrival_seq FROM spans
+        )
+        SELECT * FROM light WHERE arrival_seq % 16 > 0
+        UNION ALL SELECT * REPLACE (time_ms + 2592000000 AS time_ms) FROM light WHERE arrival_seq % 16 = 0
+        UNION ALL SELECT * REPLACE (time_ms + 3456000000 AS time_ms) FROM light WHERE arrival_seq % 16 > 0 AND CAST(trace_id AS BIGINT) % 3 = 0
+    """,
     "late_spans_stream": f"WITH {EDGES} {_EDGE_ROWS}",
     "state_eviction_stream": f"WITH {replayed_edges(7, 2_500)} {_EDGE_ROWS}",
     "late_spans": f"WITH {EDGES} {_EDGE_ROWS}",
