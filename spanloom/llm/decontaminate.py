@@ -155,28 +155,27 @@ def report(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, set
     )
 
 
+def _leaks_of(documents: DataFrame, benchmark: DataFrame, window: int, set_limit: int) -> DataFrame:
+    """``leaks`` with all columns of a document in ``_given``, so that none can clash with a name used on the way."""
+    return leaks(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_given"), "text"), benchmark, window, set_limit)
+
+
 def remove_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_limit: int = SET_LIMIT) -> DataFrame:
-    """The documents without any hit, with their own columns."""
-    kept = leaks(documents, benchmark, window, set_limit) if not {"words", "spans", "hashes"} & set(documents.columns) else None
-    if kept is None:
-        raise ValueError("documents must not have columns named words, hashes or spans")
-    return kept.where(F.size("spans") == 0).select(*documents.columns)
+    """The documents without any hit, with their own columns, whatever they are called."""
+    return _leaks_of(documents, benchmark, window, set_limit).where(F.size("spans") == 0).select("_given.*")
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_limit: int = SET_LIMIT) -> DataFrame:
-    """The documents with every hit run of words cut from ``text``, with the marks between its words.
+    """The documents with every hit run of words cut from ``text``, with the marks between its words; other columns stay, whatever they are called.
 
     The words around a cut keep what follows the run. Documents without hits keep their text; null stays null.
     """
-    clash = {"words", "spans", "hashes", "_row"} & set(documents.columns)
-    if clash:
-        raise ValueError(f"documents must not have columns named {sorted(clash)}")
-    found = leaks(documents, benchmark, window, set_limit)
+    found = _leaks_of(documents, benchmark, window, set_limit)
     # Marks and words alternate: mark 0, word 0, mark 1, ..., so that any word's own spelling can be left out.
     marks = F.regexp_extract_all("text", F.lit(r"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)"), F.lit(0))
     pieces = F.filter(marks, lambda m: m != "")
-    runs = _merged(F.col("spans"))
     kept = F.filter(F.transform(pieces, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda x: ~F.exists(F.col("_runs"), lambda r: (x["i"] >= r["first"]) & (x["i"] < r["end"])))
     cut = F.array_join(F.transform(kept, lambda x: x["p"]), "")
-    found = found.withColumn("_runs", runs)
-    return found.withColumn("text", F.when(F.size("spans") > 0, cut).otherwise(F.col("text"))).select(*documents.columns)
+    found = found.withColumn("_runs", _merged(F.col("spans")))
+    text = F.when(F.size("spans") > 0, cut).otherwise(F.col("text")).alias("text")
+    return found.select(*[text if c == "text" else F.col("_given").getField(c).alias(c) for c in documents.columns])

@@ -124,3 +124,19 @@ def test_removal_of_spans_and_documents(spark, limit):
     left = decontaminate.remove_documents(docs, items, set_limit=limit)
     assert left.columns == docs.columns
     assert {r.doc_id for r in left.collect()} == {d for d, _ in DOCS if not expected[d][1]}
+
+
+@pytest.mark.parametrize("limit", [50_000, 1])
+def test_columns_of_any_name_stay(spark, limit):
+    names = ["_runs", "_row", "_given", "passed", "shown", "words", "spans", "hashes", "key", "runs", "row", "gram", "size", "a.b"]
+    leak = " ".join(f"leak{n}" for n in range(10))
+    docs = spark.createDataFrame([(1, f"Before, {leak.upper()}! after"), (2, "clean text"), (3, None)], "doc_id long, text string")
+    docs = docs.select("*", *[F.lit(f"mine {n}").alias(n) for n in names])
+    items = spark.createDataFrame([("i", leak), ("j", "two other words that stand nowhere at all in these few documents")], "item_id string, text string")
+    cut = decontaminate.remove_spans(docs, items, set_limit=limit)
+    left = decontaminate.remove_documents(docs, items, set_limit=limit)
+    assert cut.columns == left.columns == docs.columns
+    assert {r.doc_id: (r.text, [r[n] for n in names]) for r in cut.collect()} == {
+        i: (text, [f"mine {n}" for n in names]) for i, text in ((1, "Before! after"), (2, "clean text"), (3, None))
+    }
+    assert sorted((r.doc_id, *[r[n] for n in names]) for r in left.collect()) == [(i, *[f"mine {n}" for n in names]) for i in (2, 3)]
