@@ -28,9 +28,9 @@ from spanloom.llm.suffixes import PERIOD, Block
 
 DEPTH = 100
 GRAM = 20
-BATCH = 1 << 20  # characters at a time
+BATCH = 1 << 19  # characters at a time
 WIDE = 2048
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,16 +154,18 @@ def _judged(
     where = number[row] * 256 + (step - inner[row] + 128)
     order, new = block.equal_runs(begins[row] + step, where)
     start = low[row] + step
-    rank = np.empty(len(row), dtype=np.int64)
-    rank[np.lexsort((start, np.unique(keys, return_inverse=True)[1][row]))] = np.arange(len(row))
-    run = np.cumsum(new) - 1
-    first = np.minimum.reduceat(rank[order], np.flatnonzero(new))
-    is_first = rank[order] == first[run]
-    gone, told = order[~is_first], order[is_first]
-    told = told[wide[row[told]]]
+    several = ~new
+    several[:-1] |= ~new[1:]
+    order, run = order[several], np.cumsum(new)[several]
+    later = np.lexsort((start[order], np.unique(keys, return_inverse=True)[1][row[order]], run))
+    first = np.ones(len(later), dtype=bool)
+    first[1:] = run[later][1:] != run[later][:-1]
+    gone = np.sort(order[later[~first]])
+    stays = wide[row]
+    stays[gone] = False
+    told = np.flatnonzero(stays)
     at = begins[row[told]] + step[told]
     firsts = (row[told], start[told], step[told] - inner[row[told]], ByteHashes(text).of(at, at + DEPTH).view(np.int64) if len(told) else np.zeros(0, np.int64))
-    gone = gone[np.lexsort((step[gone], row[gone]))]
     edge = np.ones(len(gone), dtype=bool)
     edge[1:] = (row[gone][1:] != row[gone][:-1]) | (step[gone][1:] != step[gone][:-1] + 1)
     begin = np.flatnonzero(edge)

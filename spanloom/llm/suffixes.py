@@ -7,6 +7,8 @@ on a tie, by the ranks at that shift. A bucket is sorted with no more than these
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 PERIOD = 32
@@ -33,6 +35,27 @@ _INSIDE[difference_cover(PERIOD)] = True
 _SHIFTS = shifts(PERIOD)
 
 
+def split(group: np.ndarray, word_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Groups told apart by a next word, which is asked for those of several members only.
+
+    Split groups take the places their members hold: a group's number is the count of smaller ones.
+    """
+    count = np.bincount(group)
+    tied = np.flatnonzero(count[group] > 1)
+    if not len(tied):
+        return group
+    word, own = word_of(tied), group[tied]
+    order = np.lexsort((word, own))
+    word, own = word[order], own[order]
+    begins = np.concatenate([[True], own[1:] != own[:-1]])
+    new = np.concatenate([[True], word[1:] != word[:-1]]) | begins
+    place = np.arange(len(own))
+    before = np.cumsum(count) - count
+    found = before[group]
+    found[tied[order]] = before[own] + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(begins, place, 0))
+    return found
+
+
 class Block:
     """Suffixes of one block of text, compared to ``depth`` bytes; bytes beyond the end count as zero."""
 
@@ -48,13 +71,6 @@ class Block:
         self._rank = np.zeros(len(text) + PERIOD, dtype=np.int64)
         self._rank[sample] = self._sample_ranks(sample)
 
-    def _keys(self, at: np.ndarray, size: int) -> list[np.ndarray]:
-        """The first ``size`` bytes of suffixes as words, the first word last."""
-        keys = [self._words[at + k] for k in range(0, size, WORD)]
-        if size % WORD:
-            keys[-1] = keys[-1] >> np.uint64(64 - 8 * (size % WORD))
-        return keys[::-1]
-
     def _sample_ranks(self, sample: np.ndarray) -> np.ndarray:
         """Ranks of the sample by ``depth`` bytes; equal suffixes share one. Longer keys only break the ties of shorter ones."""
         first = self._words[sample]
@@ -62,24 +78,8 @@ class Block:
         group = np.zeros(len(sample), dtype=np.int64)
         group[order] = np.cumsum(np.concatenate([[0], first[order][1:] != first[order][:-1]]))
         for k in range(WORD, self.depth, WORD):
-            count = np.bincount(group)
-            tied = np.flatnonzero(count[group] > 1)
-            if not len(tied):
-                break
-            word = self._words[sample[tied] + k]
-            if self.depth - k < WORD:
-                word = word >> np.uint64(64 - 8 * (self.depth - k))
-            order = np.lexsort((word, group[tied]))
-            new = np.concatenate([[True], (word[order][1:] != word[order][:-1]) | (group[tied][order][1:] != group[tied][order][:-1])])
-            # Split groups take the places their members hold: a group's number is the count of smaller suffixes.
-            before = np.cumsum(count) - count
-            own = group[tied][order]
-            begins = np.concatenate([[True], own[1:] != own[:-1]])
-            base = np.maximum.accumulate(np.where(begins, np.arange(len(own)), 0))
-            place = before[own] + np.maximum.accumulate(np.where(new, np.arange(len(own)), 0)) - base
-            full = before[group]
-            full[tied[order]] = place
-            group = full
+            cut = np.uint64(8 * max(0, WORD - (self.depth - k)))
+            group = split(group, lambda tied: self._words[sample[tied] + k] >> cut)
         return group
 
     def equal_runs(self, at: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,13 +87,28 @@ class Block:
 
         Suffixes of one bucket number must have one remainder modulo the period.
         """
-        rest = at % PERIOD
-        ranks = self._rank[at + _SHIFTS[rest, rest]]
-        order = np.lexsort((ranks, *self._keys(at, PERIOD), bucket))
+        order = np.argsort(bucket, kind="stable")
+        group = np.zeros(len(at), dtype=np.int64)
+        group[order] = np.cumsum(np.concatenate([[0], bucket[order][1:] != bucket[order][:-1]]))[: len(at)]
+        for k in range(0, PERIOD, WORD):
+            group = split(group, lambda tied: self._words[at[tied] + k])
+        # Only suffixes that still tie need ranks; all others have their places by now.
+        alone = np.bincount(group)[group] == 1
+        tied = np.flatnonzero(~alone)
+        rest = at[tied] % PERIOD
+        ranks = self._rank[at[tied] + _SHIFTS[rest, rest]]
+        tied = tied[np.lexsort((ranks, group[tied]))]
+        here, there = tied[1:], tied[:-1]
+        same = group[here] == group[there]
+        for k in range(PERIOD, self.depth, WORD):
+            cut = np.uint64(8 * max(0, WORD - (self.depth - k)))
+            same &= self._words[at[here] + k] >> cut == self._words[at[there] + k] >> cut
+        taken = np.ones(len(at), dtype=bool)
+        order = np.empty(len(at), dtype=np.int64)
+        order[group[alone]] = np.flatnonzero(alone)
+        taken[group[alone]] = False
+        places = np.flatnonzero(taken)
+        order[places] = tied
         new = np.ones(len(at), dtype=bool)
-        here, there = order[1:], order[:-1]
-        same = bucket[here] == bucket[there]
-        for a, b in zip(self._keys(at[here], self.depth), self._keys(at[there], self.depth)):
-            same &= a == b
-        new[1:] = ~same
+        new[places[1:]] = ~same
         return order, new
