@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import re
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -27,6 +27,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 REMEMBERED = 350_000  # entries to a turn
 PIECE_AT_MOST = 64  # longer pieces are encoded but not remembered
+ID_BITS = 24  # ids are below 2 ** 24, and places in a pre-token below 2 ** 32
 
 
 class PerfectHash:
@@ -113,20 +114,16 @@ class Vocabulary:
         return self.ids[slot] if self.keys[slot] == token else None
 
 
-class Ranks(dict):
-    """Ranks of byte strings met so far, looked up in the vocabulary when missing."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__()
-        self._id_of = vocabulary.id_of
-
-    def __missing__(self, token: bytes) -> int | None:
-        found = self._id_of(token)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(token) <= PIECE_AT_MOST:
-            self[token] = found
-        return found
+def merges(vocabulary: Vocabulary) -> dict[int, int]:
+    """What two ids in a row (the left one shifted by ``ID_BITS``) merge to, for all pairs that do: a bounded table, some entries per token."""
+    ids = dict(zip(vocabulary.keys, vocabulary.ids))
+    found = {}
+    for token, both in ids.items():
+        for cut in range(1, len(token)):
+            left, right = ids.get(token[:cut]), ids.get(token[cut:])
+            if left is not None and right is not None:
+                found[left << ID_BITS | right] = both
+    return found
 
 
 class Recent:
@@ -155,43 +152,46 @@ class Encoder:
         # The short cut for plain words needs a pattern that takes a blank with the letters after it.
         self._plain_words = self._pattern.findall(" ab.") == [" ab", "."]
         self._pieces, self._tokens = Recent(), Recent()
-        self._ranks = Ranks(vocabulary)
-        self._bytes = [bytes([i]) for i in range(256)]
+        self._merged = merges(vocabulary).get
+        self._byte_ids = [vocabulary.id_of(bytes([i])) for i in range(256)]
         # Between a character and a blank or line feed after it every token ends, so texts are cut there first.
         self._piece = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
         self._other_space = re.compile("[^\\S \n]|[\x00\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]")
 
     def merge(self, token: bytes) -> list[int]:
-        """Ids of a pre-token that is not in the vocabulary: lowest rank first, leftmost of equals."""
-        ranks, n = self._ranks, len(token)
-        part = [self._bytes[b] for b in token]
+        """Ids of a pre-token that is not in the vocabulary: lowest rank first, leftmost of equals. Ids are ranks, so a merged pair's rank is its id."""
+        merged, n = self._merged, len(token)
+        ids = [self._byte_ids[b] for b in token]
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            found = ranks[token[i : i + 2]]
-            if found is not None:
-                heap.append((found, i, 2))
-        heapq.heapify(heap)
+        # The rank each place merges at with the one after it; what the heap says beyond that is out of date.
+        ranks = [merged(left << ID_BITS | right, -1) for left, right in zip(ids, ids[1:])]
+        ranks.append(-1)
+        heap = [rank << 32 | i for i, rank in enumerate(ranks) if rank >= 0]
+        heapify(heap)
+        pop, push = heappop, heappush
         while heap:
-            _, i, size = heapq.heappop(heap)
+            top = pop(heap)
+            i, both = top & 0xFFFFFFFF, top >> 32
+            if ranks[i] != both:
+                continue
             j = after[i]
-            if j >= n or not part[i] or len(part[i]) + len(part[j]) != size:
-                continue  # one of the two has changed since
-            both = part[i] = part[i] + part[j]
-            part[j] = b""
+            ids[i] = both
+            ids[j] = ranks[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                found = ranks[both + part[k]]
-                if found is not None:
-                    heapq.heappush(heap, (found, i, size + len(part[k])))
+                found = ranks[i] = merged(both << ID_BITS | ids[k], -1)
+                if found >= 0:
+                    push(heap, found << 32 | i)
+            else:
+                ranks[i] = -1
             h = before[i]
             if h >= 0:
-                found = ranks[part[h] + both]
-                if found is not None:
-                    heapq.heappush(heap, (found, h, len(part[h]) + size))
-        return [ranks[p] for p in part if p]
+                found = ranks[h] = merged(ids[h] << ID_BITS | both, -1)
+                if found >= 0:
+                    push(heap, found << 32 | h)
+        return [i for i in ids if i >= 0]
 
     def _cut(self, piece: str) -> list[str]:
         """The piece's pre-tokens; plain words with a blank before and a stop or comma behind need no pattern."""
