@@ -25,8 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType
 
+from spanloom.llm.shared import text_batches
+
 REMEMBERED = 350_000  # entries to a turn
 PIECE_AT_MOST = 64  # longer pieces are encoded but not remembered
+BATCH = 1 << 20  # characters whose ids are held at a time
 ID_BITS = 24  # ids are below 2 ** 24, and places in a pre-token below 2 ** 32
 
 
@@ -172,8 +175,9 @@ class Encoder:
         pop, push = heappop, heappush
         while heap:
             top = pop(heap)
-            i, both = top & 0xFFFFFFFF, top >> 32
-            if ranks[i] != both:
+            i = top & 0xFFFFFFFF
+            both = ranks[i]  # the table's own number, so that what is remembered holds no copies of it
+            if both != top >> 32:
                 continue
             j = after[i]
             ids[i] = both
@@ -204,8 +208,8 @@ class Encoder:
         return self._pattern.findall(piece)
 
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
-        known, found = self._tokens.turn(), []
-        for match in self._cut(piece):
+        known, found, matches = self._tokens.turn(), [], self._cut(piece)
+        for match in matches:
             ids = known.get(match)
             if ids is None:
                 ids = self._tokens.kept(match)
@@ -216,7 +220,7 @@ class Encoder:
                 if len(match) <= PIECE_AT_MOST:
                     known[match] = ids
             found += ids
-        return tuple(found)
+        return ids if len(matches) == 1 else tuple(found)
 
     def encode(self, text: str) -> list[int]:
         if self._other_space.search(text):
@@ -266,8 +270,11 @@ def encode_documents(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [encoder().encode(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            at = 0
+            for part in text_batches(batch.column("text").to_pylist(), BATCH):
+                ids = pa.array([encoder().encode(t or "") for t in part], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), ids], ["doc_id", "ids"])
+                at += len(part)
 
     return documents.select("doc_id", "text").mapInArrow(run, schema)
 
