@@ -2,11 +2,21 @@
 
 import re
 
+import catalog
 from spanloom.operators import pairs
+from spanloom.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
 
 
+def test_a_larger_stream_has_more_micro_batches_and_the_same_edges(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "BATCH_SPANS", 2_000)
+    job = catalog._span_job(spark, SMALL)
+    assert len(tables.batches(spark, job.table("edges"))) == 4  # 7,500 orders and lines
+    stored = catalog.flat_tags(catalog._table(spark, job, "edges", catalog.schemas.EDGE))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, catalog.QUERIES["graph_edges"](spark, SMALL).collect()))
+
+
 def test_pairing_ranks_the_holders_of_an_id_once(spark, light, tmp_path):
     light([("a", "", "s1", "CLIENT"), ("b", "a", "s2", "SERVER"), ("b", "a", "s1", "CLIENT")]).write.parquet(str(tmp_path / "s"))
     frame = pairs.accepted_pairs(spark.read.parquet(str(tmp_path / "s")))
