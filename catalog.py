@@ -380,9 +380,11 @@ def graph_function_operations(spark, sf_dir):
 @query
 def edge_count_metric(spark, sf_dir):
     """The number of edges each graph query returns, as observed while it runs."""
-    counts = []
-    for name, edges in (("servicegraph", _service_graph(spark, sf_dir)), (
-        "operationgraph", graph.operation_graph(_windowed(spark, sf_dir), tb.WINDOW_MS, tb.NOW_MS)
+    counts, written = [], scratch_path(spark, "all-windowed")
+    _windowed(spark, sf_dir).write.parquet(written)
+    windowed = spark.read.schema(schemas.WINDOWED_EDGE).parquet(written)
+    for name, edges in (("servicegraph", graph.service_graph(windowed, tb.WINDOW_MS, tb.NOW_MS)), (
+        "operationgraph", graph.operation_graph(windowed, tb.WINDOW_MS, tb.NOW_MS)
     )):
         observed, metric = graph.with_edge_count(edges, name)
         observed.write.format("noop").mode("overwrite").save()
