@@ -736,6 +736,13 @@ def registry_source(spark, sf_dir):
     return accepted.select(*_PAIR, F.col("shared").cast("int").alias("shared"))
 
 
+def _written_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges, derived once for all their uses."""
+    written = scratch_path(spark, "all-edges")
+    _edges(spark, sf_dir).write.parquet(written)
+    return spark.read.schema(schemas.EDGE).parquet(written)
+
+
 def _stored_edges(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "edges")
     tables.write_batch(_edges(spark, sf_dir), path, 0)
@@ -783,12 +790,10 @@ def latest_state_view(spark, sf_dir):
 def _windows_in_batches(spark: SparkSession, sf_dir: str, **options) -> str:
     """The windowed table of a stream that takes the edges in four batches; all tags are kept."""
     path, table = scratch_path(spark, "edges"), scratch_path(spark, "windowed")
-    written = scratch_path(spark, "all-edges")
-    _edges(spark, sf_dir).write.parquet(written)
-    edges = spark.read.schema(schemas.EDGE).parquet(written)
+    edges, files = _written_edges(spark, sf_dir), 8
     for part in range(4):
-        tables.write_batch(edges.where(F.pmod(F.floor(F.col("emit_seq") / 16), F.lit(4)) == part).coalesce(1), path, part)
-    stream = tables.stream_table(spark, path, schemas.EDGE, max_files=1)
+        tables.write_batch(edges.where(F.pmod(F.floor(F.col("emit_seq") / 16), F.lit(4)) == part).repartition(files), path, part)
+    stream = tables.stream_table(spark, path, schemas.EDGE, max_files=files)
     _ran(windows.start_windowed_edges(stream, table, scratch_path(spark, "checkpoint"), availableNow=True, **options))
     return table
 
@@ -847,7 +852,7 @@ def span_job(spark, sf_dir):
 def edge_job_twice_same_day(spark, sf_dir):
     """The batch edge job on the edges before noon, then on the others: both halves of the day are there."""
     root = scratch_path(spark, "job")
-    edges = _edges(spark, sf_dir)
+    edges = _written_edges(spark, sf_dir)
     noon = tb.BASE_MS + 12 * HOUR_MS
     for half in (F.col("source_timestamp") < noon, F.col("source_timestamp") >= noon):
         edges.where(half).write.mode("overwrite").parquet(f"{root}/edges")
@@ -879,7 +884,7 @@ def dangling_edges(spark, sf_dir):
 def late_edges(spark, sf_dir):
     """Two deliveries of the edges; in the second, what is older than the retention is dropped."""
     edges_path, table, checkpoint = (scratch_path(spark, n) for n in ("edges", "windowed", "checkpoint"))
-    edges = _edges(spark, sf_dir)
+    edges = _written_edges(spark, sf_dir)
     for delivery in (0, 1):
         tables.write_batch(edges, edges_path, delivery)
         stream = tables.stream_table(spark, edges_path, schemas.EDGE)
