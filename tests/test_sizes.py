@@ -1,9 +1,13 @@
 """Work that has to stay small when the tables grow."""
 
+import glob
 import re
 
+import pytest
+
 import catalog
 from spanloom.operators import pairs
+from spanloom.sources import spans as span_io
 from spanloom.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -23,3 +27,35 @@ def test_pairing_ranks_the_holders_of_an_id_once(spark, light, tmp_path):
     frame.collect()
     final = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert len(set(re.findall(r"Exchange hashpartitioning\(trace_id#\d+, span_id#\d+, \d+\)", final))) == 1  # the other uses reuse it
+
+
+@pytest.mark.parametrize("name, step", [("edge_count_metric", "_windowed"), ("edge_job_twice_same_day", "_edges"), ("late_edges", "_edges")])
+def test_a_query_that_uses_its_edges_twice_reads_them_from_files(spark, monkeypatch, name, step):
+    made, original = spark.sparkContext.accumulator(0), getattr(catalog, step)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(catalog, step, lambda *args: (lambda rows: rows.mapInArrow(counted, rows.schema))(original(*args)))
+    found = catalog.QUERIES[name](spark, SMALL).count()
+    assert found > 0 and made.value == original(spark, SMALL).count()
+
+
+@pytest.mark.parametrize("feed", ["spans", "edges"])
+def test_micro_batches_are_dealt_to_several_files(spark, monkeypatch, feed):
+    """No batch, however large, is written and read by one task."""
+    seen = []
+    if feed == "spans":
+        stream = span_io.stream_spans
+        monkeypatch.setattr(span_io, "stream_spans", lambda s, path, **options: (seen.append((path, options["max_files"])), stream(s, path, **options))[1])
+        catalog._arriving(spark, SMALL, 2)
+        batches = 2
+    else:
+        stream = tables.stream_table
+        monkeypatch.setattr(tables, "stream_table", lambda s, path, schema, **options: (seen.append((path, options["max_files"])), stream(s, path, schema, **options))[1])
+        catalog._windows_in_batches(spark, SMALL)
+        batches = 4
+    (path, at_once), = seen
+    assert at_once > 1 and len(glob.glob(f"{path}/**/*.parquet", recursive=True)) == batches * at_once
