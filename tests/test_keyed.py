@@ -103,3 +103,22 @@ def test_log_of_changes_reads_alike_before_while_and_after_compaction(spark, tmp
     assert changelog.bases(spark, path) == [2, 5] and min(tables.batches(spark, path)) == 3
     for batch in range(5, 9):
         assert state(spark, path, batch + 1) == expected[batch]
+
+
+def test_traces_dealt_to_groups_share_a_key_and_pair_alike(spark, tmp_path):
+    """What a batch costs goes by its spans and not by its traces."""
+    batches, found, keys = timed_batches(random.Random(12), 60, 4), {}, {}
+    for name, groups in (("own", None), ("dealt", 5)):
+        job = keyed.KeyedSpanJob(str(tmp_path / name), interval_ms=2_500, sub_keys=1, groups=groups)
+        query = run(spark, job, batches, tmp_path, name)
+        found[name] = edges_of(spark, job), sorted((r.service_name, r.first_shared_seq) for r in job.registry(spark).collect())
+        keys[name] = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+    assert found["own"] == found["dealt"] and found["own"][0] and keys["dealt"] <= 5 < keys["own"]
+
+
+def test_stream_infers_no_constraints_of_its_events(spark, tmp_path, monkeypatch):
+    """Those of texts made of texts fill the driver."""
+    name, seen = "spark.sql.constraintPropagation.enabled", []
+    monkeypatch.setattr(keyed.KeyedSpanJob, "process", lambda self, found, batch_id: seen.append((found.sparkSession.conf.get(name), found.count())))
+    run(spark, keyed.KeyedSpanJob(str(tmp_path / "keyed")), [[raw_span("c", "", "desk", "CLIENT")]], tmp_path, "keyed")
+    assert [conf for conf, _ in seen[:1]] == ["false"] and spark.conf.get(name) == "true"
