@@ -7,7 +7,6 @@ events and partly by the ``span.kind`` tag.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -247,16 +246,53 @@ def span_message(span: dict) -> bytes:
     return message + _field(99, 7) + b"".join(_field(pb.SPAN_FIELDS["tags"], tag(t)) for t in span["tags"])
 
 
+def _hex_varint(n: Column, places: int = 10) -> Column:
+    """``_varint`` as hexadecimal text; ``places`` is the most bytes it can have."""
+    two = lambda byte: F.lpad(F.hex(byte), 2, "0")
+    left = lambda place: F.shiftrightunsigned(n, 7 * place)
+    byte = lambda place: left(place).bitwiseAND(F.lit(127)) + (F.when(left(place + 1) != 0, 128).otherwise(0) if place + 1 < places else 0)
+    long = F.concat(two(byte(0)), *[F.when(left(place) != 0, two(byte(place))).otherwise("") for place in range(1, places)])
+    return F.when((n >= 0) & (n < 128), two(n)).otherwise(long)
+
+
+def _hex_number(number: int, value: Column) -> Column:
+    return F.concat(F.lit(_varint(number << 3).hex()), _hex_varint(value))
+
+
+def _hex_bytes(number: int, size: Column, value: Column) -> Column:
+    return F.concat(F.lit(_varint(number << 3 | 2).hex()), _hex_varint(size.cast("long"), 5), value)
+
+
+def _hex_text(number: int, value: Column) -> Column:
+    return _hex_bytes(number, F.octet_length(value), F.hex(value))
+
+
+def _hex_inner(number: int, messages: Column) -> Column:
+    """The messages of an array as fields, one after the other."""
+    return F.array_join(F.transform(messages, lambda m: _hex_bytes(number, F.length(m) / 2, m)), "")
+
+
+def span_message_of() -> Column:
+    """``span_message`` of a raw span's columns."""
+    tag = lambda t: F.concat(_hex_text(pb.TAG_FIELDS["key"], t["key"]), _hex_text(pb.TAG_FIELDS["v_str"], t["v_str"]))
+    log = lambda e: F.concat(
+        _hex_number(pb.LOG_FIELDS["timestamp"], e["timestamp"]), _hex_inner(pb.LOG_FIELDS["fields"], F.transform(e["fields"], tag))
+    )
+    parts = []
+    for name, number in pb.SPAN_FIELDS.items():
+        if name not in ("logs", "tags"):
+            is_text = SPAN[name].dataType.typeName() == "string"
+            told, given = (F.col(name) != "", _hex_text(number, F.col(name))) if is_text else (F.col(name) != 0, _hex_number(number, F.col(name)))
+            parts.append(F.when(told, given).otherwise(""))
+    parts.append(_hex_inner(pb.SPAN_FIELDS["logs"], F.transform("logs", log)))
+    parts.append(F.lit(_field(99, 7).hex()))
+    parts.append(_hex_inner(pb.SPAN_FIELDS["tags"], F.transform("tags", tag)))
+    return F.unhex(F.concat(*parts))
+
+
 def span_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw spans as messages with their offset; every 50th is cut short in a copy that comes first."""
-    def run(batches):
-        for batch in batches:
-            found = []
-            for span in batch.to_pylist():
-                whole = span_message(span)
-                if span["arrival_seq"] % 50 == 0:
-                    found.append({"offset": span["arrival_seq"], "value": whole[:-1]})
-                found.append({"offset": span["arrival_seq"], "value": whole})
-            yield pa.RecordBatch.from_pylist(found, pa.schema([("offset", pa.int64()), ("value", pa.binary())]))
-
-    return raw_spans(spark, sf_dir).mapInArrow(run, "offset long, value binary")
+    whole = raw_spans(spark, sf_dir).select(F.col("arrival_seq").alias("offset"), span_message_of().alias("whole"))
+    cut = F.expr("substring(whole, 1, octet_length(whole) - 1)")
+    sent = F.when(F.col("offset") % 50 == 0, F.array(cut, F.col("whole"))).otherwise(F.array("whole"))
+    return whole.select("offset", F.explode(sent).alias("value"))

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 import testbed as tb
+from spanloom.schemas import SPAN
 from spanloom.sources import protobuf as pb
 
 EMPTY = {"trace_id": "", "span_id": "", "parent_span_id": "", "service_name": "", "operation_name": "", "start_us": 0, "duration_us": 0, "logs": [], "tags": []}
@@ -95,3 +96,13 @@ def test_column_of_messages(spark):
     assert [r.trace_id for r in pb.spans_of(decoded).orderBy("arrival_seq").collect()] == [s["trace_id"] for s in spans]
     assert sorted(r.wrong for r in pb.damaged_of(decoded).collect()) == ["damaged", "null"]
     assert pb.spans_of(pb.decode_messages(df.limit(0), "wire")).count() == 0
+
+
+def test_spans_become_messages_without_python(spark):
+    """The feed of messages is made by column functions, byte by byte as span by span."""
+    rng = random.Random(8)
+    spans = [{**some_span(rng), "arrival_seq": n} for n in range(40)]
+    spans.append({**spans[0], "service_name": "\u00e9\u4e16" * 90, "start_us": -1, "duration_us": 1 << 62, "logs": [], "tags": [], "arrival_seq": 40})
+    made = spark.createDataFrame(spans, SPAN).select("arrival_seq", tb.span_message_of().alias("m")).collect()
+    assert [bytes(r.m) for r in sorted(made)] == [tb.span_message(s) for s in spans]
+    assert "MapInArrow" not in tb.span_messages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
