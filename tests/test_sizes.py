@@ -59,3 +59,13 @@ def test_micro_batches_are_dealt_to_several_files(spark, monkeypatch, feed):
         batches = 4
     (path, at_once), = seen
     assert at_once > 1 and len(glob.glob(f"{path}/**/*.parquet", recursive=True)) == batches * at_once
+
+
+def test_batches_of_more_spans_have_more_files_and_the_same_rows(spark, monkeypatch):
+    """Deduplication on a stream reads a batch by as many tasks as it has spans for, and has five batches still."""
+    told = lambda rows: sorted(map(tuple, rows.collect()))
+    plain, paths, original = told(catalog.QUERIES["dedupe_spans_stream"](spark, SMALL)), {}, catalog.scratch_path
+    monkeypatch.setattr(catalog, "FILE_SPANS", 1_000)
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, label: paths.setdefault(label, original(s, label)))
+    assert told(catalog.QUERIES["dedupe_spans_stream"](spark, SMALL)) == plain != []
+    assert len(glob.glob(f"{paths['light']}/*.parquet")) == 5 * 7  # 7,500 orders and lines
