@@ -19,6 +19,7 @@ from spanloom.functions import spans as fs
 from spanloom.operators import pairs as pair_ops
 from spanloom.operators.carry import carried
 from spanloom.operators.spans import TRACE_SCOPE, dedupe_spans
+from spanloom.session import written_once
 
 WIDTH_MS = 60_000
 _GENERATION = "generation"
@@ -61,10 +62,12 @@ def window_pairs(
     """Complete pairs of light spans, each within a generation of its id.
 
     A span delivered again in its generation counts once. Null ids are empty ones. Times decide what is held, arrival decides who came first.
+
+    Calling this runs ``spans`` once: they and their distinct holders are written to the shared folder, as each is used several times.
     """
-    held = with_generations(spans, interval_ms, scope, width_ms)
+    held = with_generations(written_once(spans, "spans"), interval_ms, scope, width_ms)
     own_scope = [*scope, _GENERATION]
-    distinct = dedupe_spans(held, own_scope, arrival)
+    distinct = written_once(dedupe_spans(held, own_scope, arrival), "held")
     ranked = pair_ops.rank_holders(distinct, pair_ops.leading_holders(distinct, own_scope, arrival), own_scope)
     names = list(dict.fromkeys([*pair_ops.PAIR_SIDE.values(), "span_type", *arrival, "arrival_seq"]))
     is_first = F.col("holder_rank") == 1

@@ -6,7 +6,10 @@ import re
 import pytest
 
 import catalog
-from spanloom.operators import pairs
+import testbed
+from spanloom import schemas
+from spanloom.operators import generations, pairs
+from spanloom.operators.spans import light_spans
 from spanloom.sources import spans as span_io
 from spanloom.sources import tables
 
@@ -69,3 +72,16 @@ def test_batches_of_more_spans_have_more_files_and_the_same_rows(spark, monkeypa
     monkeypatch.setattr(catalog, "scratch_path", lambda s, label: paths.setdefault(label, original(s, label)))
     assert told(catalog.QUERIES["dedupe_spans_stream"](spark, SMALL)) == plain != []
     assert len(glob.glob(f"{paths['light']}/*.parquet")) == 5 * 7  # 7,500 orders and lines
+
+
+def test_pairing_by_generations_derives_its_spans_once(spark, light):
+    spans = light([("a", "", "s1", "CLIENT"), ("b", "a", "s2", "SERVER"), ("b", "a", "s1", "CLIENT")])
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    found = generations.window_pairs(spans.mapInArrow(counted, schemas.LIGHT_SPAN), 1_000)
+    assert found.count() > 0 and made.value == 3
