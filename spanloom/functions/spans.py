@@ -24,7 +24,8 @@ def integer_div(value: Column, divisor: int) -> Column:
 
 
 def is_not_blank(text: Column) -> Column:
-    return F.coalesce(text.rlike(_NOT_BLANK), F.lit(False))
+    # Most texts begin with a printable ASCII character, which needs no pattern.
+    return F.coalesce(F.ascii(text).between(33, 126) | text.rlike(_NOT_BLANK), F.lit(False))
 
 
 def is_accumulable(span_id: Column, service: Column, operation: Column, start_us: Column) -> Column:
@@ -41,15 +42,11 @@ def _is_event(field: Column) -> Column:
 
 def event_bits(logs: Column) -> Column:
     """The bits of all role events in a span's logs, or-ed together."""
-    def bit(event: Column) -> Column:
-        found = F.lit(0)
-        for name, value in EVENT_BITS.items():
-            found = F.when(event == name, value).otherwise(found)
-        return found
-
-    fields = F.flatten(F.array_compact(logs["fields"]))
-    events = F.transform(F.filter(fields, _is_event), lambda f: F.lower(f["v_str"]))
-    bits = F.aggregate(events, F.lit(0), lambda known, event: known.bitwiseOR(bit(event)))
+    # One walk, one look-up a field: lambdas are interpreted, and walked again for every use of their result.
+    bit_of = F.create_map(*[F.lit(x) for name, value in EVENT_BITS.items() for x in (f"event={name}", value)])
+    named = lambda f: F.lower(F.concat(f["key"], F.lit("="), f["v_str"]))
+    fields = F.coalesce(F.flatten(logs["fields"]), F.flatten(F.array_compact(logs["fields"])))
+    bits = F.aggregate(fields, F.lit(0), lambda known, f: known.bitwiseOR(F.coalesce(F.try_element_at(bit_of, named(f)), F.lit(0))))
     return F.when(F.size(logs) > 0, bits).otherwise(0)
 
 
@@ -89,10 +86,13 @@ def collect_tags(tags: Column, keys: Sequence[str] = ()) -> Column:
 
     The error tag is always collected because edge statistics count it.
     """
-    entries: list[Column] = []
+    # No lambda: it would have all lookups interpreted and the tags turned round for each of them.
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    entries = []
     for key in dict.fromkeys([*keys, ERROR_TAG]):
-        entries += [F.lit(key), _last_value(tags, key)]
-    return F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
+        value = _last_value(tags, key)
+        entries.append(F.when(value.isNotNull(), F.array(F.struct(F.lit(key).alias("key"), value.alias("value")))).otherwise(none))
+    return F.map_from_entries(F.concat(*entries))
 
 
 def end_time_ms(time_ms: Column, duration_us: Column) -> Column:

@@ -121,11 +121,13 @@ def match_ranked(
     if holder_open is not None:
         is_second, is_first = is_second & holder_open, is_first & holder_open
 
+    # Joined arrays and not a compacted one: that would be a lambda, interpreted for every span.
     lookups = []
     if dual:
-        lookups.append(F.when(is_child, F.struct(F.col("parent_span_id").alias("id"), F.lit(False).alias("same_id"))))
+        lookups.append((is_child, F.struct(F.col("parent_span_id").alias("id"), F.lit(False).alias("same_id"))))
     if shared:
-        lookups.append(F.when(is_second, F.struct(F.col("span_id").alias("id"), F.lit(True).alias("same_id"))))
+        lookups.append((is_second, F.struct(F.col("span_id").alias("id"), F.lit(True).alias("same_id"))))
+    none = F.array().cast("array<struct<id:string,same_id:boolean>>")
 
     carried = list(dict.fromkeys([*PAIR_SIDE.values(), "span_type", *arrival, "arrival_seq", *extra]))
     left = (
@@ -133,7 +135,7 @@ def match_ranked(
             *scope,
             *[F.col(c).alias(f"left_{c}") for c in carried],
             is_first.alias("left_first"),
-            F.explode(F.array_compact(F.array(*lookups))).alias("lookup"),
+            F.explode(F.concat(*[F.when(asked, F.array(lookup)).otherwise(none) for asked, lookup in lookups])).alias("lookup"),
         )
         .withColumn("right_span_id", F.col("lookup.id"))
         .withColumn("same_id", F.col("lookup.same_id"))
@@ -233,15 +235,15 @@ def registry_of_holders(leaders: DataFrame, scope: Sequence[str] = TRACE_SCOPE)
 
     A shared pair is the two leaders of one span id, so the registry needs no join.
     """
-    def of(rank: int, name: str) -> Column:
-        return F.max(F.when(F.col("rank") == rank, F.col(name)))
-
-    two = leaders.groupBy(*scope, "span_id").agg(
-        of(1, "span_type").alias("type_1"), of(2, "span_type").alias("type_2"),
-        of(1, "service_name").alias("service_1"), of(2, "service_name").alias("service_2"),
-        of(2, "arrival_seq").alias("emit_seq"),
-        F.max(F.col("parent_span_id") == F.col("span_id")).alias("names_itself"),
-    )
+    # In the order of ``leading_holders``, so that nothing is sorted again; an aggregate of names would sort.
+    by_id = Window.partitionBy(*scope, "span_id").orderBy(*ARRIVAL, *_TIES, "span_type")
+    itself = F.col("parent_span_id") == F.col("span_id")
+    two = leaders.select(
+        "rank", F.col("arrival_seq").alias("emit_seq"),
+        F.lag("span_type").over(by_id).alias("type_1"), F.col("span_type").alias("type_2"),
+        F.lag("service_name").over(by_id).alias("service_1"), F.col("service_name").alias("service_2"),
+        (itself | F.lag(itself).over(by_id)).alias("names_itself"),
+    ).filter(F.col("rank") == 2)
     first_serves = (F.col("type_1") == fs.SERVER) & (F.col("type_2") == fs.CLIENT)
     second_serves = (F.col("type_1") == fs.CLIENT) & (F.col("type_2") == fs.SERVER)
     pairs = complete_filter(

@@ -122,36 +122,23 @@ def _line_spans(served: DataFrame) -> DataFrame:
     child_logs = F.when(by_log, F.array(_event(child_start, "sr"), _event(child_start + duration, "ss"))).otherwise(
         F.array(_event(child_start, "sr"), _event(child_start, "enqueued"))
     )
-    child = F.struct(
-        F.concat(F.lit("L"), key, F.lit("-"), line).alias("span_id"),
-        order_id.alias("parent_span_id"),
-        child_start.alias("start_us"),
-        child_logs.alias("logs"),
-        _server_tags((is_server & ~by_log, _tag("span.kind", "SERVER"))).alias("tags"),
-        (key * 16 + line).alias("arrival_seq"),
-    )
-    shared = F.struct(
-        order_id.alias("span_id"),
-        F.lit("").alias("parent_span_id"),
-        shared_start.alias("start_us"),
-        F.array(_event(shared_start, "SR"), _event(shared_start + duration, "ss")).alias("logs"),
-        _server_tags().alias("tags"),
-        (key * 16 + 8).alias("arrival_seq"),
-    )
+    # A line gives its child span, and where ``shares`` the shared span too: told by a flag, so that no span is built inside an array and copied out.
     told = served.withColumn("nth", F.row_number().over(in_order)).withColumn(
-        "span", F.explode(F.when(shares, F.array(child, shared)).otherwise(F.array(child)))
+        "is_shared", F.explode(F.when(shares, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
     )
+    by_span = lambda shared, child: F.when(F.col("is_shared"), shared).otherwise(child)
+    shared_logs = F.array(_event(shared_start, "SR"), _event(shared_start + duration, "ss"))
     return told.select(
         key.cast("string").alias("trace_id"),
-        "span.span_id",
-        "span.parent_span_id",
+        by_span(order_id, F.concat(F.lit("L"), key, F.lit("-"), line)).alias("span_id"),
+        by_span(F.lit(""), order_id).alias("parent_span_id"),
         F.lower("n_name").alias("service_name"),
         F.concat(F.lit("op-"), F.col("flag")).alias("operation_name"),
-        "span.start_us",
+        by_span(shared_start, child_start).alias("start_us"),
         duration.alias("duration_us"),
-        "span.logs",
-        "span.tags",
-        "span.arrival_seq",
+        by_span(shared_logs, child_logs).alias("logs"),
+        _server_tags((is_server & ~by_log & ~F.col("is_shared"), _tag("span.kind", "SERVER"))).alias("tags"),
+        by_span(key * 16 + 8, key * 16 + line).alias("arrival_seq"),
     )
 
 
@@ -193,7 +180,8 @@ def reused_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = F.col("trace_id").cast("long")
     short = F.when(key % 2 == 1, key % 1000).otherwise(key % 400).cast("string")
-    rename = lambda c: F.regexp_replace(c, r"^([OL])\d+", F.concat(F.lit("$1"), short))
+    # A letter, the order's number, and what follows it.
+    rename = lambda c: F.when(c == "", "").otherwise(F.concat(F.substring(c, 1, 1), short, F.substr(c, F.length("trace_id") + 2)))
     return spans(spark, sf_dir).select(
         "*", rename(F.col("span_id")).alias("id"), rename(F.col("parent_span_id")).alias("up")
     ).select(

@@ -85,3 +85,14 @@ def test_pairing_by_generations_derives_its_spans_once(spark, light):
 
     found = generations.window_pairs(spans.mapInArrow(counted, schemas.LIGHT_SPAN), 1_000)
     assert found.count() > 0 and made.value == 3
+
+
+def test_a_span_is_cut_down_with_one_walk_over_its_events(raw):
+    """Lambdas are interpreted; their sources are worked out again for each of them."""
+    plan = light_spans(raw([]), ["tier"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction") == 3  # the fields, those of damaged logs (two: whether and which)
+
+
+def test_lines_are_spans_without_arrays_of_whole_spans(spark):
+    plan = testbed.raw_spans(spark, SMALL).select("span_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sr" not in re.findall(r"\b[a-z]+\b", plan) and "enqueued" not in plan  # logs that nobody asks for are not made
