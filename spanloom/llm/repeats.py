@@ -6,8 +6,11 @@ Suffixes that agree on ``DEPTH`` bytes share the smallest hashed ``GRAM``-byte s
 suffix bucket. A document's consecutive suffixes of one anchor are a chunk, one row. Rows of anchors that occur once are done with; of
 equal chunks all but the first go as a whole (aggregated before the shuffle). What is left are unlike chunks of one anchor. They meet bucket by bucket
 in sorted blocks of bounded size, where their suffixes are sorted with a difference cover (``suffixes``): ties beyond its period are told by ranks
-of the cover's sample. Buckets of more than ``WIDE`` unlike chunks are dealt to parts, sorted each by itself; the suffixes that come first in a part are named by
-their hash, and an aggregate finds the first of a name.
+of the cover's sample. Buckets of more than ``FINE`` unlike chunks are cut finer first: a chunk falls into pieces whose suffixes stand at distances to the anchor
+within one class of ``STEP``; these suffixes share ``DEPTH - STEP + 1`` bytes at one place, whose hash is the piece's own bucket. Pieces that
+are alone there are done with, equal ones go as chunks do, so that a common string with ever new surroundings costs a row per piece and none per suffix. Of these buckets, those of more
+than ``WIDE`` unlike pieces are dealt to parts, sorted each by itself; the suffixes that come first in a part are named by their hash, and an
+aggregate finds the first of a name.
 
 Defined results: null and empty texts have no bytes and lose none; rows repeated with one doc_id, and rows without one, are documents of their own, ordered by
 doc_id (nulls first), then text; an empty table gives no rows; other columns stay in ``drop_repeats`` and are ignored elsewhere.
@@ -29,6 +32,8 @@ from spanloom.llm.suffixes import PERIOD, Block
 DEPTH = 100
 GRAM = 20
 BATCH = 1 << 19  # characters at a time
+FINE = 128  # unlike chunks
+STEP = 20
 WIDE = 2048
 BLOCK_BYTES = 1 << 19
 
@@ -107,10 +112,10 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 
 def _cut_out(unlike: DataFrame, documents: DataFrame) -> DataFrame:
-    """Bytes of the chunks of ``unlike``: (``bucket``, ``part``, ``wide``, ``key``, ``low``, ``inner`` (anchor), ``bytes``)."""
-    listed = unlike.groupBy("key").agg(F.collect_list(F.struct("place", "bucket", "part", "wide")).alias("chunks"))
+    """Bytes of the chunks of ``unlike``: (``bucket``, ``n`` (chunks of the bucket), ``key``, ``low``, ``inner`` (anchor), ``bytes``)."""
+    listed = unlike.groupBy("key").agg(F.collect_list(F.struct("place", "bucket", "n")).alias("chunks"))
     both = documents.select("key", "text").join(listed, "key")
-    schema = StructType().add("bucket", "long").add("part", "integer").add("wide", "boolean").add("key", documents.schema["key"].dataType)
+    schema = StructType().add("bucket", "long").add("n", "long").add("key", documents.schema["key"].dataType)
     schema = schema.add("low", "long").add("inner", "long").add("bytes", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,13 +129,47 @@ def _cut_out(unlike: DataFrame, documents: DataFrame) -> DataFrame:
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             pieces = [texts[i][a:e] for i, a, e in zip(row.tolist(), begin, end)]
             yield pa.RecordBatch.from_arrays([
-                chunks.field("bucket"), chunks.field("part"), chunks.field("wide"), batch.column("key").take(pa.array(row)),
-                pa.array(low), pa.array(inner), pa.array(pieces, pa.binary()),
+                chunks.field("bucket"), chunks.field("n"), batch.column("key").take(pa.array(row)), pa.array(low), pa.array(inner), pa.array(pieces, pa.binary()),
             ], schema.names)
 
     return both.select("key", "text", "chunks").mapInArrow(run, schema)
 
 
+def _finer(chunks: DataFrame) -> DataFrame:
+    """The pieces of chunks: (``bucket`` and ``name`` of the piece, ``key``, ``low``, ``inner``, ``bytes``)."""
+    schema = StructType().add("bucket", "long").add("name", "long").add("key", chunks.schema["key"].dataType)
+    schema = schema.add("low", "long").add("inner", "long").add("bytes", "binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("bytes").to_pylist()
+            size = np.array([len(t) for t in texts], dtype=np.int64)
+            begins = np.cumsum(size) - size
+            low, inner = batch.column("low").to_numpy(), batch.column("inner").to_numpy()
+            count = size - DEPTH + 1
+            hashes = ByteHashes(np.frombuffer(b"".join(texts), dtype=np.uint8))
+            # Distances from the anchor fall by one from suffix to suffix, from ``inner`` on.
+            least = inner - count + 1
+            classes = inner // STEP - least // STEP + 1
+            row = np.repeat(np.arange(len(size)), classes)
+            of = (inner // STEP)[row] - (np.arange(len(row)) - np.repeat(np.cumsum(classes) - classes, classes))
+            far, near = np.minimum(inner[row], of * STEP + STEP - 1), np.maximum(least[row], of * STEP)
+            start, end = inner[row] - far, inner[row] - near + DEPTH  # within the chunk
+            shared = begins[row] + inner[row] - of * STEP
+            with np.errstate(over="ignore"):
+                old = batch.column("bucket").to_numpy().view(U64)[row]
+                bucket = mix(old ^ mix(hashes.of(shared, shared + DEPTH - STEP + 1) + of.astype(U64)))
+                shape = far.astype(U64) * U64(0x9E3779B97F4A7C15) + near.astype(U64)
+                name = mix(hashes.of(begins[row] + start, begins[row] + end) ^ mix(shape))
+            pieces = [texts[i][a:e] for i, a, e in zip(row.tolist(), start.tolist(), end.tolist())]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(bucket.view(np.int64)), pa.array(name.view(np.int64)), batch.column("key").take(pa.array(row)),
+                pa.array(low[row] + start), pa.array(far), pa.array(pieces, pa.binary()),
+            ], schema.names)
+
+    return chunks.select("bucket", "key", "low", "inner", "bytes").mapInArrow(run, schema)
+
+
 def _judged(
     number: np.ndarray, wide: np.ndarray, keys: np.ndarray, low: np.ndarray, inner: np.ndarray, pieces: list[bytes]
 ) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
@@ -259,12 +298,23 @@ def repeated(documents: DataFrame) -> DataFrame:
     alive = stored(rows.join(often, "bucket", "left_semi"), "chunks")
     first = stored(alive.groupBy("bucket", "name").agg(F.min(F.struct("key", "place")).alias("first")), "first")
     kinds = first.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    part = F.pmod(F.xxhash64("first.key", "first.place"), F.ceil(F.col("n") / WIDE)).cast("int")
-    unlike = first.join(kinds, "bucket").select("bucket", part.alias("part"), (F.col("n") > WIDE).alias("wide"), "first.key", "first.place")
+    unlike = first.join(kinds, "bucket").select("bucket", "n", "first.key", "first.place")
     chunks = stored(_cut_out(unlike, documents), "unlike")
     low, count = F.shiftright("place", 14), F.shiftright("place", 7) % 128
     whole = alive.join(first, ["bucket", "name"]).where("struct(key, place) <> first").select("key", low.alias("start"), (low + count + DEPTH - 1).alias("end"))
-    judged = stored(_sorted_buckets(chunks), "judged")
+
+    pieces = stored(_finer(chunks.where(F.col("n") > FINE)), "pieces")
+    met = pieces.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    met = pieces.join(met, "bucket", "left_semi")
+    first = met.groupBy("bucket", "name").agg(F.min(F.struct("key", "low")).alias("first"))
+    kinds = first.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    met = stored(met.join(first, ["bucket", "name"]).join(kinds, "bucket").withColumn("is_first", F.expr("struct(key, low) = first")).drop("name", "first"), "met")
+    whole = whole.union(met.where("not is_first").select("key", F.col("low").alias("start"), (F.col("low") + F.octet_length("bytes")).alias("end")))
+
+    columns = ["bucket", "n", "key", "low", "inner", "bytes"]
+    dealt = chunks.where(F.col("n") <= FINE).select(*columns).union(met.where("is_first and n > 1").select(*columns))
+    part = F.pmod(F.xxhash64("key", "low"), F.ceil(F.col("n") / WIDE)).cast("int")
+    judged = stored(_sorted_buckets(dealt.withColumn("part", part).withColumn("wide", F.col("n") > WIDE)), "judged")
     return whole.union(judged.where("end is not null").select("key", "start", "end")).union(_across_parts(judged.where("end is null")))
 
 

@@ -117,6 +117,28 @@ def test_repeats_against_brute_force(spark, monkeypatch, wide):
     assert sorted(tuple(r) for r in passages.report(table).collect()) == sorted(repeats_report(docs))
 
 
+@pytest.mark.parametrize("wide", [passages.WIDE, 2])
+def test_repeats_in_buckets_cut_finer(spark, monkeypatch, wide):
+    monkeypatch.setattr(passages, "FINE", 1)
+    monkeypatch.setattr(passages, "WIDE", wide)
+    docs = passage_docs()
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted(tuple(r) for r in passages.report(table).collect()) == sorted(repeats_report(docs))
+
+
+def test_a_common_string_with_other_surroundings_costs_no_row_per_suffix(spark, monkeypatch):
+    monkeypatch.setattr(passages, "FINE", 4, raising=False)
+    monkeypatch.setattr(passages, "WIDE", 4)
+    rng, made, original = random.Random(9), [], passages._sorted_buckets
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    common = letters(60)
+    docs = [(i, letters(150) + common + letters(150)) for i in range(40)]
+    monkeypatch.setattr(passages, "_sorted_buckets", lambda chunks: (made.append(original(chunks)), made[-1])[1])
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(tuple(r) for r in passages.report(table).collect()) == sorted(repeats_report(docs))
+    assert made[0].count() == 0  # one row for each of over a thousand suffixes before
+
+
 def test_repeats_of_rows_alike_and_without_id(spark):
     rng = random.Random(7)
     text = "".join(rng.choice("abcdefgh ") for _ in range(250))
