@@ -14,18 +14,18 @@ table writes no segment. A document longer than a segment is a segment of its ow
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from spanloom.llm import rans
 from spanloom.llm.shared import text_batches
@@ -36,67 +36,140 @@ BLOCK = 1 << 18
 SEGMENT = 1 << 21
 REMEMBERED = 300_000  # words to a turn
 BATCH = 2 << 20  # characters encoded at a time
+TOGETHER = 1000  # parts of words handed to the model as one text
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
+
+
+class Known:
+    """The ids of strings learned so far, one after another in one array; a string's number tells where its ids are."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self._ids, self._begins = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64)
+        self._counts, self._uses = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self._held = 0
+
+    def add(self, strings: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        """New strings, with all their ids in a row and how many each has."""
+        n, held = len(self.number), self._held
+        while n + len(strings) > len(self._begins):
+            self._begins, self._counts, self._uses = (np.concatenate([a, np.zeros_like(a)]) for a in (self._begins, self._counts, self._uses))
+        while held + len(ids) > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+        self._ids[held : held + len(ids)] = ids
+        self._counts[n : n + len(strings)] = counts
+        self._begins[n : n + len(strings)] = held + np.cumsum(counts) - counts
+        self._held += len(ids)
+        self.number.update(zip(strings, range(n, n + len(strings))))
+
+    def turn(self) -> None:
+        """Once they are many, only strings that came in several calls stay."""
+        if len(self.number) > REMEMBERED:
+            strings, uses = list(self.number), self._uses
+            stay = np.flatnonzero(uses[: len(strings)] > 1)[-REMEMBERED // 2 :]
+            ids, counts = self.of(stay)
+            self.__init__()
+            self.add([strings[i] for i in stay.tolist()], ids, counts)
+
+    def numbers(self, strings: list[str]) -> np.ndarray:
+        """The number of each of some unlike strings, all known."""
+        found = np.fromiter(map(self.number.__getitem__, strings), np.int64, len(strings))
+        self._uses[found] += 1
+        return found
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all these strings in a row, and how many each has."""
+        counts = self._counts[numbers]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self._ids[np.repeat(self._begins[numbers] - ends + counts, counts) + np.arange(total)], counts
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer of the ``tokenizers`` library, remembering what single words become.
 
-    The vocabulary must be of the kind that cuts at white space and drops it, so that a text's ids are those of its words in a row. Words of plain Latin
-    letters, with or without other marks around them, are handed to the model in lower case; all others to the whole tokenizer.
+    The vocabulary must be of the kind that cuts at white space and drops it, so that a text's ids are those of its words in a row, and that marks a word's
+    last id. The unlike words of a call are looked up once each. Words of plain Latin letters, with or without other marks around them, are handed
+    to the model in lower case, many in one text; all others to the whole tokenizer.
     """
 
     def __init__(self, definition: str) -> None:
         self.whole = Tokenizer.from_str(definition)
         self.model = Tokenizer(Tokenizer.from_str(definition).model)
-        self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        # Words since the last turn and those of the turn before: what is still in use survives a turn.
-        self._known: dict[str, bytes] = {}
-        self._before: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {"": b""}
+        self.model.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        # The names of printable ASCII bytes are those characters, so such parts need no renaming.
+        self.ascii = Tokenizer(Tokenizer.from_str(definition).model)
+        self.ascii.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.model.get_vocab(with_added_tokens=False)
+        self._last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._words, self._parts = Known(), Known()
         mark = r"[!-&(-/:-@\[-`{-~]*"
-        self._plain = re.compile(f"({mark})([A-Za-zÀ-ÖØ-öø-ÿ]+)({mark})")
+        self._plain = f"^(?P<left>{mark})(?P<middle>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<right>{mark})$"
         self._special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
 
-    def _pack(self, encodings: list) -> list[bytes]:
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encodings]
+    def _each(self, tokenizer: Tokenizer, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of strings, encoded one by one."""
+        ids = [e.ids for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), "<u4", int(counts.sum())), counts
+
+    def _learn_parts(self, model: Tokenizer, parts: list[str]) -> None:
+        """Parts are runs of letters or of marks, without white space, and not empty: each ends with the only one of its ids that is a last one."""
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at : at + TOGETHER]
+            ids = np.array(model.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(self._last[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                self._parts.add(some, ids, np.diff(ends, prepend=0))
+            else:
+                self._parts.add(some, *self._each(model, some))
 
     def _learn(self, words: list[str]) -> None:
-        plain, other = [], []
-        for word in words:
-            found = self._plain.fullmatch(word)
-            if found:
-                left, middle, right = found.groups()
-                plain.append((word, left, middle.lower(), right))
-            else:
-                other.append(word)
-        if any(s in " ".join(words) for s in self._special):
-            other += [w for w, *_ in plain if any(s in w for s in self._special)]
-            plain = [x for x in plain if not any(s in x[0] for s in self._special)]
-        if len(self._parts) > REMEMBERED:
-            self._parts = {"": b""}
-        parts = self._parts
-        new = list({p for _, *three in plain for p in three if p not in parts})
-        parts.update(zip(new, self._pack(self.model.encode_batch_fast(new, add_special_tokens=False))))
-        known = self._known
-        for word, left, middle, right in plain:
-            known[word] = parts[left] + parts[middle] + parts[right]
-        known.update(zip(other, self._pack(self.whole.encode_batch_fast(other, add_special_tokens=False))))
+        listed = pa.array(words, pa.string())
+        cut = pc.extract_regex(listed, self._plain)
+        odd = pc.is_null(cut)
+        for special in self._special:
+            odd = pc.or_(odd, pc.match_substring(listed, special))
+        plain = pc.invert(odd)
+        other = _listed(listed.filter(odd))
+        if other:
+            self._words.add(other, *self._each(self.whole, other))
+        cut = cut.filter(plain)
+        if len(cut):
+            n = len(cut)
+            three = [cut.field(0), pc.utf8_lower(cut.field(1)), cut.field(2)]
+            parts = pa.concat_arrays(three).dictionary_encode()
+            unlike = _listed(parts.dictionary)
+            self._parts.turn()
+            known = self._parts.number
+            if "" not in known:
+                self._parts.add([""], np.zeros(0, "<u4"), np.zeros(1, np.int64))
+            new = [p for p in unlike if p not in known]
+            self._learn_parts(self.ascii, [p for p in new if p.isascii()])
+            self._learn_parts(self.model, [p for p in new if not p.isascii()])
+            # Left, middle and right of a word after one another.
+            numbers = self._parts.numbers(unlike)[parts.indices.to_numpy()].reshape(3, n).T.ravel()
+            ids, counts = self._parts.of(numbers)
+            self._words.add(_listed(listed.filter(plain)), ids, counts.reshape(n, 3).sum(axis=1))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
-        if len(self._known) > REMEMBERED:
-            self._before, self._known = self._known, {}
-        known, before = self._known, self._before
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(known.get, words)) for words in cut]
-        unknown = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
-        old = {w: before[w] for w in unknown if w in before}
-        known.update(old)
-        self._learn([w for w in unknown if w not in old])
-        return [
-            b"".join([known[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids)
-            for words, ids in zip(cut, found)
-        ]
+        if not texts:
+            return []
+        self._words.turn()
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(pa.array(texts, pa.large_string()), ""), "\n", " "), " ")
+        words = cut.flatten().dictionary_encode()
+        unlike = _listed(words.dictionary)
+        known = self._words.number
+        self._learn([w for w in unlike if w not in known])
+        ids, counts = self._words.of(self._words.numbers(unlike)[words.indices.to_numpy()])
+        places = np.concatenate([[0], np.cumsum(counts)])[cut.offsets.to_numpy()].tolist()
+        coded = ids.tobytes()
+        return [coded[4 * a : 4 * b] for a, b in zip(places, places[1:])]
 
 
 def pack_segment(ids: np.ndarray, documents: int) -> bytes:

@@ -114,6 +114,29 @@ def test_token_files_against_the_library(spark, monkeypatch):
         at += len(ids)
 
 
+def test_unlike_words_are_handed_to_the_model_many_in_one_text(monkeypatch):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        encoder = tokens.WordEncoder(file.read())
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.given = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.given += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder.model, encoder.ascii = Counted(encoder.model), Counted(encoder.ascii)
+    monkeypatch.setattr(tokens, "REMEMBERED", 800)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("aeinrstöé", weights=[9] * 7 + [1, 1], k=rng.randint(1, 9))) + rng.choice(["", "", ".", "!!", "</w>", "</w", "'s", "4"])
+    common = [word() for _ in range(200)]
+    for _ in range(6):
+        texts = [*ODD, *(rng.choice([" ", "\n", "  "]).join(rng.choices(common, k=40) + [word() for _ in range(60)]) for _ in range(10)), "x<|endoftext|>y <|endoftext|>"]
+        assert encoder.encode(texts) == [np.array(encoder.whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert 0 < encoder.model.given <= 12 and 0 < encoder.ascii.given <= 12 and len(encoder._words.number) < 3000
+
+
 def test_token_files_of_nothing(spark):
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         definition = file.read()
