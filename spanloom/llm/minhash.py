@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from spanloom.llm.shared import U64, block_pairs, components, mix, stored, text_batches
 from spanloom.llm.shingles import numbered, weighted
-from spanloom.llm.urls import blocked_bloom, may_hold
+from spanloom.llm.urls import filled_blocks, let_through
 
 COORDINATES, ROWS = 64, 4  # 16 bands: a pair of similarity 0.8 is missed with probability 0.0002, one of 0.9 with 10**-7
 BATCH = 1 << 20  # characters at a time
@@ -198,8 +198,7 @@ def near_copies(documents: DataFrame, threshold: float = 0.8, block: int = BLOCK
     first = members.where(near & (F.col("a") < F.col("rep"))).select("a", F.col("rep").alias("b")).distinct()
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     # The filter keeps most texts that nobody asked for out of the shuffle; the join decides.
-    listed_ids = blocked_bloom(wanted, "doc_id", WANTED_BLOCKS).scalar()
-    texts = documents.select("doc_id", "text").where(may_hold(listed_ids, F.col("doc_id"), WANTED_BLOCKS))
+    texts = let_through(documents.select("doc_id", "text"), "doc_id", filled_blocks(wanted, "doc_id", WANTED_BLOCKS), WANTED_BLOCKS)
     texts = texts.join(wanted, "doc_id", "left_semi")
     elements = stored(_elements(texts).dropDuplicates(["doc_id"]) if _has_repeats(sketches) else _elements(texts), "shingles")
     links = stored(_verified(first, elements, threshold), "links")

@@ -22,7 +22,8 @@ from spanloom.llm import crf
 from spanloom.llm.shared import ByteHashes, text_batches
 
 SAMPLE = 4000
-BATCH = 1 << 20  # characters described at a time, in training too
+BATCH = 1 << 20  # characters described at a time
+TRAIN_BATCH = 1 << 17  # the same in training, which is done by the driver
 
 _KINDS = {
     "lower": b"abcdefghijklmnopqrstuvwxyz", "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "space": b" \t\r",
@@ -118,7 +119,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     rows = texts.select("text", "quality").collect()
-    parts = [describe(part) for part in text_batches([r["text"] for r in rows], BATCH)] or [describe([])]
+    parts = [describe(part) for part in text_batches([r["text"] for r in rows], TRAIN_BATCH)] or [describe([])]
     features, lengths = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts])
     if not rows:
         return Model(np.zeros(features.shape[1]), np.zeros((2, 2)), np.zeros(features.shape[1]), np.ones(features.shape[1]))

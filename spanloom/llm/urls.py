@@ -42,15 +42,27 @@ def _words(key: Column) -> list[Column]:
     return [F.call_function("shiftleft", one, F.shiftrightunsigned(spread, 6 * i).bitwiseAND(F.expr("63L")).cast("int")) for i in range(BLOCK_WORDS)]
 
 
-def blocked_bloom(keys: DataFrame, key: str = "key", blocks: int = FILTER_BLOCKS) -> DataFrame:
-    """One row (``filter``): a map of filled block number -> words, of ``blocks`` blocks at most."""
+def filled_blocks(keys: DataFrame, key: str = "key", blocks: int = FILTER_BLOCKS) -> DataFrame:
+    """A row for each filled block of a filter over ``blocks`` blocks: ``block`` and its words ``w0`` to ``w3``."""
     masks = keys.select(_block(F.col(key), blocks).alias("block"), *(m.alias(f"w{i}") for i, m in enumerate(_words(F.col(key)))))
-    filled = masks.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(BLOCK_WORDS)))
-    rows = filled.select(F.struct("block", F.array(*(f"w{i}" for i in range(BLOCK_WORDS))).alias("words")).alias("b"))
-    # Every block at its own place, so that a look-up is one array access.
-    none = F.array(*[F.lit(0).cast("long")] * BLOCK_WORDS)
-    listed = rows.agg(F.map_from_entries(F.collect_list("b")).alias("m"))
-    return listed.select(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.coalesce(F.try_element_at("m", i), none)).alias("filter"))
+    return masks.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(BLOCK_WORDS)))
+
+
+def let_through(rows: DataFrame, key: str, filled: DataFrame, blocks: int = FILTER_BLOCKS) -> DataFrame:
+    """The ``rows`` whose ``key`` may be in the filter, told by the row of its block; at most ``blocks`` rows are sent to every task, none gathered in one."""
+    words = filled.select(F.col("block").alias("_block"), *(F.col(f"w{i}").alias(f"_w{i}") for i in range(BLOCK_WORDS)))
+    met = rows.withColumn("_block", _block(F.col(key), blocks)).join(F.broadcast(words), "_block")
+    for i, mask in enumerate(_words(F.col(key))):
+        met = met.where(F.col(f"_w{i}").bitwiseAND(mask) == mask)
+    return met.select(*rows.columns)
+
+
+def blocked_bloom(keys: DataFrame, key: str = "key", blocks: int = FILTER_BLOCKS) -> DataFrame:
+    """One row (``filter``): the words of every block, at its own place, so that a look-up is one array access."""
+    none = keys.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block"), *(F.lit(0).cast("long").alias(f"w{i}") for i in range(BLOCK_WORDS)))
+    every = filled_blocks(keys, key, blocks).union(none).groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(BLOCK_WORDS)))
+    listed = every.select(F.struct("block", F.array(*(f"w{i}" for i in range(BLOCK_WORDS))).alias("words")).alias("b"))
+    return listed.agg(F.array_sort(F.collect_list("b")).alias("l")).select(F.col("l.words").alias("filter"))
 
 
 def may_hold(filter_: Column, key: Column, blocks: int = FILTER_BLOCKS) -> Column:

@@ -86,6 +86,19 @@ def test_the_filter_passes_all_listed_keys(spark):
     assert found[0] == 3000 and found[1] < 5000
 
 
+def test_a_filter_is_sent_by_its_blocks_and_not_made_in_one_task(spark):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
+    filled = urls.filled_blocks(keys, blocks=256)
+    assert filled.count() == 256 and filled.columns == ["block", "w0", "w1", "w2", "w3"]
+    tried = spark.range(6000).select("id", F.concat(F.lit("k"), "id").alias("key"), F.lit(7).alias("block"))
+    passed = urls.let_through(tried, "key", filled, 256)
+    words_ = urls.blocked_bloom(keys, blocks=256).scalar()
+    same = tried.where(urls.may_hold(words_, F.col("key"), 256))
+    assert passed.columns == tried.columns and sorted(passed.collect()) == sorted(same.collect())
+    assert "ubquery" not in passed._jdf.queryExecution().optimizedPlan().toString()
+    assert urls.let_through(tried, "key", filled.limit(0), 256).count() == 0
+
+
 ITEMS = [(1, "One two, three four five six seven eight nine TEN eleven twelve"), (2, "short item"), (3, None), (4, "?!"), (5, "short item"), (2, "one two three four five six seven eight nine ten")]
 DOCS = [
     (1, "x One-two three four five six seven eight nine ten ELEVEN y short item short"), (2, None), (3, ""), (4, "short  ITEM"), (4, "short  ITEM"),

@@ -65,6 +65,14 @@ def test_scores_of_odd_texts_and_without_labels(spark):
     assert quality.score(docs.limit(0), quality.train(docs, labels)).count() == 0
 
 
+def test_the_driver_describes_few_characters_at_a_time(spark, monkeypatch):
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("Some words "), "id", F.lit("!!\n")), 1500).alias("text"))
+    sizes, describe = [], quality.describe
+    monkeypatch.setattr(quality, "describe", lambda texts: sizes.append(sum(map(len, texts))) or describe(texts))
+    quality.train(docs, spark.range(60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality")))
+    assert sum(sizes) > 1_000_000 and max(sizes) <= 1 << 17
+
+
 def test_scores_do_not_depend_on_neighbours():
     model = quality.Model(np.linspace(-1, 1, quality.describe(["x"])[0].shape[1]), np.eye(2), 0.0, 1.0)
     texts = ["one two\nthree", None, "A!! B!!\n\nc", "x " * 50]
