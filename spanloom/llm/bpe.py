@@ -16,7 +16,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,6 @@ from spanloom.llm.shared import text_batches
 REMEMBERED = 350_000  # entries to a turn
 PIECE_AT_MOST = 64  # longer pieces are encoded but not remembered
 BATCH = 1 << 20  # characters whose ids are held at a time
-ID_BITS = 24  # ids are below 2 ** 24, and places in a pre-token below 2 ** 32
 
 
 class PerfectHash:
@@ -117,15 +116,18 @@ class Vocabulary:
         return self.ids[slot] if self.keys[slot] == token else None
 
 
-def merges(vocabulary: Vocabulary) -> dict[int, int]:
-    """What two ids in a row (the left one shifted by ``ID_BITS``) merge to, for all pairs that do: a bounded table, some entries per token."""
+def merges(vocabulary: Vocabulary) -> list[dict[int, int]]:
+    """By the left one's id: what it and the id after it merge to, for all pairs that do. A bounded table, some entries per token."""
     ids = dict(zip(vocabulary.keys, vocabulary.ids))
-    found = {}
+    none: dict[int, int] = {}
+    found = [none] * (max(vocabulary.ids) + 1)
     for token, both in ids.items():
         for cut in range(1, len(token)):
             left, right = ids.get(token[:cut]), ids.get(token[cut:])
             if left is not None and right is not None:
-                found[left << ID_BITS | right] = both
+                if found[left] is none:
+                    found[left] = {}
+                found[left][right] = both
     return found
 
 
@@ -155,7 +157,7 @@ class Encoder:
         # The short cut for plain words needs a pattern that takes a blank with the letters after it.
         self._plain_words = self._pattern.findall(" ab.") == [" ab", "."]
         self._pieces, self._tokens = Recent(), Recent()
-        self._merged = merges(vocabulary).get
+        self._merged = merges(vocabulary)
         self._byte_ids = [vocabulary.id_of(bytes([i])) for i in range(256)]
         # Between a character and a blank or line feed after it every token ends, so texts are cut there first.
         self._piece = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -165,19 +167,23 @@ class Encoder:
         """Ids of a pre-token that is not in the vocabulary: lowest rank first, leftmost of equals. Ids are ranks, so a merged pair's rank is its id."""
         merged, n = self._merged, len(token)
         ids = [self._byte_ids[b] for b in token]
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
         # The rank each place merges at with the one after it; what the heap says beyond that is out of date.
-        ranks = [merged(left << ID_BITS | right, -1) for left, right in zip(ids, ids[1:])]
+        ranks = [merged[left].get(right, -1) for left, right in pairwise(ids)]
         ranks.append(-1)
-        heap = [rank << 32 | i for i, rank in enumerate(ranks) if rank >= 0]
+        # A rank and a place are one number, small for words: such numbers are compared fastest.
+        shift = n.bit_length()
+        places = (1 << shift) - 1
+        heap = [rank << shift | i for i, rank in enumerate(ranks) if rank >= 0]
+        if not heap:
+            return ids
         heapify(heap)
-        pop, push = heappop, heappush
+        after = list(range(1, n + 1))
+        before = list(range(-1, n - 1))
         while heap:
-            top = pop(heap)
-            i = top & 0xFFFFFFFF
+            top = heappop(heap)
+            i = top & places
             both = ranks[i]  # the table's own number, so that what is remembered holds no copies of it
-            if both != top >> 32:
+            if both != top >> shift:
                 continue
             j = after[i]
             ids[i] = both
@@ -185,16 +191,16 @@ class Encoder:
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                found = ranks[i] = merged(both << ID_BITS | ids[k], -1)
+                found = ranks[i] = merged[both].get(ids[k], -1)
                 if found >= 0:
-                    push(heap, found << 32 | i)
+                    heappush(heap, found << shift | i)
             else:
                 ranks[i] = -1
             h = before[i]
             if h >= 0:
-                found = ranks[h] = merged(ids[h] << ID_BITS | both, -1)
+                found = ranks[h] = merged[ids[h]].get(both, -1)
                 if found >= 0:
-                    push(heap, found << 32 | h)
+                    heappush(heap, found << shift | h)
         return [i for i in ids if i >= 0]
 
     def _cut(self, piece: str) -> list[str]:

@@ -303,6 +303,16 @@ def test_ids_against_the_library(vocabulary, library, monkeypatch):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_the_heap_of_a_word_holds_small_numbers(vocabulary, library, monkeypatch):
+    seen, push = [], bpe.heappush
+    monkeypatch.setattr(bpe, "heappush", lambda heap, x: seen.append(x) or push(heap, x))
+    encoder, rng = bpe.Encoder(vocabulary), random.Random(6)
+    for _ in range(200):
+        text = "".join(rng.choices("abcdefginorst", k=rng.randint(20, 60)))
+        assert encoder.encode(text) == library.encode_ordinary(text)
+    assert seen and max(seen) < 1 << 30
+
+
 def test_bpe_of_tables(spark, vocabulary, library):
     rows = list(enumerate(ODD)) + [(None, "a b"), (3, "a b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1))
