@@ -231,7 +231,7 @@ def pair_window_generations(spark, sf_dir):
 # --- edges and statistics -------------------------------------------------------------------------------------------
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edge_ops.graph_edges(pair_ops.accepted_pairs(tb.spans(spark, sf_dir)))
+    return edge_ops.graph_edges(pair_ops.accepted_pairs(tb.spans(spark, sf_dir), by_trace=True))
 
 
 def _windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
