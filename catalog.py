@@ -750,7 +750,7 @@ def registry_source(spark, sf_dir):
     """Pairs checked against the registry table the span job wrote."""
     job = _span_job(spark, sf_dir)
     known = tables.read_batch_before(spark, job.table("registry"), 1 << 40, schemas.REGISTRY)
-    accepted = pair_ops.accepted_pairs(tb.spans(spark, sf_dir), mode="final", registry=known)
+    accepted = pair_ops.accepted_pairs(tb.spans(spark, sf_dir), mode="final", registry=known, by_trace=True)
     return accepted.select(*_PAIR, F.col("shared").cast("int").alias("shared"))
 
 
