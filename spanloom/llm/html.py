@@ -71,9 +71,11 @@ def _frame_cost(tag: str, names: str) -> tuple[float, bool]:
     """What an element's own tag and names say against its text, and whether that holds whatever the text is: in comments, adverts, notices, menus."""
     cost, surely = (_IN_FRAME if tag in _FRAME_TAGS else 0.0), tag in _ALWAYS_FRAME
     for name in _FLAGS.sub("", names).split() if tag not in _NEVER_FRAME else ():
-        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+        parts = [w for w in re.split(r"[_-]+", name) if w]
+        words = [w for w in parts if not w.isdigit()]
         told = [w for w in words if _FRAME_WORD.fullmatch(w)]
-        if told and (tag != "p" or any(_NOTICE_WORD.fullmatch(w) for w in told)):
+        # The number of a paragraph names its place in the text.
+        if told and (tag != "p" or words == parts and any(_NOTICE_WORD.fullmatch(w) for w in told)):
             sure = words[-1] in told or all(w in told or w.lower() in _PLAIN_WORDS for w in words)
             cost = min(cost, _IN_FRAME if sure else _MAYBE_FRAME)
             surely |= sure and any(_LASTING_WORD.fullmatch(w) for w in told)

@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.maxMetadataStringLength": "1000",  # plans tell the filters of a scan in full
 }
 
 
